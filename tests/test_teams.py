@@ -1,0 +1,143 @@
+"""The small two-table fixture: counts that are known by hand."""
+
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from keygroup import MultiQuery, QuerySpec, scan
+
+LOGOS = QuerySpec("nba", "logos")
+PLAYERS = QuerySpec("nba", "players")
+
+
+def sizes(df, *keys):
+    return {tuple(r[k] for k in keys): len(r["rows"]) for r in df.collect()}
+
+
+def test_one_table_by_key(teams):
+    groups = MultiQuery(teams).add(LOGOS).read().merged()
+    assert sizes(groups, "state") == {("CA",): 3, ("TX",): 3, ("DC",): 1, ("IL",): 1}
+
+
+def test_one_table_by_key_and_city(teams):
+    got = sizes(MultiQuery(teams).add(LOGOS).group_by("city").read().merged(), "state", "city")
+    assert len(got) == 7
+    assert got.pop(("CA", "Los Angeles")) == 2
+    assert set(got.values()) == {1}
+
+
+@pytest.mark.parametrize("where, args", [("WHERE city < 'Los Angeles'", ()), ("city < ?", ("Los Angeles",))])
+def test_predicate(teams, where, args):
+    spec = QuerySpec.builder().keyspace("nba").table("logos").where(where, *args).build()
+    rows = scan(teams, spec, tokenizer=None).collect()
+    assert {r.city for r in rows} == {"Chicago", "Dallas", "Houston"}
+    assert sizes(MultiQuery(teams).add(spec).read().merged(), "state") == {("IL",): 1, ("TX",): 2}
+
+
+def test_all_columns(teams):
+    assert scan(teams, LOGOS, tokenizer=None).columns == ["state", "city", "team", "logo"]
+    [first, *_] = MultiQuery(teams).add(LOGOS).read().merged().collect()
+    assert first["rows"][0]["s0"].asDict().keys() == {"city", "team", "logo"}
+
+
+def test_two_tables_by_key(teams):
+    got = sizes(MultiQuery(teams).add(LOGOS, PLAYERS).read().merged(), "state")
+    assert got == {("CA",): 7, ("TX",): 9, ("DC",): 3, ("IL",): 3}
+
+
+@pytest.mark.parametrize("page_rows", [1, 2, 10_000])
+def test_two_tables_by_team(teams, page_rows):
+    job = MultiQuery(teams).add(LOGOS, PLAYERS).group_by("city", "team")
+    pages = job.read(page_rows).merged().orderBy("state", "city", "team", "_page").collect()
+    groups = {}
+    for page in pages:
+        assert len(page["rows"]) <= page_rows
+        groups.setdefault(page["team"], []).extend(page["rows"])
+    assert len(groups) == 8
+    wizards = groups.pop("Wizards")
+    assert [r["_q"] for r in wizards] == [0, 1, 1]
+    assert wizards[0]["s0"]["logo"] == "Wizard" and wizards[0]["s1"] is None
+    assert [r["s1"]["player"] for r in wizards[1:]] == ["Beal", "Wall"]
+    assert [r["s0"] for r in wizards[1:]] == [None, None]
+    # One team has a logo and no player, and is a group all the same.
+    assert [r["_q"] for r in groups.pop("Warriors")] == [0]
+    assert {len(g) for g in groups.values()} == {3}
+
+
+@pytest.mark.parametrize("page_rows", [2, 10_000])
+def test_cogrouped_lists(teams, page_rows):
+    pages = MultiQuery(teams).add(LOGOS, PLAYERS).read(page_rows).cogrouped()
+    got = {}
+    for r in pages.orderBy("state", "_page").collect():
+        logos, players = got.setdefault(r["state"], ([], []))
+        logos += [x["logo"] for x in r["s0"]]
+        players += [x["player"] for x in r["s1"]]
+    assert got["DC"] == (["Wizard"], ["Beal", "Wall"])
+    assert got["CA"] == (["Boat", "Big L", "Golden Gate Bridge"], ["Griffin", "Paul", "Gasol", "Kobe"])
+    assert {k: (len(a), len(b)) for k, (a, b) in got.items()} == {
+        "CA": (3, 4), "TX": (3, 6), "DC": (1, 2), "IL": (1, 2)
+    }
+
+
+@pytest.mark.parametrize("page_rows", [1, 4, 10_000])
+def test_flat_positions(teams, page_rows):
+    rows = MultiQuery(teams).add(LOGOS, PLAYERS).read(page_rows).flat().collect()
+    assert len(rows) == 22
+    per_state = {}
+    for r in rows:
+        per_state.setdefault(r["state"], {})[r["_pos"]] = r
+    for group in per_state.values():
+        assert sorted(group) == list(range(1, len(group) + 1))
+        order = [
+            (r["_q"], *((r["s0"].city, r["s0"].team) if r["_q"] == 0 else (r["s1"].city, r["s1"].team, r["s1"].player)))
+            for _, r in sorted(group.items())
+        ]
+        assert order == sorted(order)
+
+
+@pytest.mark.parametrize("page_rows", [2, 10_000])
+def test_fold(teams, page_rows):
+    groups = MultiQuery(teams).add(LOGOS, PLAYERS).read(page_rows)
+    got = groups.fold(
+        n=(F.size("rows"), F.sum),
+        players=(F.size(F.filter("rows", lambda r: r["_q"] == 1)), F.sum),
+        first=(F.col("rows")[0]["s0"]["team"], lambda c: F.min_by(c, "_page")),
+    )
+    assert {tuple(r) for r in got.select("state", "n", "players", "first").collect()} == {
+        ("CA", 7, 4, "Clippers"), ("TX", 9, 6, "Mavericks"), ("DC", 3, 2, "Wizards"), ("IL", 3, 2, "Bulls")
+    }
+
+
+@pytest.mark.parametrize("page_rows, fan_in", [(1, 2), (2, 1000), (10_000, 1000)])
+def test_user_function_per_group(teams, page_rows, fan_in, monkeypatch):
+    from keygroup.operators import groups as module
+
+    monkeypatch.setattr(module, "MERGE_FAN_IN", fan_in)
+
+    # Nested, so that they travel to the workers by value.
+    def line_up(pdf):
+        names = pdf["s1_player"].dropna().tolist()
+        return pd.DataFrame({"state": [pdf["state"].iloc[0]], "n": [len(pdf)], "names": [names]})
+
+    def join(pdf):
+        names = [x for part in pdf["names"] for x in part]
+        return pd.DataFrame({"state": [pdf["state"].iloc[0]], "n": [pdf["n"].sum()], "names": [names]})
+
+    groups = MultiQuery(teams).add(LOGOS, PLAYERS).read(page_rows)
+    got = groups.apply_groups(line_up, join, "state string, n bigint, names array<string>").collect()
+    assert len(got) == 4
+    assert {r.state: r.n for r in got} == {"CA": 7, "TX": 9, "DC": 3, "IL": 3}
+    assert {r.state: sorted(r.names) for r in got}["CA"] == ["Gasol", "Griffin", "Kobe", "Paul"]
+
+
+def test_pages_reach_the_function_in_order(teams):
+    def seen(pdf):
+        return pdf[["state", "_page", "_q"]].assign(at=range(len(pdf)), team=pdf["s0_team"].fillna(pdf["s1_team"]))
+
+    groups = MultiQuery(teams).add(LOGOS, PLAYERS).read(4)
+    rows = groups.apply_pages(seen, "state string, _page bigint, _q int, at int, team string").collect()
+    in_order = sorted((r for r in rows if r.state == "TX"), key=lambda r: (r._page, r.at))
+    assert [r._q for r in in_order] == [0] * 3 + [1] * 6
+    assert [r.team for r in in_order] == ["Mavericks", "Rockets", "Spurs"] + ["Mavericks"] * 2 + ["Rockets"] * 2 + ["Spurs"] * 2
