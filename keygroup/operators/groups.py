@@ -73,6 +73,14 @@ class KeyedGroups:
     def _page_terms(self) -> list[str]:
         return self._key_terms if self.hot is None else [*self._key_terms, "_page"]
 
+    def presence(self) -> DataFrame:
+        """One row per group: the key, and per query whether it has rows there.
+
+        Reads the key columns only; flags are joined before the shuffle.
+        """
+        flags = (F.bool_or(F.col("_q") == i).alias(f"in_{p}") for i, p in enumerate(self._shaped.payloads))
+        return self._shaped.rows.groupBy(*self._key_terms).agg(*flags)
+
     # -- groups as lists --------------------------------------------------------
 
     def merged(self) -> DataFrame:
@@ -111,13 +119,14 @@ class KeyedGroups:
         groups = self._paged.repartition(*terms).groupBy(*terms)
         return groups.agg(*(c.alias(n) for n, c in lists.items())).select(*self._key_terms, page, *lists)
 
-    def fold(self, **parts: tuple[Column, Callable[[Column], Column]]) -> DataFrame:
+    def fold(self, cogrouped: bool = False, **parts: tuple[Column, Callable[[Column], Column]]) -> DataFrame:
         """One row per group from its lists.
 
-        Each part is an expression over the list ``rows`` of one page (and
+        Each part is an expression over the list or lists of one page (and its
         ``_page``), and the aggregate that joins the values of several pages.
         """
-        pages = self.merged().select(*self._key_terms, "_page", *(e.alias(n) for n, (e, _) in parts.items()))
+        lists = self.cogrouped() if cogrouped else self.merged()
+        pages = lists.select(*self._key_terms, "_page", *(e.alias(n) for n, (e, _) in parts.items()))
         if self.hot is None:
             return pages.drop("_page")
         return pages.groupBy(*self._key_terms).agg(*(join(F.col(n)).alias(n) for n, (_, join) in parts.items()))
@@ -170,8 +179,9 @@ class KeyedGroups:
         """Call ``function`` per page and ``merge`` on the results of a group's pages.
 
         Both return frames of ``schema``, which holds the key columns. ``merge`` gets
-        the results of up to a thousand pages, then its own results, until one is
-        left; it must not depend on how they are batched. One-page groups skip it.
+        the results of up to a thousand pages, in page order, then its own results,
+        until one is left; it must not depend on how they are batched. Groups of one
+        page skip it.
         """
         if self.hot is None:
             return self.apply_pages(function, schema)
@@ -183,7 +193,8 @@ class KeyedGroups:
             return function(pdf).assign(_page=pdf["_page"].iloc[0])
 
         def on_results(pdf):
-            return merge(pdf.drop(columns="_page")).assign(_page=pdf["_page"].min())
+            in_order = pdf.sort_values("_page", kind="stable", ignore_index=True)
+            return merge(in_order.drop(columns="_page")).assign(_page=pdf["_page"].min())
 
         merged = self._apply(self._numbered, on_page, numbered)
         pages = -(-self.hot.largest // self.page_rows)

@@ -105,10 +105,8 @@ def check_arguments(query: QuerySpec, table: KeyedTable) -> None:
     where = query.where
     if where is None:
         return
-    if where.placeholders != len(where.args):
-        raise JobError(
-            f"{query.name} has {where.placeholders} placeholders but {len(where.args)} arguments"
-        )
+    if len(where.placeholders) != len(where.args):
+        raise JobError(f"{query.name} has {len(where.placeholders)} placeholders but {len(where.args)} arguments")
     for column, value in zip(where.compared_columns(), where.args):
         if column is None or column not in table.df.columns:
             continue

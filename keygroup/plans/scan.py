@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from keygroup.functions.token import XXHASH_64, Tokenizer
 from keygroup.names import TOKEN, quoted
 from keygroup.plans.checks import check_job
-from keygroup.plans.spec import QuerySpec
+from keygroup.plans.spec import QuerySpec, WhereClause
 from keygroup.sources.tables import Catalog, KeyedTable
 
 def filtered(query: QuerySpec, table: KeyedTable) -> DataFrame:
@@ -22,28 +22,34 @@ def filtered(query: QuerySpec, table: KeyedTable) -> DataFrame:
     """
     if query.where is None:
         return table.rows
-    spark = table.df.sparkSession
+    predicate, args = _bound(query.where, table)
     # Braces mark DataFrame placeholders in spark.sql and are doubled to stay text.
-    predicate = query.where.predicate.replace("{", "{{").replace("}", "}}")
-    return spark.sql(
-        f"SELECT * FROM {{source}} WHERE ({predicate})",
-        args=_bound(query, table),
-        source=table.rows,
+    predicate = predicate.replace("{", "{{").replace("}", "}}")
+    return table.df.sparkSession.sql(
+        f"SELECT * FROM {{source}} WHERE ({predicate})", args=args, source=table.rows
     )
 
 
-def _bound(query: QuerySpec, table: KeyedTable) -> list:
-    """Arguments as Spark should see them.
+def _bound(where: WhereClause, table: KeyedTable) -> tuple[str, list[Any]]:
+    """The predicate and the arguments that Spark should bind.
 
-    A float column is compared as double, so its argument is rounded to what the
-    column can hold; otherwise ``f = 0.1`` would never match.
+    Python has no value for some column types. Bound as the next wider type, such
+    an argument would turn the comparison away from the column and keep the filter
+    from the scan, so it becomes a literal of the column's own type.
     """
-    values = []
-    for column, value in zip(query.where.compared_columns(), query.where.args):
-        if column in table.df.columns and isinstance(table.type_of(column), T.FloatType):
-            value = float(np.float32(value))
-        values.append(bytes(value) if isinstance(value, bytearray) else value)
-    return values
+    text, args = where.predicate, []
+    literals = []
+    for at, column, value in zip(where.placeholders, where.compared_columns(), where.args):
+        dtype = table.type_of(column) if column in table.df.columns else None
+        if isinstance(dtype, T.FloatType):
+            literals.append((at, f"CAST('{value!r}' AS FLOAT)"))
+        elif isinstance(dtype, T.TimestampNTZType):
+            literals.append((at, f"TIMESTAMP_NTZ'{value.replace(tzinfo=None).isoformat(sep=' ')}'"))
+        else:
+            args.append(bytes(value) if isinstance(value, bytearray) else value)
+    for at, literal in reversed(literals):
+        text = text[:at] + literal + text[at + 1 :]
+    return text, args
 
 
 def selected(query: QuerySpec, table: KeyedTable, group_by: Sequence[str]) -> list[Column]:

@@ -11,7 +11,19 @@ from keygroup.errors import JobError
 ALL_COLUMNS = "*"
 
 # A string literal or a quoted identifier; a question mark inside is no parameter.
-_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`")
+_STRING = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"")
+_QUOTED = re.compile(_STRING.pattern + r"|`[^`]*`")
+
+# A column and the placeholders compared with it.
+_COLUMN = r"(`[^`]+`|[A-Za-z_]\w*)\s*"
+_COMPARISONS = [
+    re.compile(_COLUMN + tail, re.IGNORECASE)
+    for tail in (
+        r"(?:<=>|<=|>=|<>|!=|==|=|<|>)\s*\?",
+        r"(?:\bnot\s+)?\bin\s*\([^()]*\)",
+        r"(?:\bnot\s+)?\bbetween\s+\?\s+and\s+\?",
+    )
+]
 
 
 @dataclass(frozen=True)
@@ -34,29 +46,26 @@ class WhereClause:
         return re.sub(r"^\s*where\b", "", self.text, flags=re.IGNORECASE).strip()
 
     @property
-    def placeholders(self) -> int:
-        return _QUOTED.sub("", self.predicate).count("?")
+    def placeholders(self) -> list[int]:
+        """Offsets of the parameters in the predicate."""
+        plain = _QUOTED.sub(_blank, self.predicate)
+        return [at for at, ch in enumerate(plain) if ch == "?"]
 
     def compared_columns(self) -> list[str | None]:
         """Per placeholder, the column it is compared with, if that is plain to see.
 
         Covers ``c op ?``, ``c IN (?, …)`` and ``c BETWEEN ? AND ?``.
         """
-        text = re.sub(r"'(?:[^'\\]|\\.)*'", lambda m: " " * len(m.group()), self.predicate)
-        column = r"(`[^`]+`|[A-Za-z_]\w*)\s*"
-        forms = (
-            column + r"(?:<=>|<=|>=|<>|!=|==|=|<|>)\s*\?",
-            column + r"(?:not\s+)?\bin\s*\([^()]*\)",
-            column + r"(?:not\s+)?\bbetween\s+\?\s+and\s+\?",
-        )
-        owner: dict[int, str] = {}
-        for form in forms:
-            for match in re.finditer(form, text, flags=re.IGNORECASE):
-                for at in range(match.start(), match.end()):
-                    if text[at] == "?":
-                        owner[at] = match.group(1).strip("`")
-        marks = re.sub(r"`[^`]*`|\"[^\"]*\"", lambda m: " " * len(m.group()), text)
-        return [owner.get(at) for at, ch in enumerate(marks) if ch == "?"]
+        text = _STRING.sub(_blank, self.predicate)
+        owner = {}
+        for form in _COMPARISONS:
+            for match in form.finditer(text):
+                owner.update(dict.fromkeys(range(*match.span()), match.group(1).strip("`")))
+        return [owner.get(at) for at in self.placeholders]
+
+
+def _blank(match: re.Match) -> str:
+    return " " * len(match.group())
 
 
 @dataclass(frozen=True)
