@@ -36,21 +36,23 @@ def tables(spark: SparkSession, sf_dir: str) -> Catalog:
     """The driver's tables with their keys; renames align the key names."""
     catalog = Catalog(spark)
 
-    def add(keyspace, name, file, key, clustering=(), **rename):
-        catalog.add_files(keyspace, name, f"{sf_dir}/{file}.parquet", key, clustering, rename=rename)
-
-    add("chat", "conversations", "conversations", "conv_id", "turn")
-    add("web", "events", "events", "user_id", ["event_type", "ts", "event_id"])
-    add("docs", "documents", "documents", "doc_id")
-    add("docs", "labels", "labels", "doc_id")
-    add("sales", "orders", "orders", "orderkey", "status", o_orderkey="orderkey", o_orderstatus="status")
+    def add(keyspace, name, file, key, clustering=(), unique=False, **rename):
+        path = f"{sf_dir}/{file}.parquet"
+        keys = dict(partition_key=key, clustering=clustering, unique=unique, rename=rename)
+        catalog.add_files(keyspace, name, path, **keys)
+
+    add("chat", "conversations", "conversations", "conv_id", "turn", True)
+    add("web", "events", "events", "user_id", ["event_type", "ts", "event_id"], True)
+    add("docs", "documents", "documents", "doc_id", (), True)
+    add("docs", "labels", "labels", "doc_id", (), True)
+    add("sales", "orders", "orders", "orderkey", "status", True, o_orderkey="orderkey", o_orderstatus="status")
     add("sales", "lines", "lineitem", "orderkey", ["status", *LINE_ORDER], l_orderkey="orderkey", l_linestatus="status")
     add("sales", "lines_by_supplier", "lineitem", ["orderkey", "suppkey"], l_orderkey="orderkey", l_suppkey="suppkey")
     add("sales", "lines_by_status", "lineitem", "l_linestatus", ["l_orderkey", *LINE_ORDER])
-    add("geo", "nations", "nation", "nationkey", n_nationkey="nationkey")
-    add("geo", "customers", "customer", "nationkey", "c_custkey", c_nationkey="nationkey")
-    add("geo", "suppliers", "supplier", "nationkey", "s_suppkey", s_nationkey="nationkey")
-    add("geo", "suppliers_by_key", "supplier", "s_suppkey")
+    add("geo", "nations", "nation", "nationkey", (), True, n_nationkey="nationkey")
+    add("geo", "customers", "customer", "nationkey", "c_custkey", True, c_nationkey="nationkey")
+    add("geo", "suppliers", "supplier", "nationkey", "s_suppkey", True, s_nationkey="nationkey")
+    add("geo", "suppliers_by_key", "supplier", "s_suppkey", (), True)
     return catalog
 
 
@@ -58,8 +60,13 @@ def job(catalog: Catalog, *specs: QuerySpec) -> MultiQuery:
     return MultiQuery(catalog).add(*specs)
 
 
-def orders_and_lines(catalog: Catalog) -> MultiQuery:
-    return job(catalog, QuerySpec("sales", "orders"), QuerySpec("sales", "lines"))
+def orders_and_lines(catalog: Catalog, orders: str = "*", lines: str = "*") -> MultiQuery:
+    """Orders and their lines under one key, with the columns named as comma-separated text."""
+    return job(
+        catalog,
+        QuerySpec.builder().keyspace("sales").table("orders").columns_csv(orders).build(),
+        QuerySpec.builder().keyspace("sales").table("lines").columns_csv(lines).build(),
+    )
 
 
 def rows_of(q: int):
@@ -134,24 +141,28 @@ def q_group_pk_clustering(spark, sf_dir):
 
 
 def q_merge_two(spark, sf_dir):
-    return orders_and_lines(tables(spark, sf_dir)).read().fold(n_rows=n_rows(), n_orders=rows_of(0), n_lines=rows_of(1))
+    """Rows per order and table, from the full rows of both."""
+    groups = orders_and_lines(tables(spark, sf_dir)).read()
+    return groups.fold(n_rows=n_rows(), n_orders=rows_of(0), n_lines=rows_of(1))
 
 
 def q_merge_three(spark, sf_dir):
-    specs = [QuerySpec("geo", t) for t in ("nations", "customers", "suppliers")]
+    columns = {"nations": "n_name", "customers": "c_custkey", "suppliers": "s_suppkey"}
+    specs = [QuerySpec("geo", table, (column,)) for table, column in columns.items()]
     return job(tables(spark, sf_dir), *specs).read().fold(
         n_rows=n_rows(), n_nations=rows_of(0), n_customers=rows_of(1), n_suppliers=rows_of(2)
     )
 
 
 def q_merge_filtered(spark, sf_dir):
-    errors = QuerySpec.builder().keyspace("web").table("events").where("WHERE event_type = ?", "error").build()
-    large = QuerySpec.builder().keyspace("web").table("events").where("WHERE value > ?", 100.0).build()
-    return job(tables(spark, sf_dir), errors, large).read().fold(n_rows=n_rows(), n_errors=rows_of(0), n_large=rows_of(1))
+    errors = QuerySpec.builder().keyspace("web").table("events").columns("ts").where("WHERE event_type = ?", "error")
+    large = QuerySpec.builder().keyspace("web").table("events").columns("value").where("WHERE value > ?", 100.0)
+    groups = job(tables(spark, sf_dir), errors.build(), large.build()).read()
+    return groups.fold(n_rows=n_rows(), n_errors=rows_of(0), n_large=rows_of(1))
 
 
 def q_merge_two_clustering(spark, sf_dir):
-    groups = orders_and_lines(tables(spark, sf_dir)).group_by("status").read()
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_partkey").group_by("status").read()
     return groups.fold(n_rows=n_rows(), n_orders=rows_of(0), n_lines=rows_of(1))
 
 
@@ -173,12 +184,9 @@ def q_key_presence(spark, sf_dir):
 
 
 def q_rows_flat(spark, sf_dir):
-    return _flat_lines(orders_and_lines(tables(spark, sf_dir)).read().flat(), "orderkey")
-
-
-def _flat_lines(rows, *keys):
-    return rows.select(
-        *keys,
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_linenumber,l_partkey,l_suppkey").read()
+    return groups.flat().select(
+        "orderkey",
         F.col("_pos").alias("pos"),
         F.col("_q").cast("bigint").alias("q"),
         F.col("s0.o_custkey"),
@@ -192,7 +200,7 @@ def _flat_lines(rows, *keys):
 
 
 def q_rows_flat_hot(spark, sf_dir):
-    lines = QuerySpec("sales", "lines_by_status")
+    lines = QuerySpec("sales", "lines_by_status", ("l_orderkey", "l_linenumber", "l_partkey"))
     rows = job(tables(spark, sf_dir), lines).read(HOT_PAGE_ROWS).flat()
     return rows.select(
         "l_linestatus", F.col("_pos").alias("pos"), "s0.l_orderkey", "s0.l_linenumber", "s0.l_partkey"
@@ -222,7 +230,8 @@ def _partitions(spark) -> int:
 
 def q_sorted_slices(spark, sf_dir):
     """Rows per coarse slice, and rows that come before their predecessor's token."""
-    rows = orders_and_lines(tables(spark, sf_dir)).read().sorted_slices(_partitions(spark), MD5_60)
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_partkey").read()
+    rows = groups.sorted_slices(_partitions(spark), MD5_60)
     placed = rows.select(
         "_token",
         F.spark_partition_id().alias("part"),
@@ -240,7 +249,8 @@ def q_sorted_slices(spark, sf_dir):
 
 def q_group_integrity(spark, sf_dir):
     """Groups, rows, and groups whose rows lie in more than one partition."""
-    rows = orders_and_lines(tables(spark, sf_dir)).read().partitioned(_partitions(spark))
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_partkey").read()
+    rows = groups.partitioned(_partitions(spark))
     # The partition is read off the delivered rows, before they move again.
     placed = rows.select("orderkey", "_page", F.spark_partition_id().alias("part"))
     groups = placed.groupBy("orderkey", "_page").agg(
@@ -312,7 +322,7 @@ def q_slice_backfill(spark, sf_dir):
 
 
 def q_group_hof(spark, sf_dir):
-    groups = orders_and_lines(tables(spark, sf_dir)).read()
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_linenumber,l_partkey,l_returnflag").read()
     lines = F.filter("rows", lambda r: r["_q"] == 1)
     returned = F.filter(lines, lambda r: r["s1"]["l_returnflag"] == "R")
     partkeys = F.aggregate(lines, F.lit(0).cast("bigint"), lambda total, r: total + r["s1"]["l_partkey"])

@@ -31,7 +31,9 @@ class Tokenizer:
 
     def column(self, *key: str | Column) -> Column:
         """The token of the partition-key columns, in key order."""
-        return self.expression([F.col(k) if isinstance(k, str) else k for k in key])
+        token = self.expression([F.col(k) if isinstance(k, str) else k for k in key])
+        # A null key has a token too, so that every row is in some slice.
+        return F.coalesce(token, F.lit(self.low))
 
     def bounds(self, n: int) -> list[tuple[int, int]]:
         """``n`` gap-free, disjoint slices, inclusive at both ends."""
@@ -51,7 +53,7 @@ class Tokenizer:
         if self.bits == 64:
             offset = token.bitwiseXOR(F.lit(self.low))
         else:
-            offset = F.shiftleft(token - F.lit(self.low), 64 - self.bits)
+            offset = F.shiftleft(token - F.lit(self.low) if self.low else token, 64 - self.bits)
         upper = F.shiftrightunsigned(offset, 32) * F.lit(n).cast("bigint")
         lower = F.shiftrightunsigned(offset.bitwiseAND(F.lit(_LOW_32)) * F.lit(n).cast("bigint"), 32)
         return F.shiftright(upper + lower, 32).cast("int")

@@ -63,11 +63,10 @@ class KeyedGroups:
     @cached_property
     def _paged(self) -> DataFrame:
         """All rows with ``_page``."""
-        first = F.lit(0).cast("bigint").alias("_page")
         if self.hot is None:
-            return self._shaped.rows.select("*", first)
+            return self._shaped.rows.select("*", _first_page())
         cold = self.hot.matches(self._shaped.rows, "left_anti")
-        return cold.select("*", first).unionByName(self._numbered.drop("_pos"))
+        return cold.select("*", _first_page()).unionByName(self._numbered.drop("_pos"))
 
     @property
     def _page_terms(self) -> list[str]:
@@ -89,19 +88,20 @@ class KeyedGroups:
         An element holds ``_q`` and one struct per query, null but for its own.
         """
         row = F.struct("_q", *self._shaped.payloads)
-        return self._collect(rows=self._ordered(self._shaped.order, row))
+        return self._collect(rows=self._ordered(self._shaped.sort_terms, row))
 
     def cogrouped(self) -> DataFrame:
         """One row per page: key, ``_page`` and one list per query, ``s0``, ``s1``, …"""
         lists = {}
         for index, payload in enumerate(self._shaped.payloads):
-            order = [c for c in self._shaped.order if c in (f"_o{index}", "_h")]
+            order = self._shaped.order[index]
             lists[payload] = self._ordered(order, F.col(payload), F.col("_q") == index)
         return self._collect(**lists)
 
     def _ordered(self, order: list[str], row: Column, only: Column | None = None) -> Column:
-        """The list of ``row`` values in the order of the ``order`` columns."""
-        element = F.struct(F.struct(*order).alias("order"), row.alias("row"))
+        """The list of ``row`` values in the order of the ``order`` terms."""
+        terms = F.struct(*(F.col(term).alias(f"t{i}") for i, term in enumerate(order)))
+        element = F.struct(terms.alias("order"), row.alias("row"))
         collected = F.collect_list(element if only is None else F.when(only, element))
         if self._shaped.sortable:
             return F.sort_array(collected)["row"]
@@ -115,7 +115,7 @@ class KeyedGroups:
         # Lists do not shrink before the shuffle, so rows move first and are
         # collected once, instead of being collected on both sides of it.
         terms = self._page_terms
-        page = F.lit(0).cast("bigint").alias("_page") if self.hot is None else F.col("_page")
+        page = _first_page() if self.hot is None else F.col("_page")
         groups = self._paged.repartition(*terms).groupBy(*terms)
         return groups.agg(*(c.alias(n) for n, c in lists.items())).select(*self._key_terms, page, *lists)
 
@@ -173,7 +173,7 @@ class KeyedGroups:
         Columns of ``pdf``: the key, ``_page``, ``_q``, and ``s0_x`` for column x of
         query 0, and so on; they are null in rows of other queries.
         """
-        return self._apply(self._paged, function, schema)
+        return self._apply(self._paged, self._page_terms, function, schema)
 
     def apply_groups(self, function: Callable, merge: Callable, schema: T.StructType | str) -> DataFrame:
         """Call ``function`` per page and ``merge`` on the results of a group's pages.
@@ -196,7 +196,7 @@ class KeyedGroups:
             in_order = pdf.sort_values("_page", kind="stable", ignore_index=True)
             return merge(in_order.drop(columns="_page")).assign(_page=pdf["_page"].min())
 
-        merged = self._apply(self._numbered, on_page, numbered)
+        merged = self._apply(self._numbered, self._page_terms, on_page, numbered)
         pages = -(-self.hot.largest // self.page_rows)
         span = 1
         while span < pages:
@@ -205,20 +205,27 @@ class KeyedGroups:
             merged = merged.groupBy(*self._key_terms, batch).applyInPandas(on_results, numbered)
 
         cold = self.hot.matches(self._shaped.rows, "left_anti")
-        small = self._apply(cold.withColumn("_page", F.lit(0).cast("bigint")), function, schema)
+        small = self._apply(cold.select("*", _first_page()), self._key_terms, function, schema)
         return small.unionByName(merged.drop("_page"))
 
-    def _apply(self, paged: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
+    def _apply(
+        self, paged: DataFrame, terms: list[str], function: Callable, schema: T.StructType | str
+    ) -> DataFrame:
         flat = [
             F.col(payload)[field.name].alias(f"{payload}_{field.name}")
             for payload in self._shaped.payloads
             for field in self._shaped.rows.schema[payload].dataType.fields
         ]
-        terms = [*self._key_terms, "_page"]
+        # The grouping asks for rows sorted by ``terms``; this sort satisfies it and
+        # goes on with the order inside the page.
         return (
             paged.repartition(*terms)
             .sortWithinPartitions(*terms, *self._shaped.sort_terms)
-            .select(*terms, "_q", *flat)
+            .select(*self._key_terms, "_page", "_q", *flat)
             .groupBy(*terms)
             .applyInPandas(function, schema)
         )
+
+
+def _first_page() -> Column:
+    return F.lit(0).cast("bigint").alias("_page")

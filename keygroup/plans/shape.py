@@ -1,9 +1,9 @@
 """The common row shape in which the rows of several queries meet.
 
-Columns: the group key, ``_q`` (position of the query), ``_o0``, ``_o1``, …
-(clustering columns, the order inside a source), ``_h`` (hash of the remaining
-columns, which settles ties in that order) and ``s0``, ``s1``, … (the selected
-columns). Of each numbered series only the row's own source is not null.
+Columns: the group key, ``_q`` (position of the query), ``s0``, ``s1``, … (the
+selected columns), ``_o0``, ``_o1``, … (clustering columns that were not selected
+but give the order) and ``_h`` (hash of the other columns, which settles ties). Of
+each numbered series only the row's own source is not null.
 """
 
 from __future__ import annotations
@@ -24,68 +24,73 @@ from keygroup.sources.tables import KeyedTable
 
 @dataclass(frozen=True)
 class Shaped:
-    """All rows of a job, not yet shuffled."""
+    """All rows of a job, not yet shuffled.
+
+    ``order`` holds, per query, the terms that order its rows inside a group.
+    """
 
     rows: DataFrame
     partition_key: list[str]
     keys: list[str]
-    order: list[str]
     payloads: list[str]
-    sortable: bool
+    order: list[list[str]]
 
     @property
     def sort_terms(self) -> list[str]:
-        """Order inside a group as narrow terms: source, clustering columns, tie hash."""
-        terms = []
-        for name in self.order:
-            dtype = self.rows.schema[name].dataType
-            if isinstance(dtype, T.StructType):
-                terms.extend(f"{name}.{quoted(f.name)}" for f in dtype.fields)
-            else:
-                terms.append(name)
-        return terms
+        """Order of all rows inside a group: query, clustering columns, tie hash."""
+        clustering = [term for terms in self.order for term in terms if term != "_h"]
+        return ["_q", *clustering, "_h"]
+
+    @property
+    def sortable(self) -> bool:
+        """Whether the selected columns have an order of their own."""
+        return not any(_holds_map(self.rows.schema[p].dataType) for p in self.payloads)
 
 
 def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by: Sequence[str]) -> Shaped:
     partition_key = list(tables[0].partition_key)
     keys = [*partition_key, *(c for c in group_by if c not in partition_key)]
-    parts = [_part(i, q, t, keys, group_by) for i, (q, t) in enumerate(zip(queries, tables))]
+    parts, order = [], []
+    for index, (query, table) in enumerate(zip(queries, tables)):
+        part, terms = _part(index, query, table, keys, group_by)
+        parts.append(part)
+        order.append(terms)
 
     # Null placeholders give every part the columns of all the others.
     types = {f.name: f.dataType for part in parts for f in part.schema.fields}
-    series = [c for c in types if c not in (*keys, "_q", "_h")]
-    order = ["_q", *(c for c in series if c.startswith("_o")), "_h"]
-    payloads = [c for c in series if c.startswith("s")]
-    columns = [*keys, *order, *payloads]
     aligned = [
         part.select(
-            *(F.col(quoted(c)) if c in part.columns else F.lit(None).cast(types[c]).alias(c) for c in columns)
+            *(F.col(quoted(c)) if c in part.columns else F.lit(None).cast(types[c]).alias(c) for c in types)
         )
         for part in parts
     ]
-    rows = reduce(DataFrame.unionByName, aligned)
-    sortable = not any(_holds_map(types[c]) for c in payloads)
-    return Shaped(rows, partition_key, keys, order, payloads, sortable)
+    payloads = [f"s{index}" for index in range(len(parts))]
+    return Shaped(reduce(DataFrame.unionByName, aligned), partition_key, keys, payloads, order)
 
 
-def _part(index: int, query: QuerySpec, table: KeyedTable, keys: list[str], group_by: Sequence[str]) -> DataFrame:
+def _part(
+    index: int, query: QuerySpec, table: KeyedTable, keys: list[str], group_by: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """One query's rows in the common shape, and the terms of their order."""
     columns = dict(zip(selected_names(query, table, group_by), selected(query, table, group_by)))
     payload = {name: column for name, column in columns.items() if name not in keys}
     clustering = [c for c in table.clustering if c not in keys]
+    unselected = [c for c in clustering if c not in payload]
+    order = [f"_o{index}.{quoted(c)}" if c in unselected else f"s{index}.{quoted(c)}" for c in clustering]
     ties = [
         _hashable(column, table.df.select(column).schema[0].dataType)
         for name, column in payload.items()
-        if name not in clustering
+        if name not in clustering and not table.unique
     ]
     terms = [F.col(quoted(c)) for c in keys]
     terms.append(F.lit(index).alias("_q"))
-    if clustering:
-        terms.append(F.struct(*(F.col(quoted(c)) for c in clustering)).alias(f"_o{index}"))
     terms.append((F.xxhash64(*ties) if ties else F.lit(0).cast("bigint")).alias("_h"))
+    if unselected:
+        terms.append(F.struct(*(F.col(quoted(c)) for c in unselected)).alias(f"_o{index}"))
     fields = [column.alias(name) for name, column in payload.items()]
     # A query for key columns alone still needs a value that marks its rows.
     terms.append(F.struct(*(fields or [F.lit(True).alias("present")])).alias(f"s{index}"))
-    return filtered(query, table).select(*terms)
+    return filtered(query, table).select(*terms), [*order, "_h"]
 
 
 def _hashable(column: Column, dtype: T.DataType) -> Column:

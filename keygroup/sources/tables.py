@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,12 +21,15 @@ class KeyedTable:
     """A relation with a declared partition key and clustering columns.
 
     File formats carry no keys, so they are declared here. The clustering columns
-    give the order of rows under one partition key. Uniqueness is not required.
+    give the order of rows under one partition key. ``unique`` says that both
+    together identify a row, so that no other column is needed to settle the order;
+    ``require_keys`` leaves out rows with a null in the partition key.
     """
 
     df: DataFrame
     partition_key: tuple[str, ...]
     clustering: tuple[str, ...] = ()
+    unique: bool = False
     require_keys: bool = False
 
     def __post_init__(self) -> None:
@@ -46,11 +51,12 @@ class KeyedTable:
         partition_key: str | Sequence[str],
         clustering: str | Sequence[str] = (),
         rename: Mapping[str, str] | None = None,
+        unique: bool = False,
         require_keys: bool = False,
     ) -> KeyedTable:
         """Declare the keys of ``df``; ``rename`` aligns key names between tables."""
         renamed = df.withColumnsRenamed(dict(rename)) if rename else df
-        return cls(renamed, partition_key, clustering, require_keys)
+        return cls(renamed, partition_key, clustering, unique, require_keys)
 
     @property
     def rows(self) -> DataFrame:
@@ -66,10 +72,13 @@ class KeyedTable:
 
 @dataclass
 class Catalog:
-    """Keyed tables under two-part, case-sensitive names."""
+    """Keyed tables under two-part, case-sensitive names.
+
+    Files and relations are looked at when a query first names them, not before.
+    """
 
     spark: SparkSession
-    _tables: dict[str, dict[str, KeyedTable]] = field(default_factory=dict)
+    _tables: dict[str, dict[str, KeyedTable | Callable[[], KeyedTable]]] = field(default_factory=dict)
 
     def add(self, keyspace: str, table: str, keyed: KeyedTable) -> Catalog:
         self._tables.setdefault(keyspace, {})[table] = keyed
@@ -80,43 +89,45 @@ class Catalog:
         keyspace: str,
         table: str,
         path: str | list[str],
-        partition_key: str | Sequence[str],
-        clustering: str | Sequence[str] = (),
         format: str = "parquet",
         schema: T.StructType | str | None = None,
-        rename: Mapping[str, str] | None = None,
-        require_keys: bool = False,
-        **options: str,
-    ) -> Catalog:
-        """Register files of any format that ``spark.read`` knows."""
-        reader = self.spark.read.format(format).options(**options)
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.load(path)
-        return self.add(keyspace, table, KeyedTable.of(df, partition_key, clustering, rename, require_keys))
-
-    def add_table(
-        self,
-        keyspace: str,
-        table: str,
-        relation: str,
-        partition_key: str | Sequence[str],
-        clustering: str | Sequence[str] = (),
-        rename: Mapping[str, str] | None = None,
-        require_keys: bool = False,
+        options: Mapping[str, str] | None = None,
+        **keys: Any,
     ) -> Catalog:
+        """Register files of any format that ``spark.read`` knows.
+
+        ``keys`` are the arguments of ``KeyedTable.of``.
+        """
+
+        def load() -> KeyedTable:
+            reader = self.spark.read.format(format).options(**(options or {}))
+            if schema is not None:
+                reader = reader.schema(schema)
+            return KeyedTable.of(reader.load(path), **keys)
+
+        return self._add_later(keyspace, table, load)
+
+    def add_table(self, keyspace: str, table: str, relation: str, **keys: Any) -> Catalog:
         """Register a table or view that the session knows by name."""
-        if not self.spark.catalog.tableExists(relation):
-            raise UnknownTableError(f"cannot find relation {relation}")
-        df = self.spark.table(relation)
-        return self.add(keyspace, table, KeyedTable.of(df, partition_key, clustering, rename, require_keys))
+        return self._add_later(keyspace, table, lambda: KeyedTable.of(self.spark.table(relation), **keys))
+
+    def _add_later(self, keyspace: str, table: str, load: Callable[[], KeyedTable]) -> Catalog:
+        self._tables.setdefault(keyspace, {})[table] = load
+        return self
 
     def lookup(self, keyspace: str, table: str) -> KeyedTable:
         if keyspace not in self._tables:
             raise UnknownTableError(f"cannot find keyspace {keyspace}")
         if table not in self._tables[keyspace]:
             raise UnknownTableError(f"cannot find table {table} in keyspace {keyspace}")
-        return self._tables[keyspace][table]
+        found = self._tables[keyspace][table]
+        if not isinstance(found, KeyedTable):
+            try:
+                found = found()
+            except AnalysisException as error:
+                raise UnknownTableError(f"cannot read table {keyspace}.{table}: {error}") from error
+            self._tables[keyspace][table] = found
+        return found
 
 
 def _names(value: str | Sequence[str]) -> tuple[str, ...]:
