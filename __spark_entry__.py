@@ -8,6 +8,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -340,23 +341,25 @@ def q_group_apply(spark, sf_dir):
 
     def per_page(pdf):
         roles = pdf["s0_role"]
-        return pdf.iloc[:1][["conv_id"]].assign(
-            n_turns=len(pdf),
-            n_chars=int(pdf["s0_text"].str.len().sum()),
-            n_changes=int((roles != roles.shift()).iloc[1:].sum()),
-            first_role=roles.iloc[0],
-            last_role=roles.iloc[-1],
-        )
+        return pd.DataFrame({
+            "conv_id": pdf["conv_id"].iloc[:1],
+            "n_turns": len(pdf),
+            "n_chars": pdf["s0_text"].str.len().sum(),
+            "n_changes": (roles != roles.shift()).iloc[1:].sum(),
+            "first_role": roles.iloc[0],
+            "last_role": roles.iloc[-1],
+        })
 
     def merge(pdf):
         borders = (pdf["first_role"] != pdf["last_role"].shift()).iloc[1:].sum()
-        return pdf.iloc[:1][["conv_id"]].assign(
-            n_turns=pdf["n_turns"].sum(),
-            n_chars=pdf["n_chars"].sum(),
-            n_changes=pdf["n_changes"].sum() + borders,
-            first_role=pdf["first_role"].iloc[0],
-            last_role=pdf["last_role"].iloc[-1],
-        )
+        return pd.DataFrame({
+            "conv_id": pdf["conv_id"].iloc[:1],
+            "n_turns": pdf["n_turns"].sum(),
+            "n_chars": pdf["n_chars"].sum(),
+            "n_changes": pdf["n_changes"].sum() + borders,
+            "first_role": pdf["first_role"].iloc[0],
+            "last_role": pdf["last_role"].iloc[-1],
+        })
 
     groups = job(tables(spark, sf_dir), QuerySpec("chat", "conversations")).read()
     schema = "conv_id bigint, n_turns bigint, n_chars bigint, n_changes bigint, first_role string, last_role string"

@@ -7,6 +7,7 @@ from keygroup.operators.slices import TokenRanges, iterate_slices, read_slice, s
 from keygroup.plans.job import MultiQuery
 from keygroup.plans.scan import scan
 from keygroup.plans.spec import QuerySpec, WhereClause
+from keygroup.sources.clustered import write_clustered
 from keygroup.sources.sliced import SlicedTable
 from keygroup.sources.tables import Catalog, KeyedTable
 from keygroup.workspace import drop_workspace, workspace_dir
@@ -31,5 +32,6 @@ __all__ = [
     "scan",
     "slice_profile",
     "with_token",
+    "write_clustered",
     "workspace_dir",
 ]

@@ -30,6 +30,7 @@ class KeyedGroups:
 
     The first form asked for counts the rows per key, over the key columns alone,
     to learn whether any group needs several pages; the count is kept for the rest.
+    Where declared primary keys bound the groups, nothing is counted.
     """
 
     def __init__(self, shaped: Shaped, page_rows: int = DEFAULT_PAGE_ROWS):
@@ -37,36 +38,54 @@ class KeyedGroups:
             raise ValueError(f"page_rows must be positive, not {page_rows}")
         self._shaped = shaped
         self.page_rows = page_rows
-        self.partition_key = shaped.partition_key
-        self.keys = shaped.keys
-        self._key_terms = [quoted(k) for k in shaped.keys]
+        self.keys = shaped.names
+        self._key_terms = shaped.keys
+        self._key_columns = [F.col(k).alias(name) for k, name in zip(shaped.keys, shaped.names)]
+        self._key_names = [quoted(name) for name in shaped.names]
 
     # -- rows and their pages ---------------------------------------------------
 
     @property
     def rows(self) -> DataFrame:
         """The bag of all rows with their source tag; nothing is grouped yet."""
-        return self._shaped.rows.select(*self._key_terms, "_q", *self._shaped.payloads)
+        return self._shaped.rows.select(*self._key_columns, "_q", *self._shaped.payloads)
 
     @cached_property
     def hot(self) -> HotKeys | None:
         """Keys whose groups span several pages, or None."""
-        return find_hot_keys(self._shaped.rows, self.keys, self.page_rows)
+        if self._shaped.most_rows is not None and self._shaped.most_rows <= self.page_rows:
+            return None
+        return find_hot_keys(self._shaped.rows, self._key_terms, self.page_rows)
+
+    @property
+    def _in_place(self) -> bool:
+        """Whether the rows of each group already lie together in a bucket.
+
+        A hot group would make its bucket too large for a task, so rows are then
+        read in even splits instead.
+        """
+        return self._shaped.in_place is not None and self.hot is None
+
+    @property
+    def _small_groups(self) -> DataFrame:
+        """Rows of the groups of one page."""
+        if self.hot is not None:
+            return self.hot.matches(self._shaped.rows, "left_anti")
+        return self._shaped.in_place if self._in_place else self._shaped.rows
 
     @cached_property
     def _numbered(self) -> DataFrame:
         """Rows of the hot groups with ``_pos`` and ``_page``."""
         rows = self.hot.matches(self._shaped.rows, "left_semi")
-        placed = number_rows(rows, self._shaped.sort_terms, self.hot)
+        placed = number_rows(rows, self._shaped.sort_terms, self.hot, self._shaped.unique)
         return placed.withColumn("_page", F.expr(f"(_pos - 1) div {self.page_rows}"))
 
     @cached_property
     def _paged(self) -> DataFrame:
         """All rows with ``_page``."""
         if self.hot is None:
-            return self._shaped.rows.select("*", _first_page())
-        cold = self.hot.matches(self._shaped.rows, "left_anti")
-        return cold.select("*", _first_page()).unionByName(self._numbered.drop("_pos"))
+            return self._small_groups.select("*", _first_page())
+        return self._small_groups.select("*", _first_page()).unionByName(self._numbered.drop("_pos"))
 
     @property
     def _page_terms(self) -> list[str]:
@@ -78,7 +97,9 @@ class KeyedGroups:
         Reads the key columns only; flags are joined before the shuffle.
         """
         flags = (F.bool_or(F.col("_q") == i).alias(f"in_{p}") for i, p in enumerate(self._shaped.payloads))
-        return self._shaped.rows.groupBy(*self._key_terms).agg(*flags)
+        return self._shaped.rows.groupBy(*self._key_terms).agg(*flags).select(
+            *self._key_columns, *(f"in_{p}" for p in self._shaped.payloads)
+        )
 
     # -- groups as lists --------------------------------------------------------
 
@@ -113,11 +134,15 @@ class KeyedGroups:
 
     def _collect(self, **lists: Column) -> DataFrame:
         # Lists do not shrink before the shuffle, so rows move first and are
-        # collected once, instead of being collected on both sides of it.
+        # collected once, instead of being collected on both sides of it. Rows that
+        # lie in buckets of their key need not move at all.
         terms = self._page_terms
         page = _first_page() if self.hot is None else F.col("_page")
-        groups = self._paged.repartition(*terms).groupBy(*terms)
-        return groups.agg(*(c.alias(n) for n, c in lists.items())).select(*self._key_terms, page, *lists)
+        rows = self._paged
+        if not self._in_place:
+            rows = rows.repartition(*terms)
+        groups = rows.groupBy(*terms).agg(*(c.alias(n) for n, c in lists.items()))
+        return groups.select(*self._key_columns, page, *lists)
 
     def fold(self, cogrouped: bool = False, **parts: tuple[Column, Callable[[Column], Column]]) -> DataFrame:
         """One row per group from its lists.
@@ -126,22 +151,20 @@ class KeyedGroups:
         ``_page``), and the aggregate that joins the values of several pages.
         """
         lists = self.cogrouped() if cogrouped else self.merged()
-        pages = lists.select(*self._key_terms, "_page", *(e.alias(n) for n, (e, _) in parts.items()))
+        pages = lists.select(*self._key_names, "_page", *(e.alias(n) for n, (e, _) in parts.items()))
         if self.hot is None:
             return pages.drop("_page")
-        return pages.groupBy(*self._key_terms).agg(*(join(F.col(n)).alias(n) for n, (_, join) in parts.items()))
+        return pages.groupBy(*self._key_names).agg(*(join(F.col(n)).alias(n) for n, (_, join) in parts.items()))
 
     # -- groups as flat rows ----------------------------------------------------
 
     def flat(self) -> DataFrame:
         """Key, ``_pos`` (1-based position in the group), ``_q`` and the structs."""
         window = Window.partitionBy(*self._key_terms).orderBy(*self._shaped.sort_terms)
-        columns = [*self._key_terms, "_pos", "_q", *self._shaped.payloads]
+        columns = [*self._key_columns, "_pos", "_q", *self._shaped.payloads]
         position = F.row_number().over(window).cast("bigint")
-        if self.hot is None:
-            return self._shaped.rows.withColumn("_pos", position).select(*columns)
-        cold = self.hot.matches(self._shaped.rows, "left_anti").withColumn("_pos", position)
-        return cold.select(*columns).unionByName(self._numbered.select(*columns))
+        small = self._small_groups.withColumn("_pos", position).select(*columns)
+        return small if self.hot is None else small.unionByName(self._numbered.select(*columns))
 
     def sorted_slices(self, n: int, tokenizer: Tokenizer = XXHASH_64) -> DataFrame:
         """Rows in exactly ``n`` partitions, each ordered by token, key and group order.
@@ -149,20 +172,20 @@ class KeyedGroups:
         Partition ``i`` is token slice ``i``; page ``p`` of a hot group goes ``p``
         partitions further, round and round. A page is never split.
         """
-        token = tokenizer.column(*(F.col(quoted(c)) for c in self.partition_key))
+        token = tokenizer.column(*self._key_terms[: self._shaped.n_partition_key])
         target = F.pmod(tokenizer.slice_of(TOKEN, n).cast("bigint") + F.col("_page"), F.lit(n)).cast("int")
         return (
             self._paged.withColumn(TOKEN, token)
             .repartitionById(n, target)
             .sortWithinPartitions(TOKEN, *self._key_terms, "_page", *self._shaped.sort_terms)
-            .select(TOKEN, *self._key_terms, "_page", "_q", *self._shaped.payloads)
+            .select(TOKEN, *self._key_columns, "_page", "_q", *self._shaped.payloads)
         )
 
     def partitioned(self, n: int) -> DataFrame:
         """Rows in exactly ``n`` partitions, unsorted; every page lies in one of them."""
         return (
             self._paged.repartition(n, *self._page_terms)
-            .select(*self._key_terms, "_page", "_q", *self._shaped.payloads)
+            .select(*self._key_columns, "_page", "_q", *self._shaped.payloads)
         )
 
     # -- user functions ---------------------------------------------------------
@@ -173,7 +196,7 @@ class KeyedGroups:
         Columns of ``pdf``: the key, ``_page``, ``_q``, and ``s0_x`` for column x of
         query 0, and so on; they are null in rows of other queries.
         """
-        return self._apply(self._paged, self._page_terms, function, schema)
+        return self._apply(self._paged, function, schema)
 
     def apply_groups(self, function: Callable, merge: Callable, schema: T.StructType | str) -> DataFrame:
         """Call ``function`` per page and ``merge`` on the results of a group's pages.
@@ -196,33 +219,38 @@ class KeyedGroups:
             in_order = pdf.sort_values("_page", kind="stable", ignore_index=True)
             return merge(in_order.drop(columns="_page")).assign(_page=pdf["_page"].min())
 
-        merged = self._apply(self._numbered, self._page_terms, on_page, numbered)
+        merged = self._apply(self._numbered, on_page, numbered)
         pages = -(-self.hot.largest // self.page_rows)
         span = 1
         while span < pages:
             span *= MERGE_FAN_IN
             batch = F.expr(f"_page div {span}").alias("_batch")
-            merged = merged.groupBy(*self._key_terms, batch).applyInPandas(on_results, numbered)
+            merged = merged.groupBy(*self._key_names, batch).applyInPandas(on_results, numbered)
 
-        cold = self.hot.matches(self._shaped.rows, "left_anti")
-        small = self._apply(cold.select("*", _first_page()), self._key_terms, function, schema)
+        small = self._apply(self._small_groups.select("*", _first_page()), function, schema, one_page=True)
         return small.unionByName(merged.drop("_page"))
 
     def _apply(
-        self, paged: DataFrame, terms: list[str], function: Callable, schema: T.StructType | str
+        self, paged: DataFrame, function: Callable, schema: T.StructType | str, one_page: bool = False
     ) -> DataFrame:
+        # A constant page number would be dropped from the sort, and the rows would
+        # be sorted once more without their order.
+        page = [] if one_page or self.hot is None else ["_page"]
+        terms = [*self._key_terms, *page]
         flat = [
             F.col(payload)[field.name].alias(f"{payload}_{field.name}")
             for payload in self._shaped.payloads
             for field in self._shaped.rows.schema[payload].dataType.fields
         ]
+        # A fixed number of partitions, since few bytes may mean much work in Python.
         # The grouping asks for rows sorted by ``terms``; this sort satisfies it and
         # goes on with the order inside the page.
+        n = int(paged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return (
-            paged.repartition(*terms)
+            paged.repartition(n, *terms)
             .sortWithinPartitions(*terms, *self._shaped.sort_terms)
-            .select(*self._key_terms, "_page", "_q", *flat)
-            .groupBy(*terms)
+            .select(*self._key_columns, "_page", "_q", *flat)
+            .groupBy(*self._key_names, *page)
             .applyInPandas(function, schema)
         )
 

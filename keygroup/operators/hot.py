@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keygroup.names import quoted
 from keygroup.workspace import materialise
 
 # Largest key table, in bytes, that is shipped to every executor.
@@ -46,11 +45,11 @@ class HotKeys:
         return rows.join(table, _same_key(self.keys), kind)
 
 
-def find_hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> HotKeys | None:
+def find_hot_keys(rows: DataFrame, keys: list[str], limit: int) -> HotKeys | None:
     """Count rows per key, reading the key columns only; partial counts shrink
     before the shuffle, so a hot key costs no more than any other."""
-    keys = list(keys)
-    hot = rows.groupBy(*map(quoted, keys)).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = counts.where(F.col("_n") > limit)
     width = reduce(lambda a, b: a + b, [_width(rows, k) for k in keys])
     found = hot.agg(
         F.count("*").alias("n_keys"),
@@ -64,13 +63,16 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> HotKeys |
     return HotKeys(keys, materialise(hot, "hot-keys"), **found.asDict())
 
 
-def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFrame:
+def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: bool = False) -> DataFrame:
     """Add ``_pos``, the 1-based position of a row in its hot group."""
-    # Equal rows cannot be split by value. A row id does it, and since it is written
-    # out before it is used, a repeated task cannot change it.
-    stored = materialise(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows")
+    terms = [*hot.keys, *order]
+    stored = rows
+    if not unique:
+        # Copies of a row cannot be split by value. A row id does it, and since it is
+        # written out before it is used, a repeated task cannot change it.
+        stored = materialise(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows")
+        terms.append("_rid")
 
-    terms = [*map(quoted, hot.keys), *order, "_rid"]
     n = min(MAX_SORT_TASKS, -(-hot.n_rows // ROWS_PER_TASK))
     n = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = materialise(
@@ -83,10 +85,10 @@ def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFram
     )
 
     # At most one row per hot key and one more per partition border.
-    runs = placed.groupBy(*map(quoted, hot.keys), "_part").agg(
+    runs = placed.groupBy(*hot.keys, "_part").agg(
         F.min("_idx").alias("_start"), F.count("*").alias("_n")
     )
-    before = Window.partitionBy(*map(quoted, hot.keys)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*hot.keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = _aside(
         runs,
         hot.keys,
@@ -97,20 +99,20 @@ def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFram
         runs = F.broadcast(runs)
     same_run = _same_key(hot.keys) & (F.col("_part") == F.col("_run"))
     position = (F.col("_idx") + F.col("_shift")).alias("_pos")
-    return placed.join(runs, same_run).select(*map(quoted, rows.columns), position)
+    return placed.join(runs, same_run).select(*rows.columns, position)
 
 
 def _aside(df: DataFrame, keys: Sequence[str], *others: Column) -> DataFrame:
     """The keys under other names, for a join with rows that bear them."""
-    return df.select(*(F.col(quoted(k)).alias(f"_k{i}") for i, k in enumerate(keys)), *others)
+    return df.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *others)
 
 
 def _same_key(keys: Sequence[str]) -> Column:
     """Keys are equal; nulls form a group of their own."""
-    return reduce(lambda a, b: a & b, [F.col(quoted(k)).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
 
 
 def _width(rows: DataFrame, key: str) -> Column:
     if isinstance(rows.schema[key].dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(quoted(key)), F.lit(0)).cast("bigint") + F.lit(16)
+        return F.coalesce(F.octet_length(key), F.lit(0)).cast("bigint") + F.lit(16)
     return F.lit(16).cast("bigint")

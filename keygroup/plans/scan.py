@@ -52,16 +52,18 @@ def _bound(where: WhereClause, table: KeyedTable) -> tuple[str, list[Any]]:
     return text, args
 
 
-def selected(query: QuerySpec, table: KeyedTable, group_by: Sequence[str]) -> list[Column]:
-    """Grouping columns first, then the query's own columns, repeats dropped."""
-    if not query.columns:
-        return [F.col(quoted(c)) for c in table.df.columns]
-    names = dict.fromkeys([*group_by, *query.columns])
-    return [F.col(quoted(c)) if c in table.df.columns else F.expr(c) for c in names]
-
-
-def selected_names(query: QuerySpec, table: KeyedTable, group_by: Sequence[str]) -> list[str]:
-    return table.df.select(*selected(query, table, group_by)).columns
+def selected(query: QuerySpec, table: KeyedTable, group_by: Sequence[str]) -> dict[str, tuple[Column, T.DataType]]:
+    """Output columns by name, with their types: the grouping columns first, then the
+    query's own columns, repeats dropped."""
+    terms = dict.fromkeys([*group_by, *query.columns]) if query.columns else table.df.columns
+    found = {}
+    for term in terms:
+        if term in table.df.columns:
+            found[term] = F.col(quoted(term)), table.type_of(term)
+        else:
+            [field] = table.df.select(F.expr(term)).schema.fields
+            found[field.name] = F.expr(term), field.dataType
+    return found
 
 
 def scan(
@@ -80,15 +82,15 @@ def scan(
     """
     [table] = check_job(catalog, [query], group_by)
     df = filtered(query, table)
-    columns = selected(query, table, group_by)
+    output = selected(query, table, group_by)
+    columns = [column.alias(name) for name, (column, _) in output.items()]
     if tokenizer is None:
         if token_range is not None:
             raise ValueError("a token range needs a tokenizer")
         return df.select(*columns)
-    taken = set(selected_names(query, table, group_by))
     key = [F.col(quoted(c)) for c in table.partition_key]
     token = tokenizer.column(*key)
     if token_range is not None:
         df = df.where(token.between(*token_range))
-    extra = [F.col(quoted(c)) for c in table.partition_key if c not in taken]
+    extra = [F.col(quoted(c)) for c in table.partition_key if c not in output]
     return df.select(token.alias(TOKEN), *extra, *columns)

@@ -1,6 +1,6 @@
 """The common row shape in which the rows of several queries meet.
 
-Columns: the group key, ``_q`` (position of the query), ``s0``, ``s1``, … (the
+Columns: ``_g0``, ``_g1``, … (the group key), ``_q`` (position of the query), ``s0``, ``s1``, … (the
 selected columns), ``_o0``, ``_o1``, … (clustering columns that were not selected
 but give the order) and ``_h`` (hash of the other columns, which settles ties). Of
 each numbered series only the row's own source is not null.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keygroup.names import quoted
-from keygroup.plans.scan import filtered, selected, selected_names
+from keygroup.plans.scan import filtered, selected
 from keygroup.plans.spec import QuerySpec
 from keygroup.sources.tables import KeyedTable
 
@@ -26,14 +26,25 @@ from keygroup.sources.tables import KeyedTable
 class Shaped:
     """All rows of a job, not yet shuffled.
 
-    ``order`` holds, per query, the terms that order its rows inside a group.
+    ``names`` are the users' names of the key columns. ``order`` holds, per query,
+    the terms that order its rows inside a group. ``unique`` says that every table's
+    rows are told apart by their keys. ``most_rows`` bounds the rows of a group, where
+    the declared keys do so. ``in_place`` are the same rows, read by bucket,
+    if all tables are stored in the same number of buckets.
     """
 
     rows: DataFrame
-    partition_key: list[str]
-    keys: list[str]
+    names: list[str]
+    n_partition_key: int
     payloads: list[str]
     order: list[list[str]]
+    unique: bool
+    most_rows: int | None
+    in_place: DataFrame | None
+
+    @property
+    def keys(self) -> list[str]:
+        return [f"_g{i}" for i in range(len(self.names))]
 
     @property
     def sort_terms(self) -> list[str]:
@@ -48,8 +59,27 @@ class Shaped:
 
 
 def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by: Sequence[str]) -> Shaped:
-    partition_key = list(tables[0].partition_key)
-    keys = [*partition_key, *(c for c in group_by if c not in partition_key)]
+    keys = list(dict.fromkeys([*tables[0].partition_key, *group_by]))
+    rows, order = _union(queries, tables, keys, group_by)
+    # Grouped by a whole primary key, each query has at most one row in a group.
+    one_each = all(t.unique and set(t.clustering) <= set(group_by) for t in tables)
+    clustered = tables[0].buckets > 0 and len({t.buckets for t in tables}) == 1
+    return Shaped(
+        rows=rows,
+        names=keys,
+        n_partition_key=len(tables[0].partition_key),
+        payloads=[f"s{index}" for index in range(len(queries))],
+        order=order,
+        unique=all(t.unique for t in tables),
+        most_rows=len(queries) if one_each else None,
+        in_place=_union(queries, [t.in_place for t in tables], keys, group_by)[0] if clustered else None,
+    )
+
+
+def _union(
+    queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], keys: list[str], group_by: Sequence[str]
+) -> tuple[DataFrame, list[list[str]]]:
+    """All queries' rows in the common shape, and per query the terms of their order."""
     parts, order = [], []
     for index, (query, table) in enumerate(zip(queries, tables)):
         part, terms = _part(index, query, table, keys, group_by)
@@ -64,25 +94,26 @@ def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by:
         )
         for part in parts
     ]
-    payloads = [f"s{index}" for index in range(len(parts))]
-    return Shaped(reduce(DataFrame.unionByName, aligned), partition_key, keys, payloads, order)
+    return reduce(DataFrame.unionByName, aligned), order
 
 
 def _part(
     index: int, query: QuerySpec, table: KeyedTable, keys: list[str], group_by: Sequence[str]
 ) -> tuple[DataFrame, list[str]]:
     """One query's rows in the common shape, and the terms of their order."""
-    columns = dict(zip(selected_names(query, table, group_by), selected(query, table, group_by)))
-    payload = {name: column for name, column in columns.items() if name not in keys}
+    output = selected(query, table, group_by)
+    payload = {name: column for name, (column, _) in output.items() if name not in keys}
     clustering = [c for c in table.clustering if c not in keys]
     unselected = [c for c in clustering if c not in payload]
     order = [f"_o{index}.{quoted(c)}" if c in unselected else f"s{index}.{quoted(c)}" for c in clustering]
     ties = [
-        _hashable(column, table.df.select(column).schema[0].dataType)
+        _hashable(column, output[name][1])
         for name, column in payload.items()
         if name not in clustering and not table.unique
     ]
-    terms = [F.col(quoted(c)) for c in keys]
+    # Under a name of its own a key column keeps the bucketing of its table known
+    # through the union.
+    terms = [F.col(quoted(c)).alias(f"_g{i}") for i, c in enumerate(keys)]
     terms.append(F.lit(index).alias("_q"))
     terms.append((F.xxhash64(*ties) if ties else F.lit(0).cast("bigint")).alias("_h"))
     if unselected:

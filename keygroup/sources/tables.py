@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
@@ -24,6 +24,9 @@ class KeyedTable:
     give the order of rows under one partition key. ``unique`` says that both
     together identify a row, so that no other column is needed to settle the order;
     ``require_keys`` leaves out rows with a null in the partition key.
+
+    A table stored in ``buckets`` of its partition key has a second frame for the
+    same rows, ``bucketed``, that reads a bucket per task.
     """
 
     df: DataFrame
@@ -31,6 +34,8 @@ class KeyedTable:
     clustering: tuple[str, ...] = ()
     unique: bool = False
     require_keys: bool = False
+    bucketed: DataFrame | None = None
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "partition_key", _names(self.partition_key))
@@ -58,6 +63,29 @@ class KeyedTable:
         renamed = df.withColumnsRenamed(dict(rename)) if rename else df
         return cls(renamed, partition_key, clustering, unique, require_keys)
 
+    @classmethod
+    def stored(cls, spark: SparkSession, relation: str, **keys: Any) -> KeyedTable:
+        """Declare the keys of a table or view that the session knows by name.
+
+        If the table is bucketed by its partition key, groups may be read in place.
+        """
+        named = cls.of(spark.table(relation), **keys)
+        described = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {relation}").collect()]
+        heads = [i for i, (name, _) in enumerate(described) if name.startswith("# Detailed")]
+        details = dict(described[heads[-1] :]) if heads else {}
+        rename = keys.get("rename") or {}
+        columns = [rename.get(c, c) for c in details.get("Bucket Columns", "").strip("[]").replace("`", "").split(", ")]
+        if columns != list(named.partition_key) or details["Provider"].lower() != "parquet":
+            return named
+        files = spark.read.schema(spark.table(relation).schema).parquet(details["Location"])
+        plain = cls.of(files, **keys)
+        return replace(plain, bucketed=named.df, buckets=int(details["Num Buckets"]))
+
+    @property
+    def in_place(self) -> KeyedTable:
+        """The same table, read bucket by bucket."""
+        return replace(self, df=self.bucketed)
+
     @property
     def rows(self) -> DataFrame:
         """The table's rows, without null partition keys if those are barred."""
@@ -109,7 +137,7 @@ class Catalog:
 
     def add_table(self, keyspace: str, table: str, relation: str, **keys: Any) -> Catalog:
         """Register a table or view that the session knows by name."""
-        return self._add_later(keyspace, table, lambda: KeyedTable.of(self.spark.table(relation), **keys))
+        return self._add_later(keyspace, table, lambda: KeyedTable.stored(self.spark, relation, **keys))
 
     def _add_later(self, keyspace: str, table: str, load: Callable[[], KeyedTable]) -> Catalog:
         self._tables.setdefault(keyspace, {})[table] = load

@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from keygroup import Catalog, KeyedTable, MultiQuery, QuerySpec
+from keygroup import Catalog, KeyedTable, MultiQuery, QuerySpec, WhereClause
 from keygroup.operators import hot as hot_module
 
 
@@ -181,3 +181,53 @@ def test_presence(skewed):
     rows = read(skewed, CLICKS, VIEWS, page_rows=100).presence().collect()
     found = {r["k"]: (r["in_s0"], r["in_s1"]) for r in rows}
     assert found["hot"] == (True, True) and found["copies"] == (True, False)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unique_rows_need_no_row_id(spark):
+    df = spark.range(500).select((F.col("id") % 2).alias("k"), F.col("id").alias("c"))
+    catalog = Catalog(spark).add("t", "x", KeyedTable.of(df, "k", "c", unique=True))
+    lists, _ = paged_lists(read(catalog, QuerySpec("t", "x"), page_rows=30), "k")
+    assert {k: [r["s0"]["c"] for r in v] for k, v in lists.items()} == {
+        (0,): list(range(0, 500, 2)), (1,): list(range(1, 500, 2))
+    }
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, skewed):
+    from keygroup import write_clustered
+
+    catalog = Catalog(spark)
+    for name in ("clicks", "views"):
+        catalog.add("t", name, write_clustered(skewed.lookup("t", name), f"clustered_{name}", 6))
+    yield catalog
+    for name in ("clicks", "views"):
+        spark.sql(f"DROP TABLE clustered_{name}")
+
+
+def test_clustered_tables_are_grouped_without_a_shuffle(spark, skewed, clustered):
+    groups = read(clustered, CLICKS, VIEWS, page_rows=10_000)
+    for form in (groups.merged(), groups.cogrouped(), groups.flat()):
+        assert "Exchange" not in plan_of(form)
+    assert paged_lists(groups, "k") == paged_lists(read(skewed, CLICKS, VIEWS, page_rows=10_000), "k")
+    by_c = read(clustered, CLICKS, VIEWS, page_rows=10_000, group_by=["c"])
+    assert "Exchange" not in plan_of(by_c.merged())
+    some = QuerySpec("t", "clicks", ("v",), WhereClause("WHERE v > ?", (10,)))
+    assert "Exchange" not in plan_of(read(clustered, some, VIEWS, page_rows=10_000).merged())
+
+
+def test_hot_groups_of_clustered_tables_are_read_in_even_splits(skewed, clustered):
+    groups = read(clustered, CLICKS, VIEWS, page_rows=70)
+    assert paged_lists(groups, "k") == paged_lists(read(skewed, CLICKS, VIEWS, page_rows=70), "k")
+    assert "Bucketed: true" not in plan_of(groups.merged())
+
+
+def test_tables_of_unequal_buckets_are_shuffled(spark, skewed, clustered):
+    catalog = Catalog(spark).add("t", "clicks", clustered.lookup("t", "clicks"))
+    catalog.add("t", "views", skewed.lookup("t", "views"))
+    groups = read(catalog, CLICKS, VIEWS, page_rows=10_000)
+    assert plan_of(groups.merged()).count("Exchange ") == 1
+    assert paged_lists(groups, "k")[0] == paged_lists(read(skewed, CLICKS, VIEWS, page_rows=10_000), "k")[0]
