@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keygroup.workspace import materialise
+from keygroup.workspace import materialise, temporary
 
 # Largest key table, in bytes, that is shipped to every executor.
 BROADCAST_BYTES = 32 << 20
@@ -66,23 +66,15 @@ def find_hot_keys(rows: DataFrame, keys: list[str], limit: int) -> HotKeys | Non
 def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: bool = False) -> DataFrame:
     """Add ``_pos``, the 1-based position of a row in its hot group."""
     terms = [*hot.keys, *order]
-    stored = rows
-    if not unique:
-        # Copies of a row cannot be split by value. A row id does it, and since it is
-        # written out before it is used, a repeated task cannot change it.
-        stored = materialise(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows")
-        terms.append("_rid")
-
     n = min(MAX_SORT_TASKS, -(-hot.n_rows // ROWS_PER_TASK))
     n = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = materialise(
-        stored.repartitionByRange(n, *terms)
-        .sortWithinPartitions(*terms)
-        .drop("_rid")
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_idx", F.monotonically_increasing_id()),
-        "hot-order",
-    )
+    if unique:
+        placed = _placed(rows, terms, n)
+    else:
+        # Copies of a row cannot be split by value. A row id does it, and since it is
+        # written out before it is used, a repeated task cannot change it.
+        with temporary(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows") as stored:
+            placed = _placed(stored, [*terms, "_rid"], n)
 
     # At most one row per hot key and one more per partition border.
     runs = placed.groupBy(*hot.keys, "_part").agg(
@@ -102,6 +94,13 @@ def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: boo
     return placed.join(runs, same_run).select(*rows.columns, position)
 
 
+def _placed(rows: DataFrame, terms: Sequence[str], n: int) -> DataFrame:
+    """Rows in ``n`` sorted partitions, with the partition and an index that grows in it."""
+    ordered = rows.repartitionByRange(n, *terms).sortWithinPartitions(*terms)
+    indexed = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
+    return materialise(indexed, "hot-order")
+
+
 def _aside(df: DataFrame, keys: Sequence[str], *others: Column) -> DataFrame:
     """The keys under other names, for a join with rows that bear them."""
     return df.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *others)

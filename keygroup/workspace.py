@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,16 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{workspace_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def temporary(df: DataFrame, tag: str) -> Iterator[DataFrame]:
+    """Like ``materialise``, for a table that is not needed after the block."""
+    spark = df.sparkSession
+    path = new_path(spark, tag)
+    df.write.parquet(path)
+    yield spark.read.schema(df.schema).parquet(path)
+    _delete(spark, path)
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once and return a frame over the written files."""
     spark = df.sparkSession
@@ -44,7 +56,9 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
 def drop_workspace(spark: SparkSession) -> bool:
     """Delete the intermediate tables of this application, and nothing else."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(workspace_dir(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.delete(path, True)
+    return _delete(spark, workspace_dir(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
