@@ -22,8 +22,9 @@ class KeyedGroups:
     """The groups of a job, in several forms.
 
     A group of up to ``page_rows`` rows is one page, numbered 0. A larger group is
-    cut into consecutive pages, so that no list outgrows a task: pages 0, 1, 2, …
-    of a key, in that order, are its rows in order.
+    cut into consecutive pages, so that no list outgrows a task: the pages of a key,
+    by number, are its rows in order. With ``page_bytes``, a page is also cut where
+    the selected values before its last row reach that size; numbers may then skip.
 
     Order inside a group: position of the query, clustering columns, and a hash of
     the other columns between rows that agree in those.
@@ -33,11 +34,20 @@ class KeyedGroups:
     Where declared primary keys bound the groups, nothing is counted.
     """
 
-    def __init__(self, shaped: Shaped, page_rows: int = DEFAULT_PAGE_ROWS):
+    def __init__(self, shaped: Shaped, page_rows: int = DEFAULT_PAGE_ROWS, page_bytes: int | None = None):
         if page_rows < 1:
             raise ValueError(f"page_rows must be positive, not {page_rows}")
+        if page_bytes is not None and page_bytes < 1:
+            raise ValueError(f"page_bytes must be positive, not {page_bytes}")
         self._shaped = shaped
         self.page_rows = page_rows
+        # What a page may weigh, and what a row weighs: one, or its bytes, but never
+        # so few that a page could hold more than ``page_rows`` rows.
+        self._page_weight, self._row_weight = page_rows, None
+        if page_bytes is not None:
+            least = -(-page_bytes // page_rows)
+            self._page_weight = least * page_rows
+            self._row_weight = F.greatest(shaped.row_bytes, F.lit(least).cast("bigint"))
         self.keys = shaped.names
         self._key_terms = shaped.keys
         self._key_columns = [F.col(k).alias(name) for k, name in zip(shaped.keys, shaped.names)]
@@ -53,9 +63,10 @@ class KeyedGroups:
     @cached_property
     def hot(self) -> HotKeys | None:
         """Keys whose groups span several pages, or None."""
-        if self._shaped.most_rows is not None and self._shaped.most_rows <= self.page_rows:
+        bounded = self._row_weight is None and self._shaped.most_rows is not None
+        if bounded and self._shaped.most_rows <= self.page_rows:
             return None
-        return find_hot_keys(self._shaped.rows, self._key_terms, self.page_rows)
+        return find_hot_keys(self._shaped.rows, self._key_terms, self._page_weight, self._row_weight)
 
     @property
     def _in_place(self) -> bool:
@@ -77,8 +88,8 @@ class KeyedGroups:
     def _numbered(self) -> DataFrame:
         """Rows of the hot groups with ``_pos`` and ``_page``."""
         rows = self.hot.matches(self._shaped.rows, "left_semi")
-        placed = number_rows(rows, self._shaped.sort_terms, self.hot, self._shaped.unique)
-        return placed.withColumn("_page", F.expr(f"(_pos - 1) div {self.page_rows}"))
+        placed = number_rows(rows, self._shaped.sort_terms, self.hot, self._shaped.unique, self._row_weight)
+        return placed.withColumn("_page", F.expr(f"_before div {self._page_weight}")).drop("_before")
 
     @cached_property
     def _paged(self) -> DataFrame:
@@ -220,7 +231,7 @@ class KeyedGroups:
             return merge(in_order.drop(columns="_page")).assign(_page=pdf["_page"].min())
 
         merged = self._apply(self._numbered, on_page, numbered)
-        pages = -(-self.hot.largest // self.page_rows)
+        pages = -(-self.hot.largest // self._page_weight)
         span = 1
         while span < pages:
             span *= MERGE_FAN_IN

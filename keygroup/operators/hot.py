@@ -20,6 +20,9 @@ from keygroup.workspace import materialise, temporary
 # Largest key table, in bytes, that is shipped to every executor.
 BROADCAST_BYTES = 32 << 20
 
+# Room that a row of such a table takes beside its values.
+ROW_BYTES = 64
+
 # Rows of hot groups per sort task, and the limit to the number of such tasks.
 ROWS_PER_TASK = 1_000_000
 MAX_SORT_TASKS = 8_000
@@ -27,7 +30,7 @@ MAX_SORT_TASKS = 8_000
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with more than ``limit`` rows, and measures of them."""
+    """Keys whose rows outgrow a page, and measures of them."""
 
     keys: list[str]
     table: DataFrame
@@ -45,16 +48,21 @@ class HotKeys:
         return rows.join(table, _same_key(self.keys), kind)
 
 
-def find_hot_keys(rows: DataFrame, keys: list[str], limit: int) -> HotKeys | None:
-    """Count rows per key, reading the key columns only; partial counts shrink
-    before the shuffle, so a hot key costs no more than any other."""
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = counts.where(F.col("_n") > limit)
+def find_hot_keys(rows: DataFrame, keys: list[str], limit: int, weight: Column | None = None) -> HotKeys | None:
+    """Sum up the weight of the rows per key, one each unless given; keep the keys
+    above the limit.
+
+    Partial sums shrink before the shuffle, so a hot key costs no more than any
+    other. Unweighted, only the key columns are read.
+    """
+    number = F.count("*")
+    total = number if weight is None else F.sum(weight)
+    hot = rows.groupBy(*keys).agg(number.alias("_n"), total.alias("_w")).where(F.col("_w") > limit)
     width = reduce(lambda a, b: a + b, [_width(rows, k) for k in keys])
     found = hot.agg(
         F.count("*").alias("n_keys"),
         F.sum("_n").alias("n_rows"),
-        F.max("_n").alias("largest"),
+        F.max("_w").alias("largest"),
         F.sum(width).alias("key_bytes"),
         F.max(width).alias("widest_key"),
     ).first()
@@ -63,8 +71,14 @@ def find_hot_keys(rows: DataFrame, keys: list[str], limit: int) -> HotKeys | Non
     return HotKeys(keys, materialise(hot, "hot-keys"), **found.asDict())
 
 
-def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: bool = False) -> DataFrame:
-    """Add ``_pos``, the 1-based position of a row in its hot group."""
+def number_rows(
+    rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: bool = False, weight: Column | None = None
+) -> DataFrame:
+    """Add ``_pos``, the 1-based position of a row in its hot group, and ``_before``,
+    the weight of the rows before it."""
+    columns = rows.columns
+    if weight is not None:
+        rows = rows.withColumn("_w", weight)
     terms = [*hot.keys, *order]
     n = min(MAX_SORT_TASKS, -(-hot.n_rows // ROWS_PER_TASK))
     n = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -76,22 +90,24 @@ def number_rows(rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: boo
         with temporary(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows") as stored:
             placed = _placed(stored, [*terms, "_rid"], n)
 
-    # At most one row per hot key and one more per partition border.
+    # A run is the part of a group in one partition: at most one per hot key, and one
+    # more per partition border.
+    measures = {"_n": F.count("*")} if weight is None else {"_n": F.count("*"), "_w": F.sum("_w")}
     runs = placed.groupBy(*hot.keys, "_part").agg(
-        F.min("_idx").alias("_start"), F.count("*").alias("_n")
-    )
-    before = Window.partitionBy(*hot.keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = _aside(
-        runs,
-        hot.keys,
-        F.col("_part").alias("_run"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 1).alias("_shift"),
+        F.min("_idx").alias("_start"), *(total.alias(name) for name, total in measures.items())
     )
-    if hot.key_bytes + n * hot.widest_key + (hot.n_keys + n) * 16 <= BROADCAST_BYTES:
+    earlier = Window.partitionBy(*hot.keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = (F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_earlier{name}") for name in measures)
+    runs = _aside(runs, hot.keys, F.col("_part").alias("_run"), "_start", *sums)
+    if hot.key_bytes + n * hot.widest_key + (hot.n_keys + n) * ROW_BYTES <= BROADCAST_BYTES:
         runs = F.broadcast(runs)
-    same_run = _same_key(hot.keys) & (F.col("_part") == F.col("_run"))
-    position = (F.col("_idx") + F.col("_shift")).alias("_pos")
-    return placed.join(runs, same_run).select(*rows.columns, position)
+    numbered = placed.join(runs, _same_key(hot.keys) & (F.col("_part") == F.col("_run")))
+    position = F.col("_idx") - F.col("_start") + F.col("_earlier_n") + 1
+    before = position - 1
+    if weight is not None:
+        inside = Window.partitionBy(*hot.keys, "_part").orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.col("_earlier_w") + F.coalesce(F.sum("_w").over(inside), F.lit(0))
+    return numbered.select(*columns, position.alias("_pos"), before.alias("_before"))
 
 
 def _placed(rows: DataFrame, terms: Sequence[str], n: int) -> DataFrame:
@@ -101,7 +117,7 @@ def _placed(rows: DataFrame, terms: Sequence[str], n: int) -> DataFrame:
     return materialise(indexed, "hot-order")
 
 
-def _aside(df: DataFrame, keys: Sequence[str], *others: Column) -> DataFrame:
+def _aside(df: DataFrame, keys: Sequence[str], *others: Column | str) -> DataFrame:
     """The keys under other names, for a join with rows that bear them."""
     return df.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *others)
 
@@ -113,5 +129,5 @@ def _same_key(keys: Sequence[str]) -> Column:
 
 def _width(rows: DataFrame, key: str) -> Column:
     if isinstance(rows.schema[key].dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(key), F.lit(0)).cast("bigint") + F.lit(16)
-    return F.lit(16).cast("bigint")
+        return F.coalesce(F.octet_length(key), F.lit(0)).cast("bigint") + F.lit(ROW_BYTES)
+    return F.lit(ROW_BYTES).cast("bigint")

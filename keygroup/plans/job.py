@@ -33,7 +33,11 @@ class MultiQuery:
         """Check the whole job against the schemas; reads no data."""
         return check_job(self.catalog, self.queries, self.grouping)
 
-    def read(self, page_rows: int = DEFAULT_PAGE_ROWS) -> KeyedGroups:
-        """Validate the job and open its groups, still without reading data."""
+    def read(self, page_rows: int = DEFAULT_PAGE_ROWS, page_bytes: int | None = None) -> KeyedGroups:
+        """Validate the job and open its groups, still without reading data.
+
+        ``page_rows`` and, for rows of very unequal width, ``page_bytes`` bound the
+        lists that groups come in.
+        """
         tables = self.validate()
-        return KeyedGroups(shape(self.queries, tables, self.grouping), page_rows)
+        return KeyedGroups(shape(self.queries, tables, self.grouping), page_rows, page_bytes)

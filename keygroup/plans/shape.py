@@ -52,6 +52,12 @@ class Shaped:
         clustering = [term for terms in self.order for term in terms if term != "_h"]
         return ["_q", *clustering, "_h"]
 
+    @property
+    def row_bytes(self) -> Column:
+        """Size of the selected values of a row, near enough to bound a page."""
+        fields = [(f"{p}.{quoted(f.name)}", f.dataType) for p in self.payloads for f in self.rows.schema[p].dataType.fields]
+        return reduce(lambda a, b: a + b, [_bytes(F.col(term), dtype) for term, dtype in fields])
+
     @property
     def sortable(self) -> bool:
         """Whether the selected columns have an order of their own."""
@@ -124,6 +130,16 @@ def _part(
     return filtered(query, table).select(*terms), [*order, "_h"]
 
 
+def _bytes(column: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        size = F.octet_length(F.to_json(F.struct(column)))
+    else:
+        return F.lit(8).cast("bigint")
+    return F.coalesce(size, F.lit(0)).cast("bigint") + F.lit(8)
+
+
 def _hashable(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.MapType):
         return F.map_entries(column)

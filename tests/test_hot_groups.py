@@ -231,3 +231,32 @@ def test_tables_of_unequal_buckets_are_shuffled(spark, skewed, clustered):
     groups = read(catalog, CLICKS, VIEWS, page_rows=10_000)
     assert plan_of(groups.merged()).count("Exchange ") == 1
     assert paged_lists(groups, "k")[0] == paged_lists(read(skewed, CLICKS, VIEWS, page_rows=10_000), "k")[0]
+
+
+def test_pages_bounded_by_bytes(spark):
+    """Long texts among short ones: no page holds more than its bytes and one row."""
+    text = F.repeat(F.lit("é"), F.when(F.col("id") % 50 == 0, 4000).otherwise(F.col("id") % 30).cast("int"))
+    df = spark.range(3000).select((F.col("id") % 3 > 0).cast("int").alias("k"), F.col("id").alias("c"), text.alias("t"))
+    catalog = Catalog(spark).add("t", "x", KeyedTable.of(df, "k", "c", unique=True))
+    spec = QuerySpec("t", "x", ("t",))
+    whole, _ = paged_lists(read(catalog, spec, page_rows=10_000), "k")
+    groups = MultiQuery(catalog).add(spec).read(page_rows=100, page_bytes=20_000)
+    cut, pages = paged_lists(groups, "k")
+    assert cut == whole and {k: len(v) for k, v in whole.items()} == {(0,): 1000, (1,): 2000}
+    for key, numbers in pages.items():
+        assert len(numbers) == len(set(p for p, _ in numbers)) > 10
+        at = 0
+        for _, size in numbers:
+            weights = [max(200, len(r["s0"]["t"].encode()) + 8) for r in cut[key][at : at + size]]
+            assert size <= 100 and sum(weights[:-1]) < 20_000
+            at += size
+    positions = sorted((r["k"], r["_pos"]) for r in groups.flat().collect())
+    assert positions == [(0, i) for i in range(1, 1001)] + [(1, i) for i in range(1, 2001)]
+    small = MultiQuery(catalog).add(spec).read(page_bytes=10**9)
+    assert small.hot is None and small.merged().count() == 2
+
+
+@pytest.mark.parametrize("bad", [dict(page_rows=0), dict(page_bytes=0)])
+def test_page_sizes_are_checked(skewed, bad):
+    with pytest.raises(ValueError):
+        MultiQuery(skewed).add(CLICKS).read(**bad)
