@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from keygroup import (
     MD5_60,
     Catalog,
+    KeyedTable,
     MultiQuery,
     QuerySpec,
     SlicedTable,
@@ -27,8 +28,9 @@ from keygroup.workspace import new_path
 
 SLICES = 16
 
-# Page size of the queries whose groups span several pages even in small data.
+# Page sizes of the queries whose groups span several pages even in small data.
 HOT_PAGE_ROWS = 5_000
+TEXT_PAGE_ROWS, TEXT_PAGE_BYTES = 500, 1_000_000
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
@@ -46,6 +48,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Catalog:
     add("web", "events", "events", "user_id", ["event_type", "ts", "event_id"], True)
     add("docs", "documents", "documents", "doc_id", (), True)
     add("docs", "labels", "labels", "doc_id", (), True)
+    add("docs", "by_language", "documents", "lang", "doc_id", True)
     add("sales", "orders", "orders", "orderkey", "status", True, o_orderkey="orderkey", o_orderstatus="status")
     add("sales", "lines", "lineitem", "orderkey", ["status", *LINE_ORDER], l_orderkey="orderkey", l_linestatus="status")
     add("sales", "lines_by_supplier", "lineitem", ["orderkey", "suppkey"], l_orderkey="orderkey", l_suppkey="suppkey")
@@ -222,6 +225,23 @@ def q_pages_hot(spark, sf_dir):
     )
 
 
+def q_pages_bytes(spark, sf_dir):
+    """Texts by language, in pages bounded by rows and by bytes."""
+    texts = job(tables(spark, sf_dir), QuerySpec("docs", "by_language", ("doc_id", "text")))
+    pages = texts.read(TEXT_PAGE_ROWS, TEXT_PAGE_BYTES).merged()
+    size = F.aggregate(
+        "rows", F.lit(0).cast("bigint"), lambda total, r: total + F.octet_length(r["s0"]["text"]).cast("bigint")
+    )
+    return pages.select(
+        "lang",
+        F.col("_page").alias("page"),
+        F.size("rows").cast("bigint").alias("n_rows"),
+        size.alias("n_bytes"),
+        F.element_at("rows", 1)["s0"]["doc_id"].alias("first_doc"),
+        F.element_at("rows", -1)["s0"]["doc_id"].alias("last_doc"),
+    )
+
+
 # -- ordered and partitioned delivery ---------------------------------------------
 
 
@@ -305,7 +325,7 @@ def q_slice_profile(spark, sf_dir):
 
 def q_slice_backfill(spark, sf_dir):
     """One aggregate per slice, each reading the files of its slice only."""
-    lines = tables(spark, sf_dir).lookup("sales", "lines")
+    lines = KeyedTable.of(tables(spark, sf_dir).lookup("sales", "lines").df.select("orderkey", "l_partkey"), "orderkey")
     sliced = SlicedTable.write(lines, new_path(spark, "backfill"), SLICES, MD5_60)
     done = None
     for index, part in sliced:
@@ -492,6 +512,16 @@ def oracle_sql() -> dict[str, str]:
                       PARTITION BY l_linestatus ORDER BY l_orderkey NULLS FIRST, {_LINE_ORDER}) AS pos
                   FROM lineitem)
             GROUP BY l_linestatus, page""",
+        "q_pages_bytes": f"""
+            SELECT lang, page, count(*) AS n_rows, CAST(sum(size) AS BIGINT) AS n_bytes,
+                   min(doc_id) AS first_doc, max(doc_id) AS last_doc
+            FROM (SELECT *, CAST(coalesce(sum(weight) OVER (
+                             PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                         // {TEXT_PAGE_BYTES} AS BIGINT) AS page
+                  FROM (SELECT lang, doc_id, strlen(text) AS size,
+                               greatest(strlen(text) + 16, {TEXT_PAGE_BYTES // TEXT_PAGE_ROWS}) AS weight
+                        FROM documents))
+            GROUP BY lang, page""",
         "q_sorted_slices": f"""
             SELECT {_slice_sql('token')} AS slice, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_late,
                    min(token) AS min_token, max(token) AS max_token

@@ -59,16 +59,20 @@ def find_hot_keys(rows: DataFrame, keys: list[str], limit: int, weight: Column |
     total = number if weight is None else F.sum(weight)
     hot = rows.groupBy(*keys).agg(number.alias("_n"), total.alias("_w")).where(F.col("_w") > limit)
     width = reduce(lambda a, b: a + b, [_width(rows, k) for k in keys])
-    found = hot.agg(
-        F.count("*").alias("n_keys"),
-        F.sum("_n").alias("n_rows"),
-        F.max("_w").alias("largest"),
-        F.sum(width).alias("key_bytes"),
-        F.max(width).alias("widest_key"),
-    ).first()
-    if found.n_keys == 0:
-        return None
-    return HotKeys(keys, materialise(hot, "hot-keys"), **found.asDict())
+    # The few keys found are measured and then, if there are any, stored; they are
+    # kept between the two so that the rows are counted once.
+    hot.persist()
+    try:
+        found = hot.agg(
+            F.count("*").alias("n_keys"),
+            F.sum("_n").alias("n_rows"),
+            F.max("_w").alias("largest"),
+            F.sum(width).alias("key_bytes"),
+            F.max(width).alias("widest_key"),
+        ).first()
+        return HotKeys(keys, materialise(hot, "hot-keys"), **found.asDict()) if found.n_keys else None
+    finally:
+        hot.unpersist()
 
 
 def number_rows(
