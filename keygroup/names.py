@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 TOKEN = "_token"
 SLICE = "_slice"
-RESERVED = (TOKEN, SLICE, "_q", "_h", "_page", "_pos", "_part", "_rid", "_idx", "_shift", "_n", "rows")
+
+# Output columns of the grouped forms; a key column may not bear one of these names.
+_RESERVED = re.compile(r"_token|_slice|_page|_pos|_q|_batch|rows|(in_)?s\d+", re.IGNORECASE)
+
+
+def is_reserved(name: str) -> bool:
+    return _RESERVED.fullmatch(name) is not None
 
 
 def quoted(name: str) -> str:

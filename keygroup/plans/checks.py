@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keygroup.errors import JobError
-from keygroup.names import RESERVED
+from keygroup.names import is_reserved
 from keygroup.plans.spec import QuerySpec
 from keygroup.sources.tables import Catalog, KeyedTable
 
@@ -45,7 +45,7 @@ def check_job(catalog: Catalog, queries: Sequence[QuerySpec], group_by: Sequence
     check_partition_keys(queries, tables)
     check_grouping(queries, tables, group_by)
     for query, table in zip(queries, tables):
-        check_columns(query, table)
+        check_columns(query, table, group_by)
         check_arguments(query, table)
     return tables
 
@@ -79,7 +79,7 @@ def check_grouping(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], g
             check_groupable(query, column, dtype)
             if dtype != tables[0].type_of(column):
                 raise JobError(f"grouping column {column} has another type in {query.name} than in {queries[0].name}")
-        clash = [c for c in (*table.partition_key, *group_by) if c in RESERVED]
+        clash = [c for c in (*table.partition_key, *group_by) if is_reserved(c)]
         if clash:
             raise JobError(f"key columns {clash} of {query.name} bear reserved names")
 
@@ -89,15 +89,20 @@ def check_groupable(query: QuerySpec, column: str, dtype: T.DataType) -> None:
         raise JobError(f"cannot group {query.name} by {column} of type {dtype.simpleString()}")
 
 
-def check_columns(query: QuerySpec, table: KeyedTable) -> None:
-    """Every selected term is a column of the table or an expression over its columns."""
-    for term in query.columns:
+def check_columns(query: QuerySpec, table: KeyedTable, group_by: Sequence[str]) -> None:
+    """Every selected term is a column of the table or an expression over its columns,
+    and an expression has a name of its own."""
+    taken = {*table.partition_key, *group_by, *(c for c in query.columns if c in table.df.columns)}
+    for term in dict.fromkeys(query.columns):
         if term in table.df.columns:
             continue
         try:
-            table.df.select(F.expr(term)).schema
+            names = table.df.select(F.expr(term)).columns
         except AnalysisException as error:
             raise JobError(f"{query.name} has no column {term}") from error
+        if len(names) != 1 or names[0] in taken:
+            raise JobError(f"{query.name} needs one new name for {term}")
+        taken.update(names)
 
 
 def check_arguments(query: QuerySpec, table: KeyedTable) -> None:

@@ -1,9 +1,10 @@
 """The common row shape in which the rows of several queries meet.
 
-Columns: ``_g0``, ``_g1``, … (the group key), ``_q`` (position of the query), ``s0``, ``s1``, … (the
-selected columns), ``_o0``, ``_o1``, … (clustering columns that were not selected
-but give the order) and ``_h`` (hash of the other columns, which settles ties). Of
-each numbered series only the row's own source is not null.
+Columns: ``_g0``, ``_g1``, … (the group key), ``_q`` (position of the query),
+``s0``, ``s1``, … (the selected columns per query), ``_o0``, ``_o1``, … (clustering
+columns that were not selected but give the order) and ``_h`` (hash of the other
+columns, which settles ties). Of a series per query, only that of the row's own
+query is not null.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ class Shaped:
     ``names`` are the users' names of the key columns. ``order`` holds, per query,
     the terms that order its rows inside a group. ``unique`` says that every table's
     rows are told apart by their keys. ``most_rows`` bounds the rows of a group, where
-    the declared keys do so. ``in_place`` are the same rows, read by bucket,
-    if all tables are stored in the same number of buckets.
+    the declared keys do so. ``in_place`` are the same rows, read by bucket, if all
+    tables are stored in the same number of buckets.
     """
 
     rows: DataFrame
@@ -55,8 +56,12 @@ class Shaped:
     @property
     def row_bytes(self) -> Column:
         """Size of the selected values of a row, near enough to bound a page."""
-        fields = [(f"{p}.{quoted(f.name)}", f.dataType) for p in self.payloads for f in self.rows.schema[p].dataType.fields]
-        return reduce(lambda a, b: a + b, [_bytes(F.col(term), dtype) for term, dtype in fields])
+        sizes = [
+            _bytes(F.col(f"{payload}.{quoted(field.name)}"), field.dataType)
+            for payload in self.payloads
+            for field in self.rows.schema[payload].dataType.fields
+        ]
+        return reduce(lambda a, b: a + b, sizes)
 
     @property
     def sortable(self) -> bool:
@@ -110,7 +115,8 @@ def _part(
     output = selected(query, table, group_by)
     payload = {name: column for name, (column, _) in output.items() if name not in keys}
     clustering = [c for c in table.clustering if c not in keys]
-    unselected = [c for c in clustering if c not in payload]
+    plain = {*group_by, *(query.columns or table.df.columns)}
+    unselected = [c for c in clustering if c not in plain]
     order = [f"_o{index}.{quoted(c)}" if c in unselected else f"s{index}.{quoted(c)}" for c in clustering]
     ties = [
         _hashable(column, output[name][1])

@@ -45,6 +45,8 @@ class KeyedTable:
         primary = [*self.partition_key, *self.clustering]
         if len(set(primary)) != len(primary):
             raise JobError(f"a key column is declared twice: {primary}")
+        if len(set(self.df.columns)) != len(self.df.columns):
+            raise JobError(f"a column name occurs twice: {self.df.columns}")
         missing = [c for c in primary if c not in self.df.columns]
         if missing:
             raise JobError(f"key columns {missing} are not among {self.df.columns}")

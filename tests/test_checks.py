@@ -27,6 +27,7 @@ def catalog(spark):
         .add("a", "lists", table("k int, c array<int>", "k", "c"))
         .add("a", "map_key", table("k struct<x:int>, c int", "k", "c"))
         .add("a", "reserved", table("_page int, c int", "_page", "c"))
+        .add("a", "reserved_too", table("s0 int, c int", "s0", "c"))
     )
 
 
@@ -72,15 +73,20 @@ def test_grouping_types(catalog):
 
 def test_reserved_key_names(catalog):
     refused(catalog, spec("reserved"), match="reserved")
+    refused(catalog, spec("reserved_too"), match="reserved")
 
 
 def test_columns_must_exist(catalog):
     refused(catalog, spec("base", "v", "nope"), match="no column nope")
     assert scan(catalog, spec("base", "v + 1 AS w"), tokenizer=None).columns == ["w"]
+    for terms in (("v", "c AS v"), ("upper(c) AS k",), ("v + 1 AS w", "v + 2 AS w")):
+        refused(catalog, spec("base", *terms), match="new name")
 
 
 def test_keyed_table_declaration(spark):
     df = spark.createDataFrame([], "k int, c int")
+    with pytest.raises(JobError, match="twice"):
+        KeyedTable.of(df, "k", rename={"c": "k"})
     for key, clustering in ([], "c"), ("x", ()), ("k", "x"), (["k", "k"], ()), ("k", "k"):
         with pytest.raises(JobError):
             KeyedTable.of(df, key, clustering)

@@ -39,6 +39,13 @@ def test_select_terms(spark):
     assert [tuple(r["s0"]) for r in group["rows"]] == [(4, "A"), (3, "B")]
 
 
+def test_expression_named_like_an_unselected_clustering_column(spark):
+    df = spark.createDataFrame([(1, c) for c in (3, 1, 2)], "k int, c int")
+    catalog = Catalog(spark).add("t", "x", KeyedTable.of(df, "k", "c"))
+    [group] = MultiQuery(catalog).add(QuerySpec("t", "x", ("-c AS c",))).read().merged().collect()
+    assert [r["s0"]["c"] for r in group["rows"]] == [-1, -2, -3]
+
+
 def test_names_with_dots_and_spaces(spark):
     df = spark.createDataFrame([(1, 2, 3), (1, 1, 4)], "`a.b` int, `c d` int, `e``f` int")
     catalog = Catalog(spark).add("t", "x", KeyedTable.of(df, "a.b", "c d"))
