@@ -87,8 +87,11 @@ class KeyedGroups:
     @cached_property
     def _numbered(self) -> DataFrame:
         """Rows of the hot groups with ``_pos`` and ``_page``."""
-        rows = self.hot.matches(self._shaped.rows, "left_semi")
-        placed = number_rows(rows, self._shaped.sort_terms, self.hot, self._shaped.unique, self._row_weight)
+        shaped = self._shaped
+        identified = not shaped.unique and shaped.identified is not None
+        distinct = [] if shaped.unique else ["_rid"] if identified else None
+        rows = self.hot.matches(shaped.identified() if identified else shaped.rows, "left_semi")
+        placed = number_rows(rows, shaped.sort_terms, self.hot, distinct, self._row_weight)
         return placed.withColumn("_page", F.expr(f"_before div {self._page_weight}")).drop("_before")
 
     @cached_property

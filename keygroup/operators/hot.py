@@ -76,23 +76,30 @@ def find_hot_keys(rows: DataFrame, keys: list[str], limit: int, weight: Column |
 
 
 def number_rows(
-    rows: DataFrame, order: Sequence[str], hot: HotKeys, unique: bool = False, weight: Column | None = None
+    rows: DataFrame,
+    order: Sequence[str],
+    hot: HotKeys,
+    distinct: Sequence[str] | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Add ``_pos``, the 1-based position of a row in its hot group, and ``_before``,
-    the weight of the rows before it."""
-    columns = rows.columns
+    the weight of the rows before it.
+
+    ``distinct`` are terms that tell rows of equal key and order apart.
+    """
+    columns = [c for c in rows.columns if c not in (distinct or ())]
     if weight is not None:
         rows = rows.withColumn("_w", weight)
     terms = [*hot.keys, *order]
     n = min(MAX_SORT_TASKS, -(-hot.n_rows // ROWS_PER_TASK))
     n = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    if unique:
-        placed = _placed(rows, terms, n)
+    if distinct is not None:
+        placed = _placed(rows, [*terms, *distinct], n, unneeded=distinct)
     else:
         # Copies of a row cannot be split by value. A row id does it, and since it is
         # written out before it is used, a repeated task cannot change it.
         with temporary(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows") as stored:
-            placed = _placed(stored, [*terms, "_rid"], n)
+            placed = _placed(stored, [*terms, "_rid"], n, unneeded=["_rid"])
 
     # A run is the part of a group in one partition: at most one per hot key, and one
     # more per partition border.
@@ -114,9 +121,9 @@ def number_rows(
     return numbered.select(*columns, position.alias("_pos"), before.alias("_before"))
 
 
-def _placed(rows: DataFrame, terms: Sequence[str], n: int) -> DataFrame:
+def _placed(rows: DataFrame, terms: Sequence[str], n: int, unneeded: Sequence[str]) -> DataFrame:
     """Rows in ``n`` sorted partitions, with the partition and an index that grows in it."""
-    ordered = rows.repartitionByRange(n, *terms).sortWithinPartitions(*terms)
+    ordered = rows.repartitionByRange(n, *terms).sortWithinPartitions(*terms).drop(*unneeded)
     indexed = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
     return materialise(indexed, "hot-order")
 

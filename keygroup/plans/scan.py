@@ -15,18 +15,20 @@ from keygroup.plans.checks import check_job
 from keygroup.plans.spec import QuerySpec, WhereClause
 from keygroup.sources.tables import Catalog, KeyedTable
 
-def filtered(query: QuerySpec, table: KeyedTable) -> DataFrame:
-    """The rows of ``table`` that satisfy the query's predicate, all columns.
+def filtered(query: QuerySpec, table: KeyedTable, *more: Column) -> DataFrame:
+    """The rows of ``table`` that satisfy the query's predicate: all columns and any
+    ``more``.
 
     The predicate is bound and analysed by Spark, so it reaches the scan.
     """
+    rows = table.rows.select("*", *more)
     if query.where is None:
-        return table.rows
+        return rows
     predicate, args = _bound(query.where, table)
     # Braces mark DataFrame placeholders in spark.sql and are doubled to stay text.
     predicate = predicate.replace("{", "{{").replace("}", "}}")
     return table.df.sparkSession.sql(
-        f"SELECT * FROM {{source}} WHERE ({predicate})", args=args, source=table.rows
+        f"SELECT * FROM {{source}} WHERE ({predicate})", args=args, source=rows
     )
 
 

@@ -9,7 +9,7 @@ query is not null.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,7 +29,9 @@ class Shaped:
 
     ``names`` are the users' names of the key columns. ``order`` holds, per query,
     the terms that order its rows inside a group. ``unique`` says that every table's
-    rows are told apart by their keys. ``most_rows`` bounds the rows of a group, where
+    rows are told apart by their keys. ``identified`` builds the same rows with
+    ``_rid``, a lasting number that tells copies apart, if the tables have one; it is
+    kept aside because reading it is not free. ``most_rows`` bounds the rows of a group, where
     the declared keys do so. ``in_place`` are the same rows, read by bucket, if all
     tables are stored in the same number of buckets.
     """
@@ -40,6 +42,7 @@ class Shaped:
     payloads: list[str]
     order: list[list[str]]
     unique: bool
+    identified: Callable[[], DataFrame] | None
     most_rows: int | None
     in_place: DataFrame | None
 
@@ -72,6 +75,7 @@ class Shaped:
 def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by: Sequence[str]) -> Shaped:
     keys = list(dict.fromkeys([*tables[0].partition_key, *group_by]))
     rows, order = _union(queries, tables, keys, group_by)
+    lasting = all(t.unique or t.row_id is not None for t in tables)
     # Grouped by a whole primary key, each query has at most one row in a group.
     one_each = all(t.unique and set(t.clustering) <= set(group_by) for t in tables)
     clustered = tables[0].buckets > 0 and len({t.buckets for t in tables}) == 1
@@ -82,18 +86,23 @@ def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by:
         payloads=[f"s{index}" for index in range(len(queries))],
         order=order,
         unique=all(t.unique for t in tables),
+        identified=(lambda: _union(queries, tables, keys, group_by, True)[0]) if lasting else None,
         most_rows=len(queries) if one_each else None,
         in_place=_union(queries, [t.in_place for t in tables], keys, group_by)[0] if clustered else None,
     )
 
 
 def _union(
-    queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], keys: list[str], group_by: Sequence[str]
+    queries: Sequence[QuerySpec],
+    tables: Sequence[KeyedTable],
+    keys: list[str],
+    group_by: Sequence[str],
+    identified: bool = False,
 ) -> tuple[DataFrame, list[list[str]]]:
     """All queries' rows in the common shape, and per query the terms of their order."""
     parts, order = [], []
     for index, (query, table) in enumerate(zip(queries, tables)):
-        part, terms = _part(index, query, table, keys, group_by)
+        part, terms = _part(index, query, table, keys, group_by, identified)
         parts.append(part)
         order.append(terms)
 
@@ -109,7 +118,7 @@ def _union(
 
 
 def _part(
-    index: int, query: QuerySpec, table: KeyedTable, keys: list[str], group_by: Sequence[str]
+    index: int, query: QuerySpec, table: KeyedTable, keys: list[str], group_by: Sequence[str], identified: bool
 ) -> tuple[DataFrame, list[str]]:
     """One query's rows in the common shape, and the terms of their order."""
     output = selected(query, table, group_by)
@@ -128,12 +137,16 @@ def _part(
     terms = [F.col(quoted(c)).alias(f"_g{i}") for i, c in enumerate(keys)]
     terms.append(F.lit(index).alias("_q"))
     terms.append((F.xxhash64(*ties) if ties else F.lit(0).cast("bigint")).alias("_h"))
+    row_id = []
+    if identified:
+        row_id = [(F.lit(0).cast("bigint") if table.unique else table.row_id).alias("_rid")]
+        terms.append(F.col("_rid"))
     if unselected:
         terms.append(F.struct(*(F.col(quoted(c)) for c in unselected)).alias(f"_o{index}"))
     fields = [column.alias(name) for name, column in payload.items()]
     # A query for key columns alone still needs a value that marks its rows.
     terms.append(F.struct(*(fields or [F.lit(True).alias("present")])).alias(f"s{index}"))
-    return filtered(query, table).select(*terms), [*order, "_h"]
+    return filtered(query, table, *row_id).select(*terms), [*order, "_h"]
 
 
 def _bytes(column: Column, dtype: T.DataType) -> Column:

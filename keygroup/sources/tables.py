@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import cached_property, reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,17 @@ class KeyedTable:
         present = reduce(lambda a, b: a & b, [F.col(quoted(c)).isNotNull() for c in self.partition_key])
         return self.df.where(present)
 
+    @cached_property
+    def row_id(self) -> Column | None:
+        """A number that tells rows apart and never changes: a hash of the place in a
+        file, for frames that read Parquet directly."""
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        try:
+            self.df.select(place)
+        except AnalysisException:
+            return None
+        return place
+
     def type_of(self, column: str) -> T.DataType:
         return self.df.schema[column].dataType
 

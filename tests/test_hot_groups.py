@@ -260,3 +260,21 @@ def test_pages_bounded_by_bytes(spark):
 def test_page_sizes_are_checked(skewed, bad):
     with pytest.raises(ValueError):
         MultiQuery(skewed).add(CLICKS).read(**bad)
+
+
+def test_copies_in_files_are_told_apart_by_their_place(spark, skewed, tmp_path, monkeypatch):
+    """No row is written to give it a number, and the scan of small groups reads none."""
+    catalog = Catalog(spark)
+    for name in ("clicks", "views"):
+        path = str(tmp_path / name)
+        skewed.lookup("t", name).df.withColumnRenamed("k", "key").write.parquet(path)
+        catalog.add_files("t", name, path, partition_key="k", clustering="c", rename={"key": "k"})
+    tags = []
+    monkeypatch.setattr(hot_module, "temporary", lambda df, tag: tags.append(tag))
+    filtered = QuerySpec("t", "clicks", (), WhereClause("WHERE v >= ?", (0,)))
+    groups = read(catalog, filtered, VIEWS, page_rows=70)
+    cut, _ = paged_lists(groups, "k")
+    expected, _ = paged_lists(read(skewed, CLICKS, VIEWS, page_rows=10_000), "k")
+    assert cut == expected and tags == []
+    whole = read(catalog, filtered, VIEWS, page_rows=10_000)
+    assert "_metadata" not in plan_of(whole.merged()) and "_rid" not in plan_of(whole.merged())
