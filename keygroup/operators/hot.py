@@ -23,6 +23,12 @@ BROADCAST_BYTES = 32 << 20
 # Room that a row of such a table takes beside its values.
 ROW_BYTES = 64
 
+# Limits to the number of hash buckets of keys that are weighed before single keys
+# are, and the number of heavy ones up to which the rows are narrowed down to them.
+MIN_BUCKETS = 1 << 8
+MAX_BUCKETS = 1 << 16
+FEW_BUCKETS = 1_000
+
 # Rows of hot groups per sort task, and the limit to the number of such tasks.
 ROWS_PER_TASK = 1_000_000
 MAX_SORT_TASKS = 8_000
@@ -53,10 +59,24 @@ def find_hot_keys(rows: DataFrame, keys: list[str], limit: int, weight: Column |
     above the limit.
 
     Partial sums shrink before the shuffle, so a hot key costs no more than any
-    other. Unweighted, only the key columns are read.
+    other. Unweighted, only the key columns are read. A bucket of keys weighs at
+    least as much as each of them, so if no bucket is above the limit, no key is.
+    Keys are summed up only in the buckets that are; in data so large that most
+    buckets would be, at once.
     """
     number = F.count("*")
     total = number if weight is None else F.sum(weight)
+    size = _size(rows.select(*keys))
+    if size <= MAX_BUCKETS * limit:
+        # Ample buckets for the rows that so many bytes of keys may stand for.
+        n = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << (16 * size // limit).bit_length()))
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(n))
+        weights = rows.groupBy(bucket.alias("bucket")).agg(total.alias("_w"))
+        heavy = [r.bucket for r in weights.where(F.col("_w") > limit).select("bucket").collect()]
+        if not heavy:
+            return None
+        if len(heavy) <= FEW_BUCKETS:
+            rows = rows.where(bucket.isin(heavy))
     hot = rows.groupBy(*keys).agg(number.alias("_n"), total.alias("_w")).where(F.col("_w") > limit)
     width = reduce(lambda a, b: a + b, [_width(rows, k) for k in keys])
     # The few keys found are measured and then, if there are any, stored; they are
@@ -138,6 +158,11 @@ def _same_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
 
 
+def _size(df: DataFrame) -> int:
+    """Spark's own estimate of the bytes of a frame; a guide to speed, not to results."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _width(rows: DataFrame, key: str) -> Column:
     if isinstance(rows.schema[key].dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(key), F.lit(0)).cast("bigint") + F.lit(ROW_BYTES)

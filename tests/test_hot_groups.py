@@ -278,3 +278,17 @@ def test_copies_in_files_are_told_apart_by_their_place(spark, skewed, tmp_path,
     assert cut == expected and tags == []
     whole = read(catalog, filtered, VIEWS, page_rows=10_000)
     assert "_metadata" not in plan_of(whole.merged()) and "_rid" not in plan_of(whole.merged())
+
+
+@pytest.mark.parametrize("buckets, few", [(0, 0), (1 << 16, 0), (1 << 16, 1000)])
+def test_hot_keys_are_found_whatever_the_buckets(spark, skewed, tmp_path, monkeypatch, buckets, few):
+    path = str(tmp_path / "clicks")
+    skewed.lookup("t", "clicks").df.write.parquet(path)
+    catalog = Catalog(spark).add_files("t", "clicks", path, partition_key="k", clustering="c")
+    monkeypatch.setattr(hot_module, "MAX_BUCKETS", buckets)
+    monkeypatch.setattr(hot_module, "FEW_BUCKETS", few)
+    hot = read(catalog, CLICKS, page_rows=70).hot
+    assert sorted(r["_g0"] for r in hot.table.collect()) == ["copies", "hot"]
+    assert (hot.n_keys, hot.n_rows, hot.largest) == (2, 4000, 2000)
+    assert read(catalog, CLICKS, page_rows=2000).hot is None
+    assert read(catalog, CLICKS, page_rows=1999).hot.n_keys == 2
