@@ -29,9 +29,9 @@ class KeyedGroups:
     Order inside a group: position of the query, clustering columns, and a hash of
     the other columns between rows that agree in those.
 
-    The first form asked for counts the rows per key, over the key columns alone,
-    to learn whether any group needs several pages; the count is kept for the rest.
-    Where declared primary keys bound the groups, nothing is counted.
+    The first form asked for counts rows, over the key columns alone, to learn whether
+    any group needs several pages; the answer is kept for the rest. Where declared
+    primary keys bound the groups, nothing is counted.
     """
 
     def __init__(self, shaped: Shaped, page_rows: int = DEFAULT_PAGE_ROWS, page_bytes: int | None = None):
