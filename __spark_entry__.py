@@ -26,6 +26,11 @@ from keygroup import (
 from keygroup.operators.slices import with_token
 from keygroup.workspace import new_path
 
+try:
+    from keygroup.llm import registry as llm
+except ImportError:
+    llm = None
+
 SLICES = 16
 
 # Page sizes of the queries whose groups span several pages even in small data.
@@ -388,7 +393,8 @@ def q_group_apply(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
-    return {name: f for name, f in globals().items() if name.startswith("q_")}
+    own = {name: f for name, f in globals().items() if name.startswith("q_")}
+    return own | (llm.queries() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -434,7 +440,11 @@ _RANGES = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """The result of every query, as SQL over the same tables."""
+    """The result of every query that SQL can express, as SQL over the same tables."""
+    return _own_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _own_sql() -> dict[str, str]:
     low, high = MD5_60.bounds(SLICES)[3]
     order_token, line_token = _token_sql("o_orderkey"), _token_sql("l_orderkey")
     return {
