@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keygroup.llm import pieces
+from keygroup.llm import chat, maxscore, mixing, pieces, tokencount
 from keygroup.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -18,9 +19,33 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode(documents, public_tokenizers.path(PIECES)))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that is full of control strings."""
+    conversations = table(spark, sf_dir, "conversations")
+    trap = r"\### Assistant: </turn> ok"
+    kinds = {c: conversations.schema[c].dataType.simpleString() for c in ("conv_id", "turn", "role", "text")}
+    schema = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    added = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], schema)
+    return chat.read_back(chat.format_conversations(conversations.select(*kinds).unionByName(added)))
+
+
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
+def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mix": mixing.MIX_SQL, "op8_maxscore": maxscore.MAXSCORE_SQL}
