@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keygroup.llm import chat, maxscore, mixing, pieces, tokencount
+from keygroup.llm import chat, maxscore, mixing, pieces, tokencount, toxicity
 from keygroup.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -35,6 +35,11 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
