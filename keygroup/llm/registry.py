@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keygroup.llm import chat, maxscore, mixing, pieces, tokencount, toxicity
+from keygroup.llm import chat, maxscore, mixing, pieces, pii, tokencount, toxicity
 from keygroup.llm.common import table
 
+# The key of the registered query; real data need one that is kept secret.
+PII_KEY = "registered query"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -40,6 +42,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rewritten = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    counts = (
+        F.size(F.filter("found", lambda m: m["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS
+    )
+    return rewritten.select("doc_id", "text", *counts)
+
+
 def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
