@@ -56,6 +56,11 @@ def _at(value: Column, at: Column | int) -> Column:
     return F.substring(value, F.lit(at) if isinstance(at, int) else at, F.lit(1))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _each(value: Column, step) -> Column:
     """Joins ``step(i)`` for each place i of a text, counted from 1; empty for an empty one."""
     places = F.when(F.length(value) > 0, F.sequence(F.lit(1), F.length(value))).otherwise(F.array().cast("array<int>"))
@@ -72,28 +77,28 @@ def feistel(value: Column, key: str, tweak: str, alphabet: str = DIGITS) -> Colu
 
     def turn(s: Column, i: Column) -> Column:
         seed = F.concat_ws("|", F.lit(key), F.lit(tweak), F.length(value).cast("string"), i.cast("string"), s["b"])
-        noise = F.sha2(F.encode(seed, "utf-8"), 256)
-
-        def shifted(j: Column) -> Column:
+        def shifted(noise: Column, j: Column) -> Column:
             drawn = F.conv(F.substring(noise, 2 * j - 1, F.lit(2)), 16, 10).cast("int")
             old = F.position(_at(s["a"], j), F.lit(alphabet)) - 1
             return _at(F.lit(alphabet), (old + drawn) % len(alphabet) + 1)
 
-        return F.struct(s["b"].alias("a"), _each(s["a"], shifted).alias("b"))
+        noise = F.sha2(F.encode(seed, "utf-8"), 256)
+        added = _let(noise, lambda n: _each(s["a"], lambda j: shifted(n, j)))
+        return F.struct(s["b"].alias("a"), added.alias("b"))
 
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), state, turn)
-    return F.concat(done["a"], done["b"])
+    rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    return F.aggregate(rounds, state, turn, lambda s: F.concat(s["a"], s["b"]))
 
 
 def _filled(form: Column, characters: Column, kept: str = r"[^0-9]") -> Column:
     """``form`` with its characters outside ``kept`` replaced by ``characters``, in order."""
 
-    def place(i: Column) -> Column:
+    def place(new: Column, i: Column) -> Column:
         own = _at(form, i)
         before = F.length(F.regexp_replace(F.substring(form, F.lit(1), i), kept, ""))
-        return F.when(own.rlike(f"^{kept}$"), own).otherwise(_at(characters, before))
+        return F.when(own.rlike(f"^{kept}$"), own).otherwise(_at(new, before))
 
-    return _each(form, place)
+    return _let(characters, lambda new: _each(form, lambda i: place(new, i)))
 
 
 def _walked(number: Column, width: int, key: str, tweak: str, valid: Callable[[Column], Column]) -> Column:
@@ -101,12 +106,12 @@ def _walked(number: Column, width: int, key: str, tweak: str, valid: Callable[[C
     start = F.struct(F.lpad(number.cast("string"), width, "0").alias("d"), F.lit(False).alias("done"))
 
     def step(s: Column, _: Column) -> Column:
-        further = feistel(s["d"], key, tweak)
-        return F.when(s["done"], s).otherwise(
-            F.struct(further.alias("d"), valid(further.cast("bigint")).alias("done"))
+        further = _let(
+            feistel(s["d"], key, tweak), lambda d: F.struct(d.alias("d"), valid(d.cast("bigint")).alias("done"))
         )
+        return F.when(s["done"], s).otherwise(further)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step)["d"].cast("bigint")
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, lambda s: s["d"].cast("bigint"))
 
 
 # -- kinds ------------------------------------------------------------------------
@@ -125,9 +130,13 @@ def luhn_sum(digits: Column) -> Column:
 
 def _card(value: Column, key: str) -> Column:
     digits = _digits(value)
+
+    def checked(body: Column) -> Column:
+        check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
+        return F.concat(body, check.cast("string"))
+
     body = feistel(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    return _filled(value, F.concat(body, check.cast("string")))
+    return _filled(value, _let(body, checked))
 
 
 def iban_rest(value: Column) -> Column:
@@ -146,8 +155,12 @@ def _iban(value: Column, key: str) -> Column:
     account = F.substring(plain, F.lit(5), F.length(plain))
     account = _filled(account, feistel(_digits(account), key, "iban"))
     country = F.substring(plain, 1, 2)
-    check = F.lpad((98 - iban_rest(F.concat(country, F.lit("00"), account))).cast("string"), 2, "0")
-    return _filled(value, F.concat(country, check, account), " ")
+
+    def checked(a: Column) -> Column:
+        check = F.lpad((98 - iban_rest(F.concat(country, F.lit("00"), a))).cast("string"), 2, "0")
+        return F.concat(country, check, a)
+
+    return _filled(value, _let(account, checked), " ")
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -176,11 +189,14 @@ def _ssn(value: Column, key: str) -> Column:
     area = F.substring(digits, 1, 3).cast("bigint")
     index = area - F.when(area > 666, 2).otherwise(1)
     index = (index * 99 + F.substring(digits, 4, 2).cast("bigint") - 1) * 9999 + F.substring(digits, 6, 4).cast("bigint") - 1
-    moved = _walked(index, 9, key, "ssn", lambda n: n < SSN_AREAS * 99 * 9999)
-    area = F.floor(moved / (99 * 9999)).cast("bigint")
-    area = area + F.when(area >= 665, 2).otherwise(1)
-    group, serial = F.floor(moved / 9999).cast("bigint") % 99 + 1, moved % 9999 + 1
-    return F.format_string("%03d-%02d-%04d", area, group, serial)
+
+    def written(n: Column) -> Column:
+        area = F.floor(n / (99 * 9999)).cast("bigint")
+        area = area + F.when(area >= 665, 2).otherwise(1)
+        group, serial = F.floor(n / 9999).cast("bigint") % 99 + 1, n % 9999 + 1
+        return F.format_string("%03d-%02d-%04d", area, group, serial)
+
+    return _let(_walked(index, 9, key, "ssn", lambda n: n < SSN_AREAS * 99 * 9999), written)
 
 
 def _date_form(value: Column) -> Column:
@@ -215,10 +231,12 @@ def _date(value: Column, key: str) -> Column:
 
 def _ip(value: Column, key: str) -> Column:
     hexadecimal = F.array_join(F.transform(F.split(value, r"\."), lambda o: F.lpad(F.hex(o.cast("bigint")), 2, "0")), "")
-    moved = feistel(F.lower(hexadecimal), key, "ip", ALPHABET[:16])
-    return F.array_join(
-        F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.conv(F.substring(moved, 2 * i + 1, F.lit(2)), 16, 10)), "."
-    )
+
+    def written(moved: Column) -> Column:
+        octet = lambda i: F.conv(F.substring(moved, 2 * i + 1, F.lit(2)), 16, 10)
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), octet), ".")
+
+    return _let(feistel(F.lower(hexadecimal), key, "ip", ALPHABET[:16]), written)
 
 
 def kind_of(value: Column) -> Column:
