@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keygroup.llm import chat, maxscore, mixing, pieces, pii, tokencount, toxicity
+from keygroup.llm import chat, maxscore, mixing, neardup, pieces, pii, tokencount, toxicity
 from keygroup.llm.common import table
 
 # The key of the registered query; real data need one that is kept secret.
@@ -54,6 +54,11 @@ def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "kept")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
