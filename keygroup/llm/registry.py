@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keygroup.llm import chat, maxscore, mixing, neardup, pieces, pii, tokencount, toxicity
+from keygroup.llm import chat, hnsw, maxscore, mixing, neardup, pieces, pii, tokencount, toxicity
 from keygroup.llm.common import table
 
 # The key of the registered query; real data need one that is kept secret.
@@ -31,6 +31,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(conversations.select(*kinds).unionByName(added)))
 
 
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
