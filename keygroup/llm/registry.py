@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keygroup.llm import chat, hnsw, maxscore, mixing, neardup, pieces, pii, tokencount, toxicity
+from keygroup.llm import chat, hnsw, maxscore, mixing, neardup, pieces, pii, repeats, tokencount, toxicity
 from keygroup.llm.common import table
 
 # The key of the registered query; real data need one that is kept secret.
@@ -46,6 +46,17 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rewritten = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
     counts = (
