@@ -16,9 +16,13 @@ PII_KEY = "registered query"
 PIECES = "piece_bpe_32k.model"
 
 
+def pieces_path() -> str:
+    return public_tokenizers.path(PIECES)
+
+
 def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return pieces.digests(pieces.encode(documents, public_tokenizers.path(PIECES)))
+    return pieces.digests(pieces.encode(documents, pieces_path()))
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +79,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), pieces_path())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

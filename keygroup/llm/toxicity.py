@@ -18,11 +18,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keygroup.llm.common import picked
+from keygroup.names import quoted
 
 SAMPLE = 12_000
 TERM_BITS = 22
@@ -185,6 +187,46 @@ def train(documents: DataFrame, labels: DataFrame, **names) -> Machine:
     return fit([np.frombuffer(t, np.int32) for t, _ in ordered], np.array([label for _, label in ordered]))
 
 
+class Scorer:
+    """Scores of texts; remembers which terms of a word the machine knows."""
+
+    def __init__(self, machine: Machine):
+        self.machine = machine
+        self.place = {int(t): i for i, t in enumerate(machine.terms)}
+        self.known: dict[str, list[int]] = {}
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        known, place = self.known, self.place
+        if len(known) > REMEMBERED:
+            known.clear()
+        index: list[int] = []
+        starts = [0]
+        for text in texts:
+            found: set[int] = set()
+            for word in words(text):
+                places = known.get(word)
+                if places is None:
+                    places = known[word] = [place[t] for t in terms_of(word) if t in place]
+                if places:
+                    found.update(places)
+            index += sorted(found)
+            starts.append(len(index))
+        return logistic(self.machine.margins(np.array(starts), np.array(index, np.int64)))
+
+
+def without_toxic(df: DataFrame, machine: Machine, text_column: str = "text") -> DataFrame:
+    """The rows whose texts score below 0.5, with all columns; null and empty texts score the bias."""
+
+    def run(stream: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(machine)
+        for texts in stream:
+            parts = [scorer(texts.iloc[at : at + 512].tolist()) for at in range(0, len(texts), 512)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    scored = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
+    return df.where(scored(F.col(quoted(text_column))) < 0.5)
+
+
 def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id`` (as the id column), ``held_out``, ``score`` and ``predicted``, one row per row.
 
@@ -196,28 +238,12 @@ def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_colum
     key = rows.schema["doc_id"].dataType.simpleString()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {int(t): i for i, t in enumerate(machine.terms)}
-        known: dict[str, list[int]] = {}
+        scorer = Scorer(machine)
         for whole in stream:
             for at in range(0, whole.num_rows, 512):
                 part = whole.slice(at, 512)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                index, starts = [], [0]
-                for text in part.column(1).to_pylist():
-                    found = set()
-                    for word in words(text):
-                        places = known.get(word)
-                        if places is None:
-                            places = known[word] = [place[t] for t in terms_of(word) if t in place]
-                        if places:
-                            found.update(places)
-                    index += sorted(found)
-                    starts.append(len(index))
-                margins = machine.margins(np.array(starts), np.array(index, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(logistic(margins))], names=["doc_id", "score"]
-                )
+                scores = scorer(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores)], names=["doc_id", "score"])
 
     scored = rows.mapInArrow(run, f"doc_id {key}, score double")
     return scored.select(
