@@ -26,7 +26,9 @@ from keygroup import (
 from keygroup.operators.slices import with_token
 from keygroup.workspace import new_path
 
+# The subpackage llm and the pipeline built on it may be absent.
 try:
+    import corpus_pipeline
     from keygroup.llm import registry as llm
 except ImportError:
     llm = None
@@ -394,7 +396,7 @@ def q_group_apply(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
     own = {name: f for name, f in globals().items() if name.startswith("q_")}
-    return own | (llm.queries() if llm else {})
+    return own | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
