@@ -12,9 +12,10 @@ weighted Jaccard similarity. Draws are joined to bands; documents with a common
 candidates, candidates whose draws mostly differ are passed over, and the rest are
 verified by their true weighted Jaccard similarity.
 
-Within a band no list of all pairs is made. First every document is paired with the one
-most like it among those before it; verified pairs give components. Then only documents
-of different components remain to be compared, and all of these are.
+Within a band no list of all pairs is made. A maximal spanning tree on the number of
+common draws has the same connected parts as all pairs with enough of them. Parts are
+dealt to tasks whole or, where one is large, in pairs of blocks, and a task searches its
+texts by true similarity: from each text found, what it has not reached yet.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ COMMON_DRAWS = 14
 WORD_BUCKETS = 1 << 20
 # Documents of one band that one task compares with each other at a time.
 CHUNK = 2_048
-MINORITY_CHUNK = 4_096
+# Bytes of text in one block of a large part; a task gets two blocks.
+BLOCK_BYTES = 4_000_000
 REMEMBERED = 400_000
 _WORD = re.compile(r"\w+")
 _TABLE = 1 << 12
@@ -246,9 +248,9 @@ def _common(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 def closest(bands: DataFrame) -> DataFrame:
-    """Pairs ``a, b``: every document of a band with the most similar one before it.
+    """Pairs ``a, b`` that connect what is connected by pairs of one band with enough common draws.
 
-    Chunks of a large band are paired within; their first documents, with each other.
+    Chunks of a large band are joined unseen: that only makes a part larger.
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,17 +258,15 @@ def closest(bands: DataFrame) -> DataFrame:
         first = None
         for table in _blocks(stream, 0):
             band, nodes = table.column("band")[0].as_py(), table.column("node").to_pylist()
-            draws = _matrix(table)
             if first is not None and first[0] == band:
-                if (first[2] == draws[0]).sum() >= COMMON_DRAWS:
-                    left.append(first[1])
-                    right.append(nodes[0])
+                left.append(first[1])
+                right.append(nodes[0])
             else:
-                first = band, nodes[0], draws[0].copy()
-            # A maximal spanning tree on the number of common draws.
+                first = band, nodes[0]
             n = len(nodes)
             if n == 1:
                 continue
+            draws = _matrix(table)
             best, via = _common(draws[0], draws), np.zeros(n, np.int64)
             best[0] = -1
             for _ in range(n - 1):
@@ -284,82 +284,93 @@ def closest(bands: DataFrame) -> DataFrame:
         yield _pairs(left, right)
 
     ordered = bands.repartition("band").sortWithinPartitions("band", "draws", "node")
-    return ordered.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = ordered.mapInArrow(run, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _pairs(left: list[bytes], right: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
 
-def apart(bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of documents of one band but different components, with enough common draws.
+def linked(sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> np.ndarray:
+    """Per weighted set the number of the first set that links of ``least`` or more lead to.
 
-    The largest component of a band streams past the others; a band in which that is
-    large is dealt out by salt, with the others sent to every salt.
+    From every set that is reached, the sets not reached yet are compared with it at once.
+    """
+    n = len(sets)
+    root = np.arange(n)
+    sizes = np.array([len(x) for x, _ in sets])
+    _, index = np.unique(np.concatenate([x for x, _ in sets]), return_inverse=True)
+    data = np.concatenate([w for _, w in sets])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    total = np.add.reduceat(data, starts[:-1])
+    dense = np.zeros(index.max() + 1)
+    alive, at, flat, values = np.arange(n), starts[:-1], index, data
+    waiting = np.ones(n, bool)
+    for first in range(n):
+        if not waiting[first]:
+            continue
+        waiting[first] = False
+        todo = [first]
+        while todo:
+            one = todo.pop()
+            if waiting[alive].sum() < 0.7 * len(alive):
+                # Leave out what is reached, so that the rest costs less and less.
+                keep = waiting[alive]
+                held = np.repeat(keep, sizes[alive])
+                flat, values, alive = flat[held], values[held], alive[keep]
+                at = np.concatenate([[0], np.cumsum(sizes[alive])])[:-1]
+            if not len(alive):
+                break
+            own = slice(starts[one], starts[one + 1])
+            dense[index[own]] = data[own]
+            common = np.add.reduceat(np.minimum(dense[flat], values), at)
+            dense[index[own]] = 0
+            near = alive[(common >= least * (total[one] + total[alive] - common)) & waiting[alive]]
+            waiting[near] = False
+            root[near] = first
+            todo += near.tolist()
+    return root
+
+
+def searched(parts: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
+    """Links ``a, b`` within the parts (``node, component``), by true similarity.
+
+    A part of several blocks is searched two blocks at a time, each pair of them by a
+    task of its own, so that no task holds a whole large part and every pair is compared.
     """
-    labelled = bands.join(labels, "node", "left").select(
-        "band", "node", "draws", F.coalesce("component", "node").alias("component")
+    met = materialise(texts.join(parts, "node").dropDuplicates(["node"]), "near-texts")
+    blocks = F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES).cast("int")
+    sizes = met.groupBy("component").agg(F.when(blocks > 2, blocks).otherwise(1).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: i != F.col("own"))
+    dealt = met.join(sizes, "component").withColumn("own", own).select(
+        "node", "text", "component", "own",
+        F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(other)).alias("other"),
     )
-    labelled = materialise(labelled, "near-bands")
-    per = labelled.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed = per.groupBy("band").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n"), F.count("*").alias("k")
-    ).where("k > 1")
-    salts = F.ceil(F.col("n") / MINORITY_CHUNK).cast("int")
-    rows = labelled.join(mixed.select("band", "main", salts.alias("salts")), "band")
-    late = F.col("component") == F.col("main")
-    own = F.array(F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
-    salted = rows.select(
-        "band", "node", "draws", "component", late.alias("late"),
-        F.explode(F.when(late, own).otherwise(F.sequence(F.lit(0), F.col("salts") - 1))).alias("salt"),
-    ).withColumn("block", F.xxhash64("band", "salt"))
+    task = F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other"))
+    dealt = dealt.select(task.alias("task"), "node", "text")
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, nodes, parts, draws = None, [], [], np.zeros((0, DRAWS), np.int32)
-        for table in _blocks(stream, 0):
-            if table.column("block")[0].as_py() != block:
-                block, nodes, parts, draws = table.column("block")[0].as_py(), [], [], np.zeros((0, DRAWS), np.int32)
-            new, new_parts, new_draws = table.column("node").to_pylist(), table.column("component").to_pylist(), _matrix(table)
-            late = table.column("late").to_pylist()
-            left, right = [], []
-            for i in range(len(new)):
-                common = _common(new_draws[i], draws)
-                for j in np.flatnonzero(common >= COMMON_DRAWS):
-                    if parts[j] != new_parts[i]:
-                        left.append(nodes[j])
-                        right.append(new[i])
-                if not late[i]:
-                    nodes.append(new[i])
-                    parts.append(new_parts[i])
-                    draws = np.concatenate([draws, new_draws[i : i + 1]])
-            if left:
-                yield _pairs(left, right)
-
-    ordered = salted.select("block", "late", "node", "draws", "component").repartition("block")
-    pairs = ordered.sortWithinPartitions("block", "late", "node").mapInArrow(run, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
+        words, weights = Words(), idf.value
+        task, nodes, sets = None, [], []
 
-def verified(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
-    """The pairs whose texts are at least so similar, ``a, b``."""
+        def done() -> pa.RecordBatch:
+            root = linked(sets, least) if len(sets) > 1 else np.zeros(len(sets), int)
+            far = np.flatnonzero(root != np.arange(len(sets)))
+            return _pairs([nodes[i] for i in root[far]], [nodes[i] for i in far])
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = Words(), idf.value
-        last, held = None, None
         for whole in stream:
-            kept = []
             for i in range(whole.num_rows):
-                a = whole.column(0)[i].as_py()
-                if a != last:
-                    last, held = a, words.shingles(words.hashes(whole.column(2)[i].as_py()), weights)
-                b = words.shingles(words.hashes(whole.column(3)[i].as_py()), weights)
-                if similarity(held, b) >= least:
-                    kept.append(i)
-            yield whole.take(pa.array(kept, pa.int64())).select([0, 1])
+                if whole.column(0)[i].as_py() != task:
+                    yield done()
+                    task, nodes, sets = whole.column(0)[i].as_py(), [], []
+                nodes.append(whole.column(1)[i].as_py())
+                sets.append(words.shingles(words.hashes(whole.column(2)[i].as_py()), weights))
+        yield done()
 
-    met = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    met = met.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, "task").sortWithinPartitions("task", "node").mapInArrow(run, "a binary, b binary")
 
 
 # -- the operator -----------------------------------------------------------------
@@ -390,10 +401,8 @@ def near_duplicates(
     signed = materialise(signatures(texts, idf).groupBy("node").agg(F.first("draws").alias("draws")), "near-draws")
     bands = banded(signed)
 
-    pairs = materialise(closest(bands), "near-pairs")
-    found = _checked(pairs, texts, idf, least)
-    rest = materialise(apart(bands, components(found, "near-links")), "near-pairs")
-    links = found.unionByName(_checked(rest, texts, idf, least))
+    parts = components(materialise(closest(bands), "near-pairs"), "near-parts")
+    links = searched(parts, texts, idf, least)
     labels = components(links, "near-links")
 
     rows = df.select(
@@ -420,10 +429,3 @@ def near_duplicates(
         F.when(alone, F.col("_near_id")).otherwise(F.col("class_id")).alias("class_id"),
         kept.alias("kept"),
     )
-
-
-def _checked(pairs: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
-    """Verify pairs with the texts that occur in them, one copy of each."""
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = texts.join(named, "node", "left_semi").dropDuplicates(["node"])
-    return materialise(verified(pairs, materialise(needed, "near-texts"), idf, least), "near-links")
