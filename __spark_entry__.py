@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -20,6 +21,7 @@ from keygroup import (
     QuerySpec,
     SlicedTable,
     TokenRanges,
+    iterate_slices,
     scan,
     slice_profile,
 )
@@ -37,6 +39,7 @@ SLICES = 16
 
 # Page sizes of the queries whose groups span several pages even in small data.
 HOT_PAGE_ROWS = 5_000
+CARRY_PAGE_ROWS = 3
 TEXT_PAGE_ROWS, TEXT_PAGE_BYTES = 500, 1_000_000
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
@@ -57,6 +60,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Catalog:
     add("docs", "labels", "labels", "doc_id", (), True)
     add("docs", "by_language", "documents", "lang", "doc_id", True)
     add("sales", "orders", "orders", "orderkey", "status", True, o_orderkey="orderkey", o_orderstatus="status")
+    add("sales", "orders_by_key", "orders", "orderkey", (), True, o_orderkey="orderkey")
     add("sales", "lines", "lineitem", "orderkey", ["status", *LINE_ORDER], l_orderkey="orderkey", l_linestatus="status")
     add("sales", "lines_by_supplier", "lineitem", ["orderkey", "suppkey"], l_orderkey="orderkey", l_suppkey="suppkey")
     add("sales", "lines_by_status", "lineitem", "l_linestatus", ["l_orderkey", *LINE_ORDER])
@@ -120,6 +124,19 @@ def q_where_bound(spark, sf_dir):
     return scan(tables(spark, sf_dir), spec.where(clause, "O", 20000.0, 300000.0, 10).build(), tokenizer=None)
 
 
+def q_where_binary(spark, sf_dir):
+    """Types of events, as bytes, against a binary parameter."""
+    events = table_of_codes(spark, sf_dir)
+    spec = QuerySpec.builder().keyspace("web").table("codes").columns("user_id", "event_id")
+    return scan(events, spec.where("WHERE code = ?", b"click").build(), tokenizer=None)
+
+
+def table_of_codes(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    coded = events.select("user_id", "event_id", F.encode("event_type", "utf-8").alias("code"))
+    return Catalog(spark).add("web", "codes", KeyedTable.of(coded, "user_id", "event_id", unique=True))
+
+
 # -- groups of one table ----------------------------------------------------------
 
 
@@ -189,6 +206,46 @@ def q_cogroup_arrays(spark, sf_dir):
     )
 
 
+def q_merge_contents(spark, sf_dir):
+    """Every value of every list, by its place."""
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey,o_totalprice", "l_linenumber,l_partkey,l_suppkey").read()
+    rows = groups.merged().select("orderkey", F.posexplode("rows").alias("pos", "row"))
+    return rows.select(
+        "orderkey",
+        F.col("pos").cast("bigint").alias("pos"),
+        F.col("row._q").cast("bigint").alias("q"),
+        "row.s0.o_custkey",
+        "row.s0.o_totalprice",
+        "row.s1.l_linenumber",
+        "row.s1.l_partkey",
+        "row.s1.l_suppkey",
+    )
+
+
+def q_cogroup_contents(spark, sf_dir):
+    """The lists of lines beside their orders, by place."""
+    groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_linenumber,l_partkey,l_suppkey").read()
+    lists = groups.cogrouped()
+    lines = lists.select("orderkey", F.size("s0").cast("bigint").alias("n_orders"), F.posexplode("s1").alias("pos", "line"))
+    return lines.select("orderkey", "n_orders", F.col("pos").cast("bigint").alias("pos"), "line.l_linenumber", "line.l_partkey", "line.l_suppkey")
+
+
+def q_cogroup_carry(spark, sf_dir):
+    """Lines that cost a third of their order, in groups of several pages."""
+    catalog = tables(spark, sf_dir)
+    orders = QuerySpec("sales", "orders_by_key", ("o_totalprice",))
+    lines = QuerySpec("sales", "lines", ("l_extendedprice",))
+    total = F.get("s0", 0)["o_totalprice"]
+    dear = F.filter("s1", lambda line: line["l_extendedprice"] * 3 > total)
+    return job(catalog, orders, lines).read(CARRY_PAGE_ROWS).fold(
+        cogrouped=True,
+        carry=[orders],
+        n_lines=(F.size("s1").cast("bigint"), F.sum),
+        n_dear=(F.size(dear).cast("bigint"), F.sum),
+        total=(total, F.max),
+    )
+
+
 def q_key_presence(spark, sf_dir):
     present = orders_and_lines(tables(spark, sf_dir)).read().presence()
     return present.where("NOT (in_s0 AND in_s1)")
@@ -218,6 +275,21 @@ def q_rows_flat_hot(spark, sf_dir):
     )
 
 
+def q_fold_hot(spark, sf_dir):
+    """One row per status from many pages."""
+    lines = QuerySpec("sales", "lines_by_status", ("l_orderkey", "l_suppkey", "l_linenumber"))
+    value = lambda name: F.transform("rows", lambda r: r["s0"][name])
+    suppliers = F.aggregate(value("l_suppkey"), F.lit(0).cast("bigint"), lambda total, x: total + x)
+    return job(tables(spark, sf_dir), lines).read(HOT_PAGE_ROWS).fold(
+        n_rows=n_rows(),
+        n_pages=(F.col("_page"), F.count),
+        sum_suppkey=(suppliers, F.sum),
+        max_linenumber=(F.array_max(value("l_linenumber")), F.max),
+        first_orderkey=(F.element_at("rows", 1)["s0"]["l_orderkey"], lambda c: F.min_by(c, "_page")),
+        last_orderkey=(F.element_at("rows", -1)["s0"]["l_orderkey"], lambda c: F.max_by(c, "_page")),
+    )
+
+
 def q_pages_hot(spark, sf_dir):
     lines = QuerySpec("sales", "lines_by_status", ("l_orderkey", "l_suppkey"))
     pages = job(tables(spark, sf_dir), lines).read(HOT_PAGE_ROWS).merged()
@@ -306,6 +378,12 @@ def q_token_slice(spark, sf_dir):
     return rows.withColumnRenamed("_token", "token")
 
 
+def q_token_composite(spark, sf_dir):
+    spec = QuerySpec("sales", "lines_by_supplier", ("l_partkey", "l_linenumber"))
+    rows = scan(tables(spark, sf_dir), spec, tokenizer=MD5_60)
+    return rows.withColumnRenamed("_token", "token")
+
+
 def q_slice_cover(spark, sf_dir):
     rows = with_token(tables(spark, sf_dir).lookup("sales", "lines"), MD5_60)
     return rows.groupBy(MD5_60.slice_of("_token", SLICES).alias("slice")).agg(F.count("*").alias("n_rows"))
@@ -334,16 +412,28 @@ def q_slice_backfill(spark, sf_dir):
     """One aggregate per slice, each reading the files of its slice only."""
     lines = KeyedTable.of(tables(spark, sf_dir).lookup("sales", "lines").df.select("orderkey", "l_partkey"), "orderkey")
     sliced = SlicedTable.write(lines, new_path(spark, "backfill"), SLICES, MD5_60)
-    done = None
-    for index, part in sliced:
-        one = part.df.agg(
-            F.lit(index).alias("slice"),
-            F.count("*").alias("n_rows"),
-            F.sum("orderkey").alias("sum_orderkey"),
-            F.sum("l_partkey").alias("sum_partkey"),
-        )
-        done = one if done is None else done.unionByName(one)
-    return done
+    try:
+        # A row per slice comes back, so that the copy of the table can go.
+        done = [row for index, part in sliced for row in _sums(part.df, index).collect()]
+    finally:
+        sliced.delete()
+    return spark.createDataFrame(done, "slice int, n_rows bigint, sum_orderkey bigint, sum_partkey bigint")
+
+
+def _sums(lines, index):
+    return lines.agg(
+        F.lit(index).alias("slice"),
+        F.count("*").alias("n_rows"),
+        F.sum("orderkey").alias("sum_orderkey"),
+        F.sum("l_partkey").alias("sum_partkey"),
+    )
+
+
+def q_slice_iterate(spark, sf_dir):
+    """One aggregate per slice, each of them a scan of the table."""
+    lines = tables(spark, sf_dir).lookup("sales", "lines")
+    parts = enumerate(iterate_slices(lines, MD5_60.bounds(SLICES), MD5_60))
+    return reduce(DataFrame.unionByName, [_sums(part, index) for index, (_, part) in parts])
 
 
 # -- user functions ---------------------------------------------------------------
@@ -417,11 +507,11 @@ def _slice_sql(token: str) -> str:
 
 _ORDERS_AND_LINES = """
     SELECT o_orderkey AS orderkey, o_orderstatus AS status, 0 AS q, o_custkey,
-           NULL::INTEGER AS l_linenumber, NULL::BIGINT AS l_partkey, NULL::BIGINT AS l_suppkey,
+           o_totalprice, NULL::INTEGER AS l_linenumber, NULL::BIGINT AS l_partkey, NULL::BIGINT AS l_suppkey,
            NULL::TIMESTAMP AS l_shipdate, NULL::DOUBLE AS l_quantity, NULL::DOUBLE AS l_extendedprice
     FROM orders
     UNION ALL
-    SELECT l_orderkey, l_linestatus, 1, NULL, l_linenumber, l_partkey, l_suppkey,
+    SELECT l_orderkey, l_linestatus, 1, NULL, NULL, l_linenumber, l_partkey, l_suppkey,
            l_shipdate, l_quantity, l_extendedprice
     FROM lineitem
 """
@@ -460,6 +550,32 @@ def _own_sql() -> dict[str, str]:
         "q_where_bound": """
             SELECT o_orderkey AS orderkey, o_custkey, o_totalprice FROM orders
             WHERE o_orderstatus = 'O' AND o_totalprice BETWEEN 20000.0 AND 300000.0 AND o_custkey > 10""",
+        "q_where_binary": """
+            SELECT user_id, event_id FROM events WHERE event_type = 'click'""",
+        "q_merge_contents": f"""
+            SELECT orderkey,
+                   row_number() OVER (
+                       PARTITION BY orderkey ORDER BY q, status NULLS FIRST, {_LINE_ORDER}) - 1 AS pos,
+                   CAST(q AS BIGINT) AS q, o_custkey, o_totalprice, l_linenumber, l_partkey, l_suppkey
+            FROM ({_ORDERS_AND_LINES})""",
+        "q_cogroup_contents": f"""
+            SELECT orderkey, n_orders, pos, l_linenumber, l_partkey, l_suppkey
+            FROM (SELECT *, count(*) FILTER (q = 0) OVER (PARTITION BY orderkey) AS n_orders,
+                         row_number() OVER (
+                             PARTITION BY orderkey, q ORDER BY status NULLS FIRST, {_LINE_ORDER}) - 1 AS pos
+                  FROM ({_ORDERS_AND_LINES}))
+            WHERE q = 1""",
+        "q_cogroup_carry": """
+            SELECT orderkey, count(l_orderkey) AS n_lines,
+                   count(*) FILTER (l_extendedprice * 3 > o_totalprice) AS n_dear, max(o_totalprice) AS total
+            FROM (SELECT coalesce(o_orderkey, l_orderkey) AS orderkey, l_orderkey, l_extendedprice, o_totalprice
+                  FROM orders FULL JOIN lineitem ON o_orderkey = l_orderkey)
+            GROUP BY orderkey""",
+        "q_fold_hot": f"""
+            SELECT l_linestatus, count(*) AS n_rows, CAST(ceil(count(*) / {HOT_PAGE_ROWS}) AS BIGINT) AS n_pages,
+                   CAST(sum(l_suppkey) AS BIGINT) AS sum_suppkey, max(l_linenumber) AS max_linenumber,
+                   min(l_orderkey) AS first_orderkey, max(l_orderkey) AS last_orderkey
+            FROM lineitem GROUP BY l_linestatus""",
         "q_group_pk": """
             SELECT conv_id, count(*) AS n_turns, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role
             FROM conversations GROUP BY conv_id""",
@@ -544,6 +660,10 @@ def _own_sql() -> dict[str, str]:
             FROM ({_ORDERS_AND_LINES})""",
         "q_token": f"""
             SELECT {order_token} AS token, o_orderkey AS orderkey, o_custkey FROM orders""",
+        "q_token_composite": f"""
+            SELECT {_token_sql("CAST(l_orderkey AS VARCHAR) || chr(31) || CAST(l_suppkey AS VARCHAR)")} AS token,
+                   l_orderkey AS orderkey, l_suppkey AS suppkey, l_partkey, l_linenumber
+            FROM lineitem""",
         "q_token_slice": f"""
             SELECT {order_token} AS token, o_orderkey AS orderkey, o_custkey, o_totalprice FROM orders
             WHERE {order_token} BETWEEN {low} AND {high}""",
@@ -567,6 +687,11 @@ def _own_sql() -> dict[str, str]:
             SELECT {_slice_sql(line_token)} AS slice, count(*) AS n_rows,
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
             FROM lineitem GROUP BY slice""",
+        "q_slice_iterate": f"""
+            SELECT s AS slice, count(l_orderkey) AS n_rows,
+                   CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
+            FROM (SELECT CAST(unnest(range({SLICES})) AS INTEGER) AS s) LEFT JOIN lineitem ON {_slice_sql(line_token)} = s
+            GROUP BY s""",
         "q_group_hof": f"""
             SELECT orderkey, CAST(count(*) FILTER (q = 1) AS BIGINT) AS n_lines, count(*) FILTER (flag = 'R') AS n_returned,
                    CAST(coalesce(sum(l_partkey), 0) AS BIGINT) AS sum_partkey, max(l_linenumber) AS max_linenumber

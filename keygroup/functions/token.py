@@ -11,6 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keygroup.names import quoted
 
 _LOW_32 = (1 << 32) - 1
 MAX_SLICES = (1 << 31) - 1
@@ -30,7 +33,10 @@ class Tokenizer:
         return self.low + (1 << self.bits) - 1
 
     def column(self, *key: str | Column) -> Column:
-        """The token of the partition-key columns, in key order."""
+        """The token of the partition-key columns, in key order.
+
+        Columns of a table are best given as ``key_columns`` makes them.
+        """
         token = self.expression([F.col(k) if isinstance(k, str) else k for k in key])
         # A null key has a token too, so that every row is in some slice.
         return F.coalesce(token, F.lit(self.low))
@@ -59,6 +65,23 @@ class Tokenizer:
         return F.shiftright(upper + lower, 32).cast("int")
 
 
+def key_columns(names: Sequence[str], schema: T.StructType) -> list[Column]:
+    """Key columns in a form of which equal keys have one text and one hash.
+
+    Both zeros are one number, and a moment is counted from the epoch, since its text
+    depends on the time zone of the session.
+    """
+    return [_canonical(F.col(quoted(name)), schema[name].dataType) for name in names]
+
+
+def _canonical(column: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(column == 0, F.lit(0.0).cast(dtype)).otherwise(column)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column)
+    return column
+
+
 def _check_count(n: int) -> None:
     if not 1 <= n <= MAX_SLICES:
         raise ValueError(f"the number of slices must be between 1 and {MAX_SLICES}, not {n}")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import cached_property
+from collections.abc import Callable, Sequence
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keygroup.functions.token import XXHASH_64, Tokenizer
+from keygroup.errors import JobError
+from keygroup.functions.token import XXHASH_64, Tokenizer, key_columns
 from keygroup.names import TOKEN, quoted
 from keygroup.operators.hot import HotKeys, find_hot_keys, number_rows
 from keygroup.plans.shape import Shaped
+from keygroup.plans.spec import QuerySpec
+from keygroup.workspace import delete
 
 DEFAULT_PAGE_ROWS = 10_000
 MERGE_FAN_IN = 1_000
@@ -32,14 +35,30 @@ class KeyedGroups:
     The first form asked for counts rows, over the key columns alone, to learn whether
     any group needs several pages; the answer is kept for the rest. Where declared
     primary keys bound the groups, nothing is counted.
+
+    A function or expression over lists sees one page. What it needs beside every page,
+    such as the header of many lines, is named by ``carry``: queries that have at most one
+    row per group by their declared keys, and whose row then comes with each page, beyond
+    the page's own rows.
+
+    Large groups are kept in tables of the workspace; ``close`` or a ``with`` block deletes them.
     """
 
-    def __init__(self, shaped: Shaped, page_rows: int = DEFAULT_PAGE_ROWS, page_bytes: int | None = None):
+    def __init__(
+        self,
+        shaped: Shaped,
+        page_rows: int = DEFAULT_PAGE_ROWS,
+        page_bytes: int | None = None,
+        queries: Sequence[QuerySpec] = (),
+    ):
         if page_rows < 1:
             raise ValueError(f"page_rows must be positive, not {page_rows}")
         if page_bytes is not None and page_bytes < 1:
             raise ValueError(f"page_bytes must be positive, not {page_bytes}")
         self._shaped = shaped
+        self._queries = tuple(queries)
+        self._paths: list[str] = []
+        self._numbered_without: dict[tuple[int, ...], DataFrame] = {}
         self.page_rows = page_rows
         # What a page may weigh, and what a row weighs: one, or its bytes, but never
         # so few that a page could hold more than ``page_rows`` rows.
@@ -53,6 +72,17 @@ class KeyedGroups:
         self._key_columns = [F.col(k).alias(name) for k, name in zip(shaped.keys, shaped.names)]
         self._key_names = [quoted(name) for name in shaped.names]
 
+    def close(self) -> None:
+        """Delete the tables of large groups; frames made from these groups can no longer be read."""
+        while self._paths:
+            delete(self._shaped.rows.sparkSession, self._paths.pop())
+
+    def __enter__(self) -> KeyedGroups:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
     # -- rows and their pages ---------------------------------------------------
 
     @property
@@ -63,10 +93,10 @@ class KeyedGroups:
     @cached_property
     def hot(self) -> HotKeys | None:
         """Keys whose groups span several pages, or None."""
-        bounded = self._row_weight is None and self._shaped.most_rows is not None
-        if bounded and self._shaped.most_rows <= self.page_rows:
+        bounded = self._row_weight is None and all(self._shaped.single)
+        if bounded and len(self._shaped.single) <= self.page_rows:
             return None
-        return find_hot_keys(self._shaped.rows, self._key_terms, self._page_weight, self._row_weight)
+        return find_hot_keys(self._shaped.rows, self._key_terms, self._page_weight, self._row_weight, self._paths)
 
     @property
     def _in_place(self) -> bool:
@@ -84,22 +114,53 @@ class KeyedGroups:
             return self.hot.matches(self._shaped.rows, "left_anti")
         return self._shaped.in_place if self._in_place else self._shaped.rows
 
-    @cached_property
-    def _numbered(self) -> DataFrame:
-        """Rows of the hot groups with ``_pos`` and ``_page``."""
-        shaped = self._shaped
-        identified = not shaped.unique and shaped.identified is not None
-        distinct = [] if shaped.unique else ["_rid"] if identified else None
-        rows = self.hot.matches(shaped.identified() if identified else shaped.rows, "left_semi")
-        placed = number_rows(rows, shaped.sort_terms, self.hot, distinct, self._row_weight)
-        return placed.withColumn("_page", F.expr(f"_before div {self._page_weight}")).drop("_before")
-
-    @cached_property
-    def _paged(self) -> DataFrame:
+    def _numbered(self, carried: tuple[int, ...] = ()) -> DataFrame:
+        """Rows of the hot groups with ``_pos`` and ``_page``; carried queries have none."""
+        if carried not in self._numbered_without:
+            shaped = self._shaped
+            identified = None if shaped.unique else shaped.identified()
+            distinct = [] if shaped.unique else None if identified is None else ["_rid"]
+            rows = self.hot.matches(shaped.rows if identified is None else identified, "left_semi")
+            if carried:
+                rows = rows.where(~F.col("_q").isin(*carried))
+            placed = number_rows(rows, shaped.sort_terms, self.hot, distinct, self._row_weight, self._paths)
+            paged = placed.withColumn("_page", F.expr(f"_before div {self._page_weight}")).drop("_before")
+            self._numbered_without[carried] = paged
+        return self._numbered_without[carried]
+
+    def _hot_pages(self, carried: tuple[int, ...]) -> DataFrame:
+        """Rows of the hot groups with ``_page``, each carried row once per page."""
+        numbered = self._numbered(carried).drop("_pos")
+        if not carried:
+            return numbered
+        keys = self._key_terms
+        # A group of carried rows alone has a page as well.
+        pages = numbered.select(*keys, "_page").unionByName(self.hot.table.select(*keys, _first_page())).distinct()
+        named = pages.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_page")
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+        single = self.hot.matches(self._shaped.rows, "left_semi").where(F.col("_q").isin(*carried))
+        return numbered.unionByName(single.join(named, same).select(*numbered.columns))
+
+    def _carried(self, carry: Sequence[int | QuerySpec]) -> tuple[int, ...]:
+        """Positions of the queries to carry; refused unless they have one row per group."""
+        found = set()
+        for one in carry:
+            if isinstance(one, int) and 0 <= one < len(self._shaped.single):
+                found.add(one)
+            elif one in self._queries:
+                found.add(self._queries.index(one))
+            else:
+                raise JobError(f"{one!r} is no query of this job")
+        many = [i for i in sorted(found) if not self._shaped.single[i]]
+        if many:
+            raise JobError(f"queries {many} may have several rows in a group and cannot be carried")
+        return tuple(sorted(found))
+
+    def _paged(self, carried: tuple[int, ...] = ()) -> DataFrame:
         """All rows with ``_page``."""
         if self.hot is None:
             return self._small_groups.select("*", _first_page())
-        return self._small_groups.select("*", _first_page()).unionByName(self._numbered.drop("_pos"))
+        return self._small_groups.select("*", _first_page()).unionByName(self._hot_pages(carried))
 
     @property
     def _page_terms(self) -> list[str]:
@@ -117,21 +178,21 @@ class KeyedGroups:
 
     # -- groups as lists --------------------------------------------------------
 
-    def merged(self) -> DataFrame:
+    def merged(self, carry: Sequence[int | QuerySpec] = ()) -> DataFrame:
         """One row per page: key, ``_page`` and ``rows``, the list of its rows.
 
         An element holds ``_q`` and one struct per query, null but for its own.
         """
         row = F.struct("_q", *self._shaped.payloads)
-        return self._collect(rows=self._ordered(self._shaped.sort_terms, row))
+        return self._collect(carry, rows=self._ordered(self._shaped.sort_terms, row))
 
-    def cogrouped(self) -> DataFrame:
+    def cogrouped(self, carry: Sequence[int | QuerySpec] = ()) -> DataFrame:
         """One row per page: key, ``_page`` and one list per query, ``s0``, ``s1``, …"""
         lists = {}
         for index, payload in enumerate(self._shaped.payloads):
             order = self._shaped.order[index]
             lists[payload] = self._ordered(order, F.col(payload), F.col("_q") == index)
-        return self._collect(**lists)
+        return self._collect(carry, **lists)
 
     def _ordered(self, order: list[str], row: Column, only: Column | None = None) -> Column:
         """The list of ``row`` values in the order of the ``order`` terms."""
@@ -146,28 +207,34 @@ class KeyedGroups:
             lambda a, b: F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0),
         )["row"]
 
-    def _collect(self, **lists: Column) -> DataFrame:
+    def _collect(self, carry: Sequence[int | QuerySpec], **lists: Column) -> DataFrame:
         # Lists do not shrink before the shuffle, so rows move first and are
         # collected once, instead of being collected on both sides of it. Rows that
         # lie in buckets of their key need not move at all.
+        carried = self._carried(carry)
         terms = self._page_terms
         page = _first_page() if self.hot is None else F.col("_page")
-        rows = self._paged
+        rows = self._paged(carried)
         if not self._in_place:
             rows = rows.repartition(*terms)
         groups = rows.groupBy(*terms).agg(*(c.alias(n) for n, c in lists.items()))
         return groups.select(*self._key_columns, page, *lists)
 
-    def fold(self, cogrouped: bool = False, **parts: tuple[Column, Callable[[Column], Column]]) -> DataFrame:
+    def fold(
+        self,
+        cogrouped: bool = False,
+        carry: Sequence[int | QuerySpec] = (),
+        **parts: tuple[Column, Callable[[Column], Column]],
+    ) -> DataFrame:
         """One row per group from its lists.
 
         Each part is an expression over the list or lists of one page (and its
-        ``_page``), and the aggregate that joins the values of several pages.
+        ``_page``), and the aggregate that joins the values of the pages; it is applied
+        to groups of one page, too. Carried rows are in the lists of every page.
         """
-        lists = self.cogrouped() if cogrouped else self.merged()
+        lists = self.cogrouped(carry) if cogrouped else self.merged(carry)
         pages = lists.select(*self._key_names, "_page", *(e.alias(n) for n, (e, _) in parts.items()))
-        if self.hot is None:
-            return pages.drop("_page")
+        # The pages of a job without large groups lie by key already; nothing moves again.
         return pages.groupBy(*self._key_names).agg(*(join(F.col(n)).alias(n) for n, (_, join) in parts.items()))
 
     # -- groups as flat rows ----------------------------------------------------
@@ -178,7 +245,7 @@ class KeyedGroups:
         columns = [*self._key_columns, "_pos", "_q", *self._shaped.payloads]
         position = F.row_number().over(window).cast("bigint")
         small = self._small_groups.withColumn("_pos", position).select(*columns)
-        return small if self.hot is None else small.unionByName(self._numbered.select(*columns))
+        return small if self.hot is None else small.unionByName(self._numbered().select(*columns))
 
     def sorted_slices(self, n: int, tokenizer: Tokenizer = XXHASH_64) -> DataFrame:
         """Rows in exactly ``n`` partitions, each ordered by token, key and group order.
@@ -186,10 +253,11 @@ class KeyedGroups:
         Partition ``i`` is token slice ``i``; page ``p`` of a hot group goes ``p``
         partitions further, round and round. A page is never split.
         """
-        token = tokenizer.column(*self._key_terms[: self._shaped.n_partition_key])
+        key = self._key_terms[: self._shaped.n_partition_key]
+        token = tokenizer.column(*key_columns(key, self._shaped.rows.schema))
         target = F.pmod(tokenizer.slice_of(TOKEN, n).cast("bigint") + F.col("_page"), F.lit(n)).cast("int")
         return (
-            self._paged.withColumn(TOKEN, token)
+            self._paged().withColumn(TOKEN, token)
             .repartitionById(n, target)
             .sortWithinPartitions(TOKEN, *self._key_terms, "_page", *self._shaped.sort_terms)
             .select(TOKEN, *self._key_columns, "_page", "_q", *self._shaped.payloads)
@@ -198,30 +266,49 @@ class KeyedGroups:
     def partitioned(self, n: int) -> DataFrame:
         """Rows in exactly ``n`` partitions, unsorted; every page lies in one of them."""
         return (
-            self._paged.repartition(n, *self._page_terms)
+            self._paged().repartition(n, *self._page_terms)
             .select(*self._key_columns, "_page", "_q", *self._shaped.payloads)
         )
 
     # -- user functions ---------------------------------------------------------
 
-    def apply_pages(self, function: Callable, schema: T.StructType | str) -> DataFrame:
+    def apply_pages(
+        self,
+        function: Callable,
+        schema: T.StructType | str,
+        carry: Sequence[int | QuerySpec] = (),
+        partitions: int | None = None,
+    ) -> DataFrame:
         """Call ``function(pdf) -> pdf`` once per page, its rows in group order.
 
         Columns of ``pdf``: the key, ``_page``, ``_q``, and ``s0_x`` for column x of
-        query 0, and so on; they are null in rows of other queries.
+        query 0, and so on; they are null in rows of other queries. ``partitions`` are
+        the tasks, ``spark.sql.shuffle.partitions`` of them unless given.
         """
-        return self._apply(self._paged, function, schema)
-
-    def apply_groups(self, function: Callable, merge: Callable, schema: T.StructType | str) -> DataFrame:
+        return self._apply(self._paged(self._carried(carry)), function, schema, partitions=partitions)
+
+    def apply_groups(
+        self,
+        function: Callable,
+        merge: Callable,
+        schema: T.StructType | str,
+        carry: Sequence[int | QuerySpec] = (),
+        partitions: int | None = None,
+    ) -> DataFrame:
         """Call ``function`` per page and ``merge`` on the results of a group's pages.
 
         Both return frames of ``schema``, which holds the key columns. ``merge`` gets
         the results of up to a thousand pages, in page order, then its own results,
-        until one is left; it must not depend on how they are batched. Groups of one
-        page skip it.
+        until one is left; it must not depend on how they are batched. It gets the
+        result of a group of one page as well.
         """
+        carried = self._carried(carry)
+
+        def whole(pdf):
+            return merge(function(pdf))
+
         if self.hot is None:
-            return self.apply_pages(function, schema)
+            return self._apply(self._paged(), whole, schema, partitions=partitions)
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         numbered = T.StructType([*schema.fields, T.StructField("_page", T.LongType())])
 
@@ -233,19 +320,27 @@ class KeyedGroups:
             in_order = pdf.sort_values("_page", kind="stable", ignore_index=True)
             return merge(in_order.drop(columns="_page")).assign(_page=pdf["_page"].min())
 
-        merged = self._apply(self._numbered, on_page, numbered)
+        merged = self._apply(self._hot_pages(carried), on_page, numbered, partitions=partitions)
         pages = -(-self.hot.largest // self._page_weight)
         span = 1
-        while span < pages:
+        while True:
             span *= MERGE_FAN_IN
             batch = F.expr(f"_page div {span}").alias("_batch")
             merged = merged.groupBy(*self._key_names, batch).applyInPandas(on_results, numbered)
+            if span >= pages:
+                break
 
-        small = self._apply(self._small_groups.select("*", _first_page()), function, schema, one_page=True)
+        small = self._small_groups.select("*", _first_page())
+        small = self._apply(small, whole, schema, one_page=True, partitions=partitions)
         return small.unionByName(merged.drop("_page"))
 
     def _apply(
-        self, paged: DataFrame, function: Callable, schema: T.StructType | str, one_page: bool = False
+        self,
+        paged: DataFrame,
+        function: Callable,
+        schema: T.StructType | str,
+        one_page: bool = False,
+        partitions: int | None = None,
     ) -> DataFrame:
         # A constant page number would be dropped from the sort, and the rows would
         # be sorted once more without their order.
@@ -259,7 +354,7 @@ class KeyedGroups:
         # A fixed number of partitions, since few bytes may mean much work in Python.
         # The grouping asks for rows sorted by ``terms``; this sort satisfies it and
         # goes on with the order inside the page.
-        n = int(paged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or int(paged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return (
             paged.repartition(n, *terms)
             .sortWithinPartitions(*terms, *self._shaped.sort_terms)

@@ -23,15 +23,9 @@ BROADCAST_BYTES = 32 << 20
 # Room that a row of such a table takes beside its values.
 ROW_BYTES = 64
 
-# Limits to the number of hash buckets of keys that are weighed before single keys
-# are, and the number of heavy ones up to which the rows are narrowed down to them.
-MIN_BUCKETS = 1 << 8
-MAX_BUCKETS = 1 << 16
-FEW_BUCKETS = 1_000
-
-# Rows of hot groups per sort task, and the limit to the number of such tasks.
+# Rows, and bytes of their selected values, of hot groups per sort task.
 ROWS_PER_TASK = 1_000_000
-MAX_SORT_TASKS = 8_000
+BYTES_PER_TASK = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -43,6 +37,7 @@ class HotKeys:
     n_keys: int
     n_rows: int
     largest: int
+    total: int
     key_bytes: int
     widest_key: int
 
@@ -54,29 +49,44 @@ class HotKeys:
         return rows.join(table, _same_key(self.keys), kind)
 
 
-def find_hot_keys(rows: DataFrame, keys: list[str], limit: int, weight: Column | None = None) -> HotKeys | None:
+def find_hot_keys(
+    rows: DataFrame, keys: list[str], limit: int, weight: Column | None = None, paths: list[str] | None = None
+) -> HotKeys | None:
     """Sum up the weight of the rows per key, one each unless given; keep the keys
     above the limit.
 
-    Partial sums shrink before the shuffle, so a hot key costs no more than any
-    other. Unweighted, only the key columns are read. A bucket of keys weighs at
-    least as much as each of them, so if no bucket is above the limit, no key is.
-    Keys are summed up only in the buckets that are; in data so large that most
-    buckets would be, at once.
+    Weights are first summed by a hash of the key, sixteen bytes per key however wide
+    it is. A hash weighs at least as much as each of its keys, so only the rows of the
+    few hashes above the limit are summed by key. Partial sums shrink before the
+    shuffle, so a hot key costs no more than any other. Unweighted, only the key
+    columns are read.
     """
     number = F.count("*")
     total = number if weight is None else F.sum(weight)
-    size = _size(rows.select(*keys))
-    if size <= MAX_BUCKETS * limit:
-        # Ample buckets for the rows that so many bytes of keys may stand for.
-        n = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << (16 * size // limit).bit_length()))
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(n))
-        weights = rows.groupBy(bucket.alias("bucket")).agg(total.alias("_w"))
-        heavy = [r.bucket for r in weights.where(F.col("_w") > limit).select("bucket").collect()]
-        if not heavy:
+    hashed = _hashed(keys)
+    heavy = rows.groupBy(hashed.alias("_kh")).agg(total.alias("_w")).where(F.col("_w") > limit).select("_kh")
+    # Kept between the count and its use, so that the rows are hashed once.
+    heavy.persist()
+    try:
+        n_heavy = heavy.count()
+        if not n_heavy:
             return None
-        if len(heavy) <= FEW_BUCKETS:
-            rows = rows.where(bucket.isin(heavy))
+        wanted = F.broadcast(heavy) if n_heavy * ROW_BYTES <= BROADCAST_BYTES else heavy
+        near = rows.join(wanted, hashed == F.col("_kh"), "left_semi")
+        return _exact(near, keys, limit, number, total, paths)
+    finally:
+        heavy.unpersist()
+
+
+def _hashed(keys: Sequence[str]) -> Column:
+    """A hash of the key, the same for equal keys."""
+    return F.xxhash64(*keys)
+
+
+def _exact(
+    rows: DataFrame, keys: list[str], limit: int, number: Column, total: Column, paths: list[str] | None
+) -> HotKeys | None:
+    """Keys above the limit, among the rows of hashes that are."""
     hot = rows.groupBy(*keys).agg(number.alias("_n"), total.alias("_w")).where(F.col("_w") > limit)
     width = reduce(lambda a, b: a + b, [_width(rows, k) for k in keys])
     # The few keys found are measured and then, if there are any, stored; they are
@@ -87,10 +97,11 @@ def find_hot_keys(rows: DataFrame, keys: list[str], limit: int, weight: Column |
             F.count("*").alias("n_keys"),
             F.sum("_n").alias("n_rows"),
             F.max("_w").alias("largest"),
+            F.sum("_w").alias("total"),
             F.sum(width).alias("key_bytes"),
             F.max(width).alias("widest_key"),
         ).first()
-        return HotKeys(keys, materialise(hot, "hot-keys"), **found.asDict()) if found.n_keys else None
+        return HotKeys(keys, materialise(hot, "hot-keys", paths), **found.asDict()) if found.n_keys else None
     finally:
         hot.unpersist()
 
@@ -101,6 +112,7 @@ def number_rows(
     hot: HotKeys,
     distinct: Sequence[str] | None = None,
     weight: Column | None = None,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """Add ``_pos``, the 1-based position of a row in its hot group, and ``_before``,
     the weight of the rows before it.
@@ -111,15 +123,14 @@ def number_rows(
     if weight is not None:
         rows = rows.withColumn("_w", weight)
     terms = [*hot.keys, *order]
-    n = min(MAX_SORT_TASKS, -(-hot.n_rows // ROWS_PER_TASK))
-    n = max(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = sort_tasks(rows, hot)
     if distinct is not None:
-        placed = _placed(rows, [*terms, *distinct], n, unneeded=distinct)
+        placed = _placed(rows, [*terms, *distinct], n, unneeded=distinct, paths=paths)
     else:
         # Copies of a row cannot be split by value. A row id does it, and since it is
         # written out before it is used, a repeated task cannot change it.
         with temporary(rows.withColumn("_rid", F.monotonically_increasing_id()), "hot-rows") as stored:
-            placed = _placed(stored, [*terms, "_rid"], n, unneeded=["_rid"])
+            placed = _placed(stored, [*terms, "_rid"], n, unneeded=["_rid"], paths=paths)
 
     # A run is the part of a group in one partition: at most one per hot key, and one
     # more per partition border.
@@ -141,11 +152,34 @@ def number_rows(
     return numbered.select(*columns, position.alias("_pos"), before.alias("_before"))
 
 
-def _placed(rows: DataFrame, terms: Sequence[str], n: int, unneeded: Sequence[str]) -> DataFrame:
+def sort_tasks(rows: DataFrame, hot: HotKeys) -> int:
+    """Tasks that sort the rows of hot groups: as many as their number and width ask for.
+
+    The width is Spark's estimate for a row of these columns, or more where the summed
+    weights are bytes and tell so.
+    """
+    width = sum(_field_bytes(f.dataType) for f in rows.schema.fields)
+    size = max(hot.n_rows * width, hot.total)
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-hot.n_rows // ROWS_PER_TASK), -(-size // BYTES_PER_TASK))
+
+
+def _field_bytes(dtype: T.DataType) -> int:
+    """A guess at the bytes of a value; texts and lists count for a short one."""
+    if isinstance(dtype, T.StructType):
+        return 8 + sum(_field_bytes(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)):
+        return 64
+    return 8
+
+
+def _placed(
+    rows: DataFrame, terms: Sequence[str], n: int, unneeded: Sequence[str], paths: list[str] | None
+) -> DataFrame:
     """Rows in ``n`` sorted partitions, with the partition and an index that grows in it."""
     ordered = rows.repartitionByRange(n, *terms).sortWithinPartitions(*terms).drop(*unneeded)
     indexed = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_idx", F.monotonically_increasing_id())
-    return materialise(indexed, "hot-order")
+    return materialise(indexed, "hot-order", paths)
 
 
 def _aside(df: DataFrame, keys: Sequence[str], *others: Column | str) -> DataFrame:
@@ -158,11 +192,6 @@ def _same_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
 
 
-def _size(df: DataFrame) -> int:
-    """Spark's own estimate of the bytes of a frame; a guide to speed, not to results."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def _width(rows: DataFrame, key: str) -> Column:
     if isinstance(rows.schema[key].dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(key), F.lit(0)).cast("bigint") + F.lit(ROW_BYTES)

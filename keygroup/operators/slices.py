@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keygroup.functions.token import XXHASH_64, Tokenizer
+from keygroup.functions.token import XXHASH_64, Tokenizer, key_columns
 from keygroup.names import TOKEN, quoted
 from keygroup.operators.hot import BROADCAST_BYTES
 from keygroup.sources.tables import KeyedTable
@@ -21,7 +21,7 @@ _RANGE_BYTES = 64
 
 
 def with_token(table: KeyedTable, tokenizer: Tokenizer = XXHASH_64) -> DataFrame:
-    return table.rows.withColumn(TOKEN, tokenizer.column(*(F.col(quoted(c)) for c in table.partition_key)))
+    return table.rows.withColumn(TOKEN, tokenizer.column(*key_columns(table.partition_key, table.df.schema)))
 
 
 def read_slice(table: KeyedTable, low: int, high: int, tokenizer: Tokenizer = XXHASH_64) -> DataFrame:
@@ -47,9 +47,10 @@ def slice_profile(table: KeyedTable, n: int, tokenizer: Tokenizer = XXHASH_64) -
     Rows shrink to one per key before the shuffle, so hot keys do no harm.
     """
     key = [F.col(quoted(c)) for c in table.partition_key]
+    token_key = key_columns(table.partition_key, table.df.schema)
     per_key = table.rows.groupBy(*key).agg(F.count("*").alias("_n"))
     return (
-        per_key.groupBy(tokenizer.slice_of(tokenizer.column(*key), n).alias("slice"))
+        per_key.groupBy(tokenizer.slice_of(tokenizer.column(*token_key), n).alias("slice"))
         .agg(
             F.sum("_n").alias("n_rows"),
             F.count("*").alias("n_keys"),
@@ -124,8 +125,8 @@ class TokenRanges:
     def profile(self, table: KeyedTable) -> DataFrame:
         """``n_rows`` and ``n_keys`` per range; rows shrink to one per key first."""
         key = [F.col(quoted(c)) for c in table.partition_key]
-        per_key = table.rows.groupBy(*key).agg(F.count("*").alias("_n"))
-        per_key = per_key.select("_n", self._tokenizer.column(*key).alias(TOKEN))
+        token = self._tokenizer.column(*key_columns(table.partition_key, table.df.schema))
+        per_key = table.rows.groupBy(*key).agg(F.count("*").alias("_n")).select("_n", token.alias(TOKEN))
         return (
             self.assign(per_key)
             .groupBy("slice")

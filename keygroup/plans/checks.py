@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import datetime
-import decimal
 from collections.abc import Sequence
-from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -13,6 +10,7 @@ from pyspark.sql import types as T
 
 from keygroup.errors import JobError
 from keygroup.names import is_reserved
+from keygroup.plans.binding import check_types
 from keygroup.plans.spec import QuerySpec
 from keygroup.sources.tables import Catalog, KeyedTable
 
@@ -34,8 +32,6 @@ _GROUPABLE = (
     T.TimestampNTZType,
 )
 
-_INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
-
 
 def check_job(catalog: Catalog, queries: Sequence[QuerySpec], group_by: Sequence[str]) -> list[KeyedTable]:
     """Run every check and return the tables in query order."""
@@ -85,7 +81,8 @@ def check_grouping(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], g
 
 
 def check_groupable(query: QuerySpec, column: str, dtype: T.DataType) -> None:
-    if not isinstance(dtype, _GROUPABLE):
+    collated = isinstance(dtype, T.StringType) and not dtype.isUTF8BinaryCollation()
+    if collated or not isinstance(dtype, _GROUPABLE):
         raise JobError(f"cannot group {query.name} by {column} of type {dtype.simpleString()}")
 
 
@@ -112,34 +109,4 @@ def check_arguments(query: QuerySpec, table: KeyedTable) -> None:
         return
     if len(where.placeholders) != len(where.args):
         raise JobError(f"{query.name} has {len(where.placeholders)} placeholders but {len(where.args)} arguments")
-    for column, value in zip(where.compared_columns(), where.args):
-        if column is None or column not in table.df.columns:
-            continue
-        dtype = table.type_of(column)
-        if not _accepts(dtype, value):
-            raise JobError(
-                f"cannot bind {value!r} ({type(value).__name__}) to {query.name}.{column}"
-                f" of type {dtype.simpleString()}"
-            )
-
-
-def _accepts(dtype: T.DataType, value: Any) -> bool:
-    for integer, bits in _INTEGER_BITS.items():
-        if isinstance(dtype, integer):
-            plain = isinstance(value, int) and not isinstance(value, bool)
-            return plain and -(1 << bits - 1) <= value < 1 << bits - 1
-    if isinstance(dtype, T.BooleanType):
-        return isinstance(value, bool)
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return isinstance(value, float)
-    if isinstance(dtype, T.DecimalType):
-        return isinstance(value, decimal.Decimal)
-    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        return isinstance(value, str)
-    if isinstance(dtype, T.BinaryType):
-        return isinstance(value, (bytes, bytearray))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return isinstance(value, datetime.datetime)
-    if isinstance(dtype, T.DateType):
-        return isinstance(value, datetime.date) and not isinstance(value, datetime.datetime)
-    return True
+    check_types(query.name, where, table.df)

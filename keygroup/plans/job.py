@@ -40,4 +40,4 @@ class MultiQuery:
         lists that groups come in.
         """
         tables = self.validate()
-        return KeyedGroups(shape(self.queries, tables, self.grouping), page_rows, page_bytes)
+        return KeyedGroups(shape(self.queries, tables, self.grouping), page_rows, page_bytes, self.queries)

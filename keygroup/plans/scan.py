@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keygroup.functions.token import XXHASH_64, Tokenizer
+from keygroup.functions.token import XXHASH_64, Tokenizer, key_columns
+from keygroup.errors import JobError
 from keygroup.names import TOKEN, quoted
+from keygroup.plans.binding import placeholder_types
 from keygroup.plans.checks import check_job
 from keygroup.plans.spec import QuerySpec, WhereClause
 from keygroup.sources.tables import Catalog, KeyedTable
@@ -28,7 +30,7 @@ def filtered(query: QuerySpec, table: KeyedTable, *more: Column) -> DataFrame:
     # Braces mark DataFrame placeholders in spark.sql and are doubled to stay text.
     predicate = predicate.replace("{", "{{").replace("}", "}}")
     return table.df.sparkSession.sql(
-        f"SELECT * FROM {{source}} WHERE ({predicate})", args=args, source=rows
+        f"SELECT * FROM {{source}} WHERE ({predicate}\n)", args=args, source=rows
     )
 
 
@@ -41,8 +43,7 @@ def _bound(where: WhereClause, table: KeyedTable) -> tuple[str, list[Any]]:
     """
     text, args = where.predicate, []
     literals = []
-    for at, column, value in zip(where.placeholders, where.compared_columns(), where.args):
-        dtype = table.type_of(column) if column in table.df.columns else None
+    for at, dtype, value in zip(where.placeholders, placeholder_types(where, table.df), where.args):
         if isinstance(dtype, T.FloatType):
             literals.append((at, f"CAST('{value!r}' AS FLOAT)"))
         elif isinstance(dtype, T.TimestampNTZType):
@@ -90,9 +91,11 @@ def scan(
         if token_range is not None:
             raise ValueError("a token range needs a tokenizer")
         return df.select(*columns)
-    key = [F.col(quoted(c)) for c in table.partition_key]
-    token = tokenizer.column(*key)
+    token = tokenizer.column(*key_columns(table.partition_key, table.df.schema))
     if token_range is not None:
         df = df.where(token.between(*token_range))
     extra = [F.col(quoted(c)) for c in table.partition_key if c not in output]
+    clash = [name for name in output if name.lower() == TOKEN]
+    if clash:
+        raise JobError(f"{query.name} selects {clash}, the name of the token; give it another one")
     return df.select(token.alias(TOKEN), *extra, *columns)

@@ -31,8 +31,8 @@ class Shaped:
     the terms that order its rows inside a group. ``unique`` says that every table's
     rows are told apart by their keys. ``identified`` builds the same rows with
     ``_rid``, a lasting number that tells copies apart, if the tables have one; it is
-    kept aside because reading it is not free. ``most_rows`` bounds the rows of a group, where
-    the declared keys do so. ``in_place`` are the same rows, read by bucket, if all
+    kept aside because reading it is not free. ``single`` says per query that the declared
+    keys allow it one row in a group. ``in_place`` are the same rows, read by bucket, if all
     tables are stored in the same number of buckets.
     """
 
@@ -42,8 +42,8 @@ class Shaped:
     payloads: list[str]
     order: list[list[str]]
     unique: bool
-    identified: Callable[[], DataFrame] | None
-    most_rows: int | None
+    identified: Callable[[], DataFrame | None]
+    single: list[bool]
     in_place: DataFrame | None
 
     @property
@@ -75,9 +75,13 @@ class Shaped:
 def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by: Sequence[str]) -> Shaped:
     keys = list(dict.fromkeys([*tables[0].partition_key, *group_by]))
     rows, order = _union(queries, tables, keys, group_by)
-    lasting = all(t.unique or t.row_id is not None for t in tables)
-    # Grouped by a whole primary key, each query has at most one row in a group.
-    one_each = all(t.unique and set(t.clustering) <= set(group_by) for t in tables)
+    # Grouped by a whole primary key, a query has at most one row in a group.
+    single = [t.unique and set(t.clustering) <= set(group_by) for t in tables]
+
+    def identified() -> DataFrame | None:
+        lasting = all(t.unique or t.row_id is not None for t in tables)
+        return _union(queries, tables, keys, group_by, True)[0] if lasting else None
+
     clustered = tables[0].buckets > 0 and len({t.buckets for t in tables}) == 1
     return Shaped(
         rows=rows,
@@ -86,8 +90,8 @@ def shape(queries: Sequence[QuerySpec], tables: Sequence[KeyedTable], group_by:
         payloads=[f"s{index}" for index in range(len(queries))],
         order=order,
         unique=all(t.unique for t in tables),
-        identified=(lambda: _union(queries, tables, keys, group_by, True)[0]) if lasting else None,
-        most_rows=len(queries) if one_each else None,
+        identified=identified,
+        single=single,
         in_place=_union(queries, [t.in_place for t in tables], keys, group_by)[0] if clustered else None,
     )
 

@@ -2,21 +2,33 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keygroup.functions.token import XXHASH_64, Tokenizer
-from keygroup.names import SLICE, quoted
+from keygroup.functions.token import MD5_60, XXHASH_64, Tokenizer, key_columns
+from keygroup.names import SLICE
 from keygroup.sources.tables import KeyedTable
+from keygroup.workspace import delete
+
+_TOKENIZERS = {t.name: t for t in (XXHASH_64, MD5_60)}
+# Spark's listing of a table passes over names that begin with an underscore.
+_NOTE = "_keygroup"
 
 
 @dataclass(frozen=True)
 class SlicedTable:
-    """Parquet files under one folder per slice of the key space."""
+    """Parquet files under one folder per slice of the key space.
+
+    A note beside the files holds what is needed to open them again: the keys, the
+    schema, the number of slices, the tokenizer and the slices that hold rows, at most
+    ``n`` of them. The files are listed once per object.
+    """
 
     spark: SparkSession
     path: str
@@ -24,6 +36,10 @@ class SlicedTable:
     n: int
     partition_key: tuple[str, ...]
     clustering: tuple[str, ...] = ()
+    unique: bool = False
+    require_keys: bool = False
+    tokenizer: Tokenizer = XXHASH_64
+    slices: tuple[int, ...] = ()
 
     @classmethod
     def write(cls, table: KeyedTable, path: str, n: int, tokenizer: Tokenizer = XXHASH_64) -> SlicedTable:
@@ -32,29 +48,53 @@ class SlicedTable:
         Rows are rebalanced by slice: small slices share a writer, and a slice
         swollen by a hot key is spread over several writers and files.
         """
-        token = tokenizer.column(*(F.col(quoted(c)) for c in table.partition_key))
+        if tokenizer.name not in _TOKENIZERS:
+            raise ValueError(f"a layout cannot be opened again with the tokenizer {tokenizer.name}")
+        spark = table.df.sparkSession
+        token = tokenizer.column(*key_columns(table.partition_key, table.df.schema))
         sliced = table.rows.withColumn(SLICE, tokenizer.slice_of(token, n))
         sliced.hint("rebalance", F.col(SLICE)).write.partitionBy(SLICE).parquet(path)
         schema = T.StructType([*table.df.schema.fields, T.StructField(SLICE, T.IntegerType())])
-        return cls(table.df.sparkSession, path, schema, n, table.partition_key, table.clustering)
+        # The folders tell which slices there are; no file has to be opened.
+        present = spark.read.schema(schema).parquet(path).select(SLICE).distinct().collect()
+        note = {
+            "schema": schema.jsonValue(), "n": n, "partition_key": table.partition_key, "clustering": table.clustering,
+            "unique": table.unique, "require_keys": table.require_keys, "tokenizer": tokenizer.name,
+            "slices": sorted(row[0] for row in present),
+        }
+        spark.createDataFrame([(json.dumps(note),)], "note string").coalesce(1).write.text(f"{path}/{_NOTE}")
+        return cls.open(spark, path)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> SlicedTable:
+        """A layout written before, by any session."""
+        note = json.loads(spark.read.text(f"{path}/{_NOTE}", wholetext=True).first()[0])
+        schema = T.StructType.fromJson(note.pop("schema"))
+        names = {key: tuple(note.pop(key)) for key in ("partition_key", "clustering", "slices")}
+        tokenizer = _TOKENIZERS[note.pop("tokenizer")]
+        return cls(spark, path, schema, tokenizer=tokenizer, **names, **note)
 
     def read(self, first: int = 0, last: int | None = None) -> KeyedTable:
         """Slices ``first`` to ``last``, both included; the other folders are pruned."""
         last = self.n - 1 if last is None else last
-        df = self._frame()
+        df = self._frame
         if (first, last) != (0, self.n - 1):
             df = df.where(F.col(SLICE).between(first, last))
-        return KeyedTable(df.drop(SLICE), self.partition_key, self.clustering)
+        return KeyedTable(df.drop(SLICE), self.partition_key, self.clustering, self.unique, self.require_keys)
 
     def present(self) -> list[int]:
-        """Indexes of the slices that hold rows, at most ``n`` of them."""
-        found = self._frame().select(SLICE).distinct().collect()
-        return sorted(row[0] for row in found)
+        """Indexes of the slices that hold rows."""
+        return list(self.slices)
 
     def __iter__(self) -> Iterator[tuple[int, KeyedTable]]:
         """One slice after the other, empty ones skipped."""
-        for index in self.present():
+        for index in self.slices:
             yield index, self.read(index, index)
 
+    def delete(self) -> bool:
+        """Delete the files; whether there were any."""
+        return delete(self.spark, self.path)
+
+    @cached_property
     def _frame(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

@@ -77,7 +77,9 @@ class KeyedTable:
         details = dict(described[heads[-1] :]) if heads else {}
         rename = keys.get("rename") or {}
         columns = [rename.get(c, c) for c in details.get("Bucket Columns", "").strip("[]").replace("`", "").split(", ")]
-        if columns != list(named.partition_key) or details["Provider"].lower() != "parquet":
+        # Raw files stand for the table only if no partition can be elsewhere or dropped.
+        partitioned = any(name.startswith("# Partition") for name, _ in described)
+        if partitioned or columns != list(named.partition_key) or details["Provider"].lower() != "parquet":
             return named
         files = spark.read.schema(spark.table(relation).schema).parquet(details["Location"])
         plain = cls.of(files, **keys)

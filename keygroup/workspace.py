@@ -28,7 +28,9 @@ def workspace_dir(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_dirs.setdefault(app, tempfile.mkdtemp(prefix="keygroup-"))
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="keygroup-")
+        root = _local_dirs[app]
     return f"{root.rstrip('/')}/keygroup-{app}"
 
 
@@ -41,24 +43,32 @@ def temporary(df: DataFrame, tag: str) -> Iterator[DataFrame]:
     """Like ``materialise``, for a table that is not needed after the block."""
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
-    yield spark.read.schema(df.schema).parquet(path)
-    _delete(spark, path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete(spark, path)
+
 
+def materialise(df: DataFrame, tag: str, paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once and return a frame over the written files.
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once and return a frame over the written files."""
+    The folder is added to ``paths``, for an owner that deletes it after use.
+    """
     spark = df.sparkSession
     path = new_path(spark, tag)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_workspace(spark: SparkSession) -> bool:
     """Delete the intermediate tables of this application, and nothing else."""
-    return _delete(spark, workspace_dir(spark))
+    return delete(spark, workspace_dir(spark))
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store it is; whether there was one."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
