@@ -39,9 +39,9 @@ LENGTH = 100
 GRAM = 36
 HELD = LENGTH - GRAM + 1
 # Bytes of text whose anchors are found at a time; positions within fit 24 bits.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 # Contexts of one anchor that are sorted in memory; more are compared window by window.
-CONTEXTS = 200_000
+CONTEXTS = 40_000
 _PRIME = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _WORDS = np.random.default_rng(3).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
