@@ -64,7 +64,13 @@ def _analysed(where: WhereClause, df: DataFrame) -> list[T.DataType | None]:
             return None
         plan = json.loads(found._jdf.queryExecution().analyzed().toJSON())
         [condition] = [node["condition"] for node in plan if node["class"].endswith(".Filter")][:1]
-        return sum(node["class"].endswith("expressions.Cast") for node in condition)
+        # Nodes come parent first. A cast of a column to its own type changes nothing, and
+        # that of a decimal to one of other digits does not count.
+        kind = lambda node: str(node.get("dataType")).partition("(")[0]
+        return sum(
+            node["class"].endswith("expressions.Cast") and kind(node) != kind(child)
+            for node, child in zip(condition, condition[1:])
+        )
 
     # Each parameter is varied with the others held; they are told by their arguments first.
     types = [next((t for t in candidates if accepts(t, v)), T.StringType()) for v in where.args]

@@ -123,11 +123,11 @@ def test_builder_columns():
 def test_spec_is_a_value():
     built = (
         QuerySpec.builder().keyspace("k").table("t").columns("A", "B")
-        .where("WHERE foo = ? and bar = ?", "value to bind", 10).build()
+        .where("WHERE depth > ? AND label <> ?", 2.5, "shoal").build()
     )
     again = pickle.loads(pickle.dumps(built))
     assert again == built and hash(again) == hash(built)
-    assert [type(a) for a in again.where.args] == [str, int]
+    assert [type(a) for a in again.where.args] == [float, str]
 
 
 def test_placeholders_outside_quotes_only():
@@ -184,7 +184,7 @@ def test_predicates_reach_the_scan(spark):
     assert "ReadSchema: struct<l_quantity:double,l_tax:double,l_shipdate:timestamp_ntz>" in plan
 
 
-def test_group_filter_and_pruning_reach_the_scans(spark, teams):
+def test_group_filter_and_pruning_reach_the_scans(spark):
     from conftest import SF
 
     catalog = Catalog(spark)
@@ -197,3 +197,40 @@ def test_group_filter_and_pruning_reach_the_scans(spark, teams):
     assert plan.count("Exchange ") == 1
     plan = groups.merged().select("k")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan and "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
+@pytest.mark.parametrize("clause, right, wrong", [
+    ("? = l", 1, "1"), ("L = ?", 1, "1"), ("(l) = ?", 1, "1"), ("l + 0 = ?", 1, "1"), ("l > -?", 1, "1"),
+    ("l BETWEEN 1 AND ?", 1, "1"), ("l IN (abs(1), ?)", 1, "1"), ("t LIKE ?", "a%", 1), ("abs(?) < d", 0.5, 1),
+    ("k = 1 OR d < ?", 0.5, 1), ("n IN (?, 2)", decimal.Decimal("1.50"), 1.5), ("coalesce(x, x'00') = ?", b"a", "a"),
+    ("NOT b <> ?", True, 1), ("upper(t) = ?", "A", b"A"),
+])
+def test_every_placeholder_has_a_type(typed, clause, right, wrong):
+    catalog, _ = typed
+    assert scan(catalog, spec("typed", "k", where=WhereClause(clause, (right,))), tokenizer=None).columns == ["k"]
+    refused(catalog, spec("typed", where=WhereClause(clause, (wrong,))), match="cannot bind")
+
+
+def test_parameters_of_other_forms_find_their_rows(typed):
+    catalog, values = typed
+    where = WhereClause("? = l AND f + 0 <= ? AND tn >= ? /* late */ AND (t LIKE ?) -- end", (2, 0.5, values["tn"], "a%"))
+    assert scan(catalog, spec("typed", "k", where=where), tokenizer=None).collect() == [(1,)]
+
+
+def test_a_zone_is_not_dropped(typed):
+    aware = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
+    for clause in ("tn = ?", "? <= tn"):
+        refused(typed[0], spec("typed", where=WhereClause(clause, (aware,))), match="cannot bind")
+
+
+def test_collated_keys_are_refused(spark):
+    table = KeyedTable.of(spark.createDataFrame([], "k string collate UTF8_LCASE, v int"), "k")
+    refused(Catalog(spark).add("a", "folded", table), spec("folded"), match="cannot group")
+
+
+def test_no_column_may_hide_the_token(spark):
+    table = KeyedTable.of(spark.createDataFrame([(1, 2)], "k int, _token int"), "k")
+    catalog = Catalog(spark).add("a", "t", table)
+    with pytest.raises(JobError, match="token"):
+        scan(catalog, spec("t"))
+    assert scan(catalog, spec("t"), tokenizer=None).columns == ["k", "_token"]

@@ -280,15 +280,22 @@ def test_copies_in_files_are_told_apart_by_their_place(spark, skewed, tmp_path,
     assert "_metadata" not in plan_of(whole.merged()) and "_rid" not in plan_of(whole.merged())
 
 
-@pytest.mark.parametrize("buckets, few", [(0, 0), (1 << 16, 0), (1 << 16, 1000)])
-def test_hot_keys_are_found_whatever_the_buckets(spark, skewed, tmp_path, monkeypatch, buckets, few):
-    path = str(tmp_path / "clicks")
-    skewed.lookup("t", "clicks").df.write.parquet(path)
-    catalog = Catalog(spark).add_files("t", "clicks", path, partition_key="k", clustering="c")
-    monkeypatch.setattr(hot_module, "MAX_BUCKETS", buckets)
-    monkeypatch.setattr(hot_module, "FEW_BUCKETS", few)
-    hot = read(catalog, CLICKS, page_rows=70).hot
+@pytest.mark.parametrize("hashes", [1, 2, 5])
+def test_hot_keys_are_found_among_keys_of_one_hash(spark, skewed, monkeypatch, hashes):
+    few = lambda keys: F.pmod(F.xxhash64(*keys), F.lit(hashes))
+    monkeypatch.setattr(hot_module, "_hashed", few)
+    hot = read(skewed, CLICKS, page_rows=70).hot
     assert sorted(r["_g0"] for r in hot.table.collect()) == ["copies", "hot"]
     assert (hot.n_keys, hot.n_rows, hot.largest) == (2, 4000, 2000)
-    assert read(catalog, CLICKS, page_rows=2000).hot is None
-    assert read(catalog, CLICKS, page_rows=1999).hot.n_keys == 2
+    assert read(skewed, CLICKS, page_rows=2000).hot is None
+    assert read(skewed, CLICKS, page_rows=1999).hot.n_keys == 2
+
+
+def test_wide_rows_get_more_sort_tasks(spark, monkeypatch):
+    monkeypatch.setattr(hot_module, "BYTES_PER_TASK", 10_000)
+    found = hot_module.HotKeys(["k"], spark.range(1), 1, 5_000, 5_000, 5_000, 64, 64)
+    narrow, wide = spark.range(1), spark.range(1).selectExpr("id", "'a' AS t", "'b' AS u")
+    assert hot_module.sort_tasks(narrow, found) < hot_module.sort_tasks(wide, found)
+    # There is no largest number of tasks.
+    huge = hot_module.HotKeys(["k"], spark.range(1), 1, 10**11, 10**11, 10**11, 64, 64)
+    assert hot_module.sort_tasks(narrow, huge) >= 100_000

@@ -84,36 +84,36 @@ def wide(spark):
     """100,000 rows under a composite key of two ints, with a short text after it."""
     letter = lambda seed: F.chr(65 + F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(26)))
     df = spark.range(100_000).select(
-        F.pmod(F.xxhash64("id", F.lit(2014)), F.lit(300)).cast("int").alias("key1"),
-        F.pmod(F.xxhash64("id", F.lit(2015)), F.lit(300)).cast("int").alias("key2"),
-        F.concat(letter(1), letter(2), letter(3)).alias("key3"),
-        F.col("id").cast("int").alias("bar"),
+        F.pmod(F.xxhash64("id", F.lit(61)), F.lit(300)).cast("int").alias("x"),
+        F.pmod(F.xxhash64("id", F.lit(62)), F.lit(300)).cast("int").alias("y"),
+        F.concat(letter(1), letter(2), letter(3)).alias("code"),
+        F.col("id").cast("int").alias("n"),
     )
-    return Catalog(spark).add("smoke", "smoke", KeyedTable.of(df, ["key1", "key2"], "key3"))
+    return Catalog(spark).add("grid", "cells", KeyedTable.of(df, ["x", "y"], "code"))
 
 
 def test_each_wide_key_is_one_group(wide):
-    got = MultiQuery(wide).add(QuerySpec("smoke", "smoke")).read().merged()
-    rows = wide.lookup("smoke", "smoke").df
-    assert got.count() == rows.select("key1", "key2").distinct().count() == got.select("key1", "key2").distinct().count()
+    got = MultiQuery(wide).add(QuerySpec("grid", "cells")).read().merged()
+    rows = wide.lookup("grid", "cells").df
+    assert got.count() == rows.select("x", "y").distinct().count() == got.select("x", "y").distinct().count()
     assert got.agg(F.sum(F.size("rows"))).first()[0] == 100_000
 
 
 def test_rows_of_a_wide_group_agree_on_the_clustering_column(wide):
-    job = MultiQuery(wide).add(QuerySpec("smoke", "smoke", ("bar",))).group_by("key3")
-    rows = wide.lookup("smoke", "smoke").df
+    job = MultiQuery(wide).add(QuerySpec("grid", "cells", ("n",))).group_by("code")
+    rows = wide.lookup("grid", "cells").df
     got = job.read().merged()
-    flat = got.select("key1", "key2", "key3", F.explode("rows.s0.bar").alias("bar"))
-    assert got.count() == rows.select("key1", "key2", "key3").distinct().count()
+    flat = got.select("x", "y", "code", F.explode("rows.s0.n").alias("n"))
+    assert got.count() == rows.select("x", "y", "code").distinct().count()
     assert flat.exceptAll(rows.select(flat.columns)).count() == 0 and flat.count() == 100_000
 
 
 def test_closed_range_on_the_clustering_column(wide):
-    spec = QuerySpec("smoke", "smoke", (), WhereClause("WHERE key3 >= ? AND key3 <= ?", ("A", "M")))
-    rows = MultiQuery(wide).add(spec).read().rows.select("s0.key3")
-    expected = wide.lookup("smoke", "smoke").df.where("key3 BETWEEN 'A' AND 'M'").count()
+    spec = QuerySpec("grid", "cells", (), WhereClause("WHERE code >= ? AND code <= ?", ("A", "M")))
+    rows = MultiQuery(wide).add(spec).read().rows.select("s0.code")
+    expected = wide.lookup("grid", "cells").df.where("code BETWEEN 'A' AND 'M'").count()
     assert rows.count() == expected > 0
-    assert rows.where("NOT (key3 BETWEEN 'A' AND 'M')").count() == 0
+    assert rows.where("NOT (code BETWEEN 'A' AND 'M')").count() == 0
 
 
 @pytest.mark.parametrize("seed", range(3))

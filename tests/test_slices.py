@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from keygroup import (
-    MD5_60, XXHASH_64, Catalog, KeyedTable, QuerySpec, SlicedTable, TokenRanges, iterate_slices, read_slice, scan,
+    MD5_60, XXHASH_64, Catalog, KeyedTable, MultiQuery, QuerySpec, SlicedTable, TokenRanges, iterate_slices, read_slice, scan,
     slice_profile, with_token,
 )
 from keygroup.operators import slices as slices_module
@@ -25,9 +25,9 @@ def orders(spark):
 @pytest.fixture(scope="module")
 def big(spark):
     """Ten rows of single-column keys, each to be read exactly once."""
-    values = random.Random(2014).sample(range(-(1 << 31), 1 << 31), 10)
-    df = spark.createDataFrame([(v, v) for v in values], "foo int, bar int")
-    return KeyedTable.of(df, "foo"), values
+    values = random.Random(77).sample(range(-(1 << 31), 1 << 31), 10)
+    df = spark.createDataFrame([(v, v) for v in values], "k int, v int")
+    return KeyedTable.of(df, "k"), values
 
 
 @TOKENIZERS
@@ -80,7 +80,7 @@ def test_null_keys_have_a_token(spark, tokenizer):
 @TOKENIZERS
 def test_every_value_is_read_once(big, tokenizer):
     table, values = big
-    seen = [r.bar for _, rows in iterate_slices(table, tokenizer.bounds(4), tokenizer) for r in rows.collect()]
+    seen = [r.v for _, rows in iterate_slices(table, tokenizer.bounds(4), tokenizer) for r in rows.collect()]
     assert sorted(seen) == sorted(values)
 
 
@@ -146,6 +146,46 @@ def test_sliced_layout_prunes_and_is_whole(spark, orders, tmp_path):
 def test_sliced_layout_skips_empty_slices(spark, big, tmp_path):
     table, values = big
     sliced = SlicedTable.write(table, str(tmp_path / "big"), 64)
-    read = [(i, r.bar) for i, part in sliced for r in part.df.collect()]
+    read = [(i, r.v) for i, part in sliced for r in part.df.collect()]
     assert sorted(v for _, v in read) == sorted(values)
     assert {i for i, _ in read} == set(sliced.present()) and len(sliced.present()) < 64
+
+
+@TOKENIZERS
+def test_equal_keys_have_one_token(spark, tokenizer):
+    rows = [(z, float("nan")) for z in (0.0, -0.0) * 3]
+    df = spark.createDataFrame(rows, "k double, l double")
+    table = KeyedTable.of(df, ["k", "l"])
+    assert with_token(table, tokenizer).select("_token").distinct().count() == 1
+    profile = slice_profile(table, 8, tokenizer).collect()
+    assert [(r.n_rows, r.n_keys, r.largest_group) for r in profile] == [(6, 1, 6)]
+    groups = MultiQuery(Catalog(spark).add("t", "x", table)).add(QuerySpec("t", "x")).read()
+    placed = groups.sorted_slices(16, tokenizer).select(F.spark_partition_id()).distinct()
+    assert placed.count() == 1
+
+
+@TOKENIZERS
+def test_tokens_do_not_depend_on_the_time_zone(spark, tokenizer):
+    df = spark.sql("SELECT timestamp_seconds(1700000000) AS k, timestamp_ntz'2024-01-01 00:00:00' AS l")
+    found = set()
+    try:
+        for zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found.add(with_token(KeyedTable.of(df, ["k", "l"]), tokenizer).first()["_token"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(found) == 1
+
+
+def test_a_layout_is_opened_again(spark, orders, tmp_path, monkeypatch):
+    table = KeyedTable.of(orders.df, "o_orderkey", unique=True)
+    SlicedTable.write(table, str(tmp_path / "laid"), 8, MD5_60)
+    again = SlicedTable.open(spark, str(tmp_path / "laid"))
+    assert (again.n, again.tokenizer, again.partition_key, again.unique) == (8, MD5_60, ("o_orderkey",), True)
+    assert again.read().unique and again.read().df.count() == orders.df.count()
+    listed = []
+    read = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *a: listed.append(a) or read(self, *a))
+    assert sum(part.df.count() for _, part in again) == orders.df.count()
+    assert len(listed) == 1
+    assert again.delete() and not again.delete()
