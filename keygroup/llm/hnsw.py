@@ -3,10 +3,10 @@
 Vectors of one label are dealt to shards of bounded size, and each shard gets a graph:
 every vector has up to ``DEGREE`` near neighbours on its layers, each layer holds a
 sixteenth of the one below. Every vector of the label is looked up in every shard by a
-greedy descent and a beam search on the ground layer. A sample of the lookups is audited
-against brute force; while links are missed the beam is widened. A beam that ends within
-the links, none of its places outside the threshold, is widened likewise, so a vector
-with more links than places loses none. What is found is verified by cosine in double
+greedy descent and a beam search on the ground layer, and from what it finds within the
+threshold the search goes on to neighbours within it, so a vector with more links than
+the beam has places loses none. A sample of the lookups is audited against brute force;
+while links are missed the beam is widened. What is found is verified by cosine in double
 precision, and links are united to components.
 
 Equal vectors are one vector with a count: copies meet no task twice.
@@ -61,6 +61,7 @@ class Graph:
         tall = heights.max(initial=0) + 1
         self.layers = [np.full((n, degree * (2 if layer == 0 else 1)), n) for layer in range(tall)]
         self.nearness = [np.full(links.shape, -2.0, np.float32) for links in self.layers]
+        self.back: tuple[np.ndarray, np.ndarray] | None = None
         done = 1
         while done < n:
             stop = min(n, done + min(BATCH, max(1, done)))
@@ -121,11 +122,13 @@ class Graph:
         rows = np.arange(m)
         ids = np.full((m, beam + 1), n)
         sims = np.full((m, beam + 1), -2.0, queries.dtype)
-        ids[:, 0] = entries[:, 0]
-        sims[:, 0] = np.einsum("qd,qd->q", self.padded[ids[:, 0]], queries)
+        entries = entries[:, :beam]
+        ids[:, : entries.shape[1]] = entries
+        near = np.einsum("qcd,qd->qc", self.padded[entries], queries)
+        sims[:, : entries.shape[1]] = np.where(entries < n, near, -2)
         expanded = np.zeros((m, beam + 1), bool)
         seen = np.zeros((m, n + 1), bool)
-        seen[rows, ids[:, 0]] = True
+        seen[rows[:, None], entries] = True
         active = rows
         while len(active):
             open_sims = np.where(expanded[active] | (ids[active] == n), -3.0, sims[active])[:, :beam]
@@ -151,12 +154,54 @@ class Graph:
         return ids[:, :beam], sims[:, :beam]
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        entry = np.zeros(len(queries), int)
+        entries = np.zeros((len(queries), 1), int)
         n = len(self.vectors)
-        for layer in range(len(self.layers) - 1, 0, -1):
-            found, _ = self._search(layer, queries, entry[:, None], 1, n)
-            entry = found[:, 0]
-        return self._search(0, queries, entry[:, None], min(beam, n), n)
+        for layer in range(len(self.layers) - 1, -1, -1):
+            # Half a beam above the ground gives it several places to start from.
+            entries, sims = self._search(layer, queries, entries, min(beam if layer == 0 else -(-beam // 2), n), n)
+        return entries, sims
+
+    def _backward(self) -> tuple[np.ndarray, np.ndarray]:
+        """The links of the ground layer by their target: where each target's begin, and their sources."""
+        if self.back is None:
+            n = len(self.vectors)
+            targets = self.layers[0].ravel()
+            sources = np.repeat(np.arange(n), self.layers[0].shape[1])[np.argsort(targets, kind="stable")]
+            starts = np.searchsorted(np.sort(targets), np.arange(n + 1))
+            self.back = starts, sources
+        return self.back
+
+    def _spread_out(
+        self, queries: np.ndarray, ids: np.ndarray, sims: np.ndarray, least: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a query and a vector at least so similar: those found, their neighbours, and so on."""
+        links, n = self.layers[0], len(self.vectors)
+        starts, sources = self._backward()
+        seen = np.zeros((len(queries), n + 1), bool)
+        seen[:, n] = True
+        q, c = np.nonzero((sims >= least) & (ids < n))
+        c = ids[q, c]
+        seen[q, c] = True
+        left, right = [q], [c]
+        while len(q):
+            around = links[c]
+            flat = (q[:, None] * (n + 1) + around)[~seen[q[:, None], around]]
+            # A vector that none of its neighbours has room for is found from them all the same.
+            counts = starts[c + 1] - starts[c]
+            at = np.repeat(starts[c] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            back, of = sources[at], np.repeat(q, counts)
+            fresh = ~seen[of, back]
+            flat = np.unique(np.concatenate([flat, of[fresh] * (n + 1) + back[fresh]]))
+            q, c = flat // (n + 1), flat % (n + 1)
+            seen[q, c] = True
+            near = np.concatenate([
+                np.einsum("nd,nd->n", queries[q[i : i + 65536]], self.vectors[c[i : i + 65536]])
+                for i in range(0, len(q), 65536)
+            ] or [np.zeros(0)]) >= least
+            q, c = q[near], c[near]
+            left.append(q)
+            right.append(c)
+        return np.concatenate(left), np.concatenate(right)
 
     def within(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a query and a vector that are at least so similar, by audited beams."""
@@ -166,34 +211,23 @@ class Graph:
         truth = (queries[audit] @ self.vectors.T) >= least
         beam = min(BEAM, n)
         while True:
-            ids, sims = self.search(queries[audit], beam)
-            hit = np.zeros((len(audit), n + 1), bool)
-            np.put_along_axis(hit, ids, sims >= margin, axis=1)
-            if 4 * beam >= n or (truth & hit[:, :n]).sum() >= RECALL * truth.sum():
+            q, c = self._spread_out(queries[audit], *self.search(queries[audit], beam), margin)
+            hit = np.zeros(truth.shape, bool)
+            hit[q, c] = True
+            if 4 * beam >= n or (truth & hit).sum() >= RECALL * truth.sum():
                 break
             beam = min(2 * beam, n)
-        left, right = [], []
-        todo, width = np.arange(len(queries)), beam
-        while len(todo):
-            further = []
-            for at in range(0, len(todo), BATCH):
-                some = todo[at : at + BATCH]
-                if 4 * width >= n:
-                    # A beam of nearly all vectors is a plain scan.
-                    q, c = np.nonzero(queries[some] @ self.vectors.T >= margin)
-                    left.append(some[q])
-                    right.append(c)
-                    continue
-                ids, sims = self.search(queries[some], width)
-                # Every place of the beam is a link: there may be more.
-                full = sims[:, -1] >= margin
-                further.append(some[full])
-                q, c = np.nonzero((sims >= margin) & ~full[:, None] & (ids < n))
-                left.append(some[q])
-                right.append(ids[q, c])
-            todo, width = np.concatenate([np.zeros(0, int), *further]), min(4 * width, n)
-        empty = np.zeros(0, int)
-        return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+        left, right = [np.zeros(0, int)], [np.zeros(0, int)]
+        for at in range(0, len(queries), BATCH):
+            some = queries[at : at + BATCH]
+            if 4 * beam >= n:
+                # A beam of nearly all vectors is a plain scan.
+                q, c = np.nonzero(some @ self.vectors.T >= margin)
+            else:
+                q, c = self._spread_out(some, *self.search(some, beam), margin)
+            left.append(at + q)
+            right.append(c)
+        return np.concatenate(left), np.concatenate(right)
 
 
 def _packed(rows: DataFrame, sizes: DataFrame, size: int, salt: int, kind: int) -> DataFrame:
