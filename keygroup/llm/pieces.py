@@ -28,7 +28,7 @@ from keygroup.llm.common import picked
 
 SPACE = "▁"
 # Distinct words that a task remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _LONG = 64
 
 
@@ -42,6 +42,7 @@ class Pieces:
         self.ids: dict[str, int] = {}
         self.bytes_id = [-1] * 256
         self.plain: list[bytes] = []
+        self.controls: set[int] = set()
         for i in range(size):
             piece = self.library.id_to_piece(i)
             if self.library.is_byte(i):
@@ -50,6 +51,8 @@ class Pieces:
                 self.plain.append(bytes([value]))
             elif self.library.is_control(i) or self.library.is_unknown(i):
                 self.plain.append(" ⁇ ".encode() if self.library.is_unknown(i) else b"")
+                if self.library.is_control(i):
+                    self.controls.add(i)
             elif self.library.is_unused(i):
                 raise ValueError("vocabularies with unused pieces are not supported")
             else:
@@ -132,24 +135,23 @@ class Pieces:
 
     # -- whole texts ------------------------------------------------------------
 
-    def encode(self, text: str, known: dict[str, list[int]] | None = None) -> list[int]:
+    def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without an end id."""
-        known = {} if known is None else known
-        ids: list[int] = []
-        for part in self.parts(SPACE + text.replace(" ", SPACE)) if text else ():
-            found = known.get(part)
-            if found is None:
-                found = self.merge(part)
-                if len(part) <= _LONG:
-                    known[part] = found
-            ids += found
-        return ids
+        if not text:
+            return []
+        return [i for part in self.parts(SPACE + text.replace(" ", SPACE)) for i in self.merge(part)]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; control pieces vanish, a broken character gives one mark per byte."""
         plain = self.plain
         ids = list(ids)
-        text = b"".join([plain[i] for i in ids]).decode("utf-8", "one_mark_per_byte")
+        if self.controls.isdisjoint(ids[:-1]):
+            text = b"".join([plain[i] for i in ids]).decode("utf-8", "one_mark_per_byte")
+        else:
+            # Bytes on both sides of a control piece make no character together.
+            cuts = [-1, *(at for at, i in enumerate(ids) if i in self.controls), len(ids)]
+            runs = (ids[a + 1 : b] for a, b in zip(cuts, cuts[1:]))
+            text = "".join(b"".join([plain[i] for i in run]).decode("utf-8", "one_mark_per_byte") for run in runs)
         # The space that encoding puts before a text goes, unless it was written as a byte.
         first = next((i for i in ids if plain[i]), None)
         return text[1:] if first in self.opening else text
@@ -165,7 +167,7 @@ class Encoder:
     def __init__(self, model_path: str):
         self.pieces = Pieces(model_path)
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.corrected: set[str] = set()
 
     def learn(self, texts: list[list[str]]) -> None:
@@ -179,12 +181,20 @@ class Encoder:
         new = list({w for text in texts for w in text if w not in words})
         checked = self.pieces.library.encode(new, num_threads=1)
         for word, expected in zip(new, checked):
+            ids = b"".join(map(self._part, self.pieces.parts(SPACE + word.replace(" ", SPACE))))
             # The library takes an empty text for no word at all, not for a lone space.
-            ids = self.pieces.encode(word, self.parts) if word else self.pieces.merge(SPACE)
-            if word and ids != expected:
-                ids = expected
+            if word and ids != (right := array("i", expected).tobytes()):
+                ids = right
                 self.corrected.add(word)
-            words[word] = array("i", ids).tobytes()
+            words[word] = ids
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            found = array("i", self.pieces.merge(part)).tobytes()
+            if len(part) <= _LONG:
+                self.parts[part] = found
+        return found
 
     def run(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
         """Ids of every text, and how many of its words were corrected."""
