@@ -82,11 +82,13 @@ def logistic(margin: np.ndarray) -> np.ndarray:
 def _selected(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Terms that tell the labels apart, the strongest first cut at ``MAX_TERMS``."""
     n1, n0 = max(1, labels.sum()), max(1, (1 - labels).sum())
-    flat = np.concatenate([*documents, np.zeros(0, np.int32)])
-    of = np.repeat(labels, [len(d) for d in documents])
-    found, place = np.unique(flat, return_inverse=True)
-    in1 = np.bincount(place, weights=of, minlength=len(found))
-    in0 = np.bincount(place, weights=1 - of, minlength=len(found))
+    # Counted some documents at a time, so that no long list of all terms is made.
+    in1, in0 = np.zeros(1 << TERM_BITS), np.zeros(1 << TERM_BITS)
+    for counts, own in ((in1, np.flatnonzero(labels == 1)), (in0, np.flatnonzero(labels == 0))):
+        for at in range(0, len(own), 500):
+            counts += np.bincount(np.concatenate([documents[i] for i in own[at : at + 500]]), minlength=len(counts))
+    found = np.flatnonzero(in1 + in0)
+    in1, in0 = in1[found], in0[found]
     share = (in1 + in0) / (n1 + n0)
 
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
