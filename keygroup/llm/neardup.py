@@ -43,6 +43,8 @@ COMMON_DRAWS = 14
 WORD_BUCKETS = 1 << 20
 # Documents of one band that one task compares with each other at a time.
 CHUNK = 2_048
+# Hash buckets of documents, of which those with candidates are broadcast.
+NODE_BUCKETS = 1 << 20
 # Bytes of text in one block of a large part; a task gets two blocks.
 BLOCK_BYTES = 4_000_000
 REMEMBERED = 400_000
@@ -339,7 +341,12 @@ def searched(parts: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame
     A part of several blocks is searched two blocks at a time, each pair of them by a
     task of its own, so that no task holds a whole large part and every pair is compared.
     """
-    met = materialise(texts.join(parts, "node").dropDuplicates(["node"]), "near-texts")
+    # Most texts belong to no part. Those in none of the hash buckets of the parts stay
+    # where they are; there are at most NODE_BUCKETS buckets to send, whatever the input.
+    bucket = F.pmod(F.xxhash64("node"), F.lit(NODE_BUCKETS))
+    buckets = materialise(parts.select(bucket.alias("bucket")).distinct(), "near-buckets")
+    some = texts.join(F.broadcast(buckets), bucket == F.col("bucket"), "left_semi")
+    met = materialise(some.join(parts, "node").dropDuplicates(["node"]), "near-texts")
     blocks = F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES).cast("int")
     sizes = met.groupBy("component").agg(F.when(blocks > 2, blocks).otherwise(1).alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
