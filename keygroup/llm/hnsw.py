@@ -5,9 +5,10 @@ every vector has up to ``DEGREE`` near neighbours on its layers, each layer hold
 sixteenth of the one below. Every vector of the label is looked up in every shard by a
 greedy descent and a beam search on the ground layer, and from what it finds within the
 threshold the search goes on to neighbours within it, so a vector with more links than
-the beam has places loses none. A sample of the lookups is audited against brute force;
-while links are missed the beam is widened. What is found is verified by cosine in double
-precision, and links are united to components.
+the beam has places loses none. Lookups are audited against brute force, by queries that
+have links in the shard; while links are missed the beam is widened, up to a plain scan,
+and where links are too few to audit by, the shard is scanned. What is found is verified
+by cosine in double precision, and links are united to components.
 
 Equal vectors are one vector with a count: copies meet no task twice.
 """
@@ -29,7 +30,9 @@ COSINE = 0.93
 SHARD_ROWS = 4_096
 QUERY_ROWS = 4_096
 DEGREE, BEAM = 16, 32
-AUDITED, RECALL = 64, 0.999
+# Queries that have links, but few, by which a beam is judged, and the least mean recall.
+AUDITED, FEW, RECALL = 256, 64, 0.999
+WIDEST = 4 * BEAM
 BATCH = 256
 
 
@@ -203,30 +206,60 @@ class Graph:
             right.append(c)
         return np.concatenate(left), np.concatenate(right)
 
-    def within(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of a query and a vector that are at least so similar, by audited beams."""
+    def within(self, queries: np.ndarray, least: float, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of a query and a vector that are at least so similar, by audited beams.
+
+        Queries are drawn at random and scanned until ``AUDITED`` of them have seen links,
+        but no more than ``FEW``; a query's own vector, at its place ``own`` or -1, is none.
+        Beams are judged by the mean recall of these queries, and apart from them of those
+        with more links, which would outnumber all others. What was scanned is settled: where
+        links are too sparse for an audit, that is every query.
+        """
         n = len(self.vectors)
         margin = least - 1e-4
-        audit = np.random.default_rng(2).permutation(len(queries))[:AUDITED]
-        truth = (queries[audit] @ self.vectors.T) >= least
-        beam = min(BEAM, n)
-        while True:
-            q, c = self._spread_out(queries[audit], *self.search(queries[audit], beam), margin)
-            hit = np.zeros(truth.shape, bool)
-            hit[q, c] = True
-            if 4 * beam >= n or (truth & hit).sum() >= RECALL * truth.sum():
-                break
-            beam = min(2 * beam, n)
+        own = np.full(len(queries), -1) if own is None else own
         left, right = [np.zeros(0, int)], [np.zeros(0, int)]
-        for at in range(0, len(queries), BATCH):
-            some = queries[at : at + BATCH]
-            if 4 * beam >= n:
-                # A beam of nearly all vectors is a plain scan.
-                q, c = np.nonzero(some @ self.vectors.T >= margin)
-            else:
-                q, c = self._spread_out(some, *self.search(some, beam), margin)
-            left.append(at + q)
+
+        def scan(some: np.ndarray) -> np.ndarray:
+            """How many links each of some queries has; their pairs are taken."""
+            sims = queries[some] @ self.vectors.T
+            q, c = np.nonzero(sims >= margin)
+            left.append(some[q])
             right.append(c)
+            return np.bincount(q[(sims[q, c] >= least) & (c != own[some[q]])], minlength=len(some))
+
+        order = np.random.default_rng(2).permutation(len(queries))
+        few, many = np.zeros(0, int), np.zeros(0, int)
+        at = 0
+        while at < len(order) and len(few) < AUDITED:
+            some = order[at : at + BATCH]
+            links = scan(some)
+            few = np.append(few, some[(links > 0) & (links <= FEW)])
+            many = np.append(many, some[links > FEW])
+            at += len(some)
+        rest = order[at:]
+        beam = BEAM
+        if len(rest):
+            audit = np.append(few[:AUDITED], many[:BATCH])
+            truth = queries[audit] @ self.vectors.T >= least
+            truth[np.flatnonzero(own[audit] >= 0), own[audit][own[audit] >= 0]] = False
+            while beam <= WIDEST and 4 * beam < n:
+                q, c = self._spread_out(queries[audit], *self.search(queries[audit], beam), margin)
+                hit = np.zeros(truth.shape, bool)
+                hit[q, c] = True
+                recall = (truth & hit).sum(axis=1) / truth.sum(axis=1)
+                if min(part.mean() for part in (recall[:AUDITED], recall[AUDITED:]) if len(part)) >= RECALL:
+                    break
+                beam *= 2
+        for at in range(0, len(rest), BATCH):
+            some = rest[at : at + BATCH]
+            if beam > WIDEST or 4 * beam >= n:
+                # Wider beams cost more than a plain scan.
+                scan(some)
+            else:
+                q, c = self._spread_out(queries[some], *self.search(queries[some], beam), margin)
+                left.append(some[q])
+                right.append(c)
         return np.concatenate(left), np.concatenate(right)
 
 
@@ -275,9 +308,11 @@ def _searched(rows: DataFrame) -> DataFrame:
                 if row.kind == 0:
                     shard, counts = (names, units(values)), np.frombuffer(row.counts, np.int64)
                     graph = Graph(shard[1].astype(np.float32))
+                    places = {name.tobytes(): at for at, name in enumerate(names)}
                     continue
                 own = units(values)
-                left, right = graph.within(own.astype(np.float32), COSINE)
+                at = np.array([places.get(name.tobytes(), -1) for name in names])
+                left, right = graph.within(own.astype(np.float32), COSINE, at)
                 exact = np.einsum("nd,nd->n", own[left], shard[1][right])
                 true = (exact >= COSINE) & (names[left] != shard[0][right])
                 left, right = left[true], right[true]

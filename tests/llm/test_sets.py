@@ -144,6 +144,40 @@ def test_recall_of_the_graph():
     assert (hit & truth).sum() >= 0.99 * truth.sum()
 
 
+@pytest.mark.parametrize("share, hot_queries", [(0.01, 0), (0.3, 1365)])
+def test_sparse_links_beside_a_hot_cluster_are_found(share, hot_queries):
+    rng = np.random.default_rng(3)
+    v, q = rng.normal(0, 1, (4096, 64)), rng.normal(0, 1, (4096, 64))
+    hot, others = rng.normal(0, 1, 64), np.arange(1365, 4096)
+    linked = rng.permutation(others)[: int(share * 4096)]
+    q[linked] = v[rng.choice(others, len(linked))] + rng.normal(0, 0.2, (len(linked), 64))
+    v[:1365] = hot + rng.normal(0, 0.12, (1365, 64))
+    q[:hot_queries] = hot + rng.normal(0, 0.12, (hot_queries, 64))
+    # Vectors come in any order, as shards deal them.
+    v, q = (hnsw.units(rng.permutation(x)).astype(np.float32) for x in (v, q))
+    truth = q @ v.T >= hnsw.COSINE
+    few = truth.sum(axis=1) <= 64
+    hit = np.zeros_like(truth)
+    hit[hnsw.Graph(v).within(q, hnsw.COSINE)] = True
+    assert (hit & truth)[few].sum() >= 0.999 * truth[few].sum() > 0
+    assert (hit & truth).sum() >= 0.999 * truth.sum()
+
+
+def test_links_in_a_label_of_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 250)
+    monkeypatch.setattr(hnsw, "QUERY_ROWS", 400)
+    rng = np.random.default_rng(13)
+    v = rng.normal(0, 1, (3000, 32))
+    v[2900:] = v[:100] + rng.normal(0, 0.2, (100, 32))
+    v[:1000] = v[0] + rng.normal(0, 0.12, (1000, 32))
+    rows = [(i, x, 0) for i, x in enumerate(v.astype(np.float32).tolist())]
+    unit = hnsw.units(v.astype(np.float32).astype(float))
+    count = (unit @ unit.T >= hnsw.COSINE).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in hnsw.near_vectors(vectors(spark, rows)).collect()}
+    assert sum(got.values()) >= 0.999 * count.sum()
+    assert sum(got[i] for i in range(1000, 3000)) >= 0.999 * count[1000:].sum()
+
+
 # -- near-duplicates ----------------------------------------------------------------
 
 
