@@ -252,20 +252,26 @@ def _common(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 def closest(bands: DataFrame) -> DataFrame:
     """Pairs ``a, b`` that connect what is connected by pairs of one band with enough common draws.
 
-    Chunks of a large band are joined unseen: that only makes a part larger.
+    In a band of several chunks every document is joined to the first, unseen: that only
+    makes a part larger, and takes a row per document.
     """
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
-        first = None
+        current, head, chunk = None, None, []
         for table in _blocks(stream, 0):
             band, nodes = table.column("band")[0].as_py(), table.column("node").to_pylist()
-            if first is not None and first[0] == band:
-                left.append(first[1])
-                right.append(nodes[0])
-            else:
-                first = band, nodes[0]
             n = len(nodes)
+            if band == current:
+                # With the second chunk, the documents of the first are joined as well.
+                for far in (chunk[1:], nodes):
+                    left += [head] * len(far)
+                    right += far
+                chunk = []
+                yield _pairs(left, right)
+                left, right = [], []
+                continue
+            current, head, chunk = band, nodes[0], nodes
             if n == 1:
                 continue
             draws = _matrix(table)

@@ -233,6 +233,31 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_chunks_of_a_large_band_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CHUNK", 4)
+    rng = np.random.default_rng(12)
+    draws = np.sort(rng.integers(1, 1 << 24, (11, neardup.DRAWS)).astype(">i4"), axis=0)
+    # The second and the last in order have most draws in common, and none with others.
+    draws[1, 10:] = draws[-1, 10:]
+    rows = [(7, bytes([i]), bytearray(d.tobytes())) for i, d in enumerate(draws)] + [(8, bytes([i]), bytearray(draws[i].tobytes())) for i in (2, 3)]
+    pairs = neardup.closest(spark.createDataFrame(rows, "band long, node binary, draws binary"))
+    root = components_of([bytes([i]) for i in range(11)], [(bytes(r.a), bytes(r.b)) for r in pairs.collect()])
+    assert root[bytes([1])] == root[bytes([10])]
+    assert len(set(root.values())) == 1
+
+
+def test_near_duplicates_in_small_chunks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CHUNK", 3)
+    texts = [t for t in corpus(2) if len(t) > 200]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = neardup.Words()
+    idf = neardup.word_weights(df.select("text"))
+    sets = [words.shingles(words.hashes(t), idf) for t in texts]
+    n = range(len(texts))
+    root = components_of(n, [(a, b) for a in n for b in n if a < b and neardup.similarity(sets[a], sets[b]) >= 0.8])
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()} == root
+
+
 # -- repeats ------------------------------------------------------------------------
 
 
