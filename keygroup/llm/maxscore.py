@@ -12,6 +12,7 @@ weights and components fit in. The best of every shard are merged.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -23,18 +24,26 @@ from keygroup.llm.common import picked
 SHARD_ROWS = 8_192
 QUERY_ROWS = 512
 SEED_ROWS = 64
-# Quantised components saturate here, so that scores of up to 2048 terms fit a long.
-LARGEST = 1 << 26
+# Vectors with a component beyond it are searched apart; their scores may not fit a long.
+NARROW = 1 << 26
+# Every float fits. Doubles beyond it are refused.
+LARGEST = 1 << 136
+# Scores have this many digits at most; others are refused.
+DIGITS = 38
 
 
 def quantised(vector: Column) -> Column:
-    """``floor(256 x)`` of every component, saturated; null for a vector without part."""
+    """``floor(256 x)`` of every component, as a whole double; null for a vector without part."""
     wide = vector.cast("array<double>")
     usable = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    clipped = F.transform(
-        wide, lambda x: F.least(F.greatest(F.floor(x * 256), F.lit(-LARGEST)), F.lit(LARGEST)).cast("int")
-    )
-    return F.when(vector.isNotNull() & usable, clipped)
+    refused = F.raise_error(F.lit("a component is too large for an exact score")).cast("double")
+
+    def whole(x: Column) -> Column:
+        # A double of 2^53 or more has no fraction.
+        small = F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double"))
+        return small.when(F.abs(x) <= float(LARGEST), x).otherwise(refused)
+
+    return F.when(vector.isNotNull() & usable, F.transform(wide, lambda x: whole(x * 256)))
 
 
 class Shard:
@@ -81,29 +90,64 @@ class Shard:
         return [(int(partial[i]) + base, int(self.ids[rows[i]])) for i in top]
 
 
-def _packed(rows: DataFrame, key: str, size: int, salt: int) -> DataFrame:
-    """One row per block of about ``size`` vectors: its number, ids and components."""
-    n = max(1, -(-rows.count() // size))
+class WideShard:
+    """Vectors of whole doubles, whose scores may be too large for a long."""
+
+    def __init__(self, ids: np.ndarray, postings: np.ndarray):
+        self.ids, self.postings = ids, postings.astype(np.float64)
+
+    def best(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """As ``Shard.best``: rounded scores tell which vectors may be among the best."""
+        terms = min(len(query), len(self.postings))
+        query, postings = query[:terms].astype(np.float64), self.postings[:terms]
+        rows = np.flatnonzero(self.ids != own)
+        score = query @ postings[:, rows]
+        slack = 4 * (terms + 1) * np.finfo(float).eps * (np.abs(query) @ np.abs(postings[:, rows]))
+        if len(rows) > k:
+            rows = rows[score + slack >= np.sort(score - slack)[-k]]
+        exact = [int(x) for x in query]
+        found = ((sum(a * int(b) for a, b in zip(exact, postings[:, i])), int(self.ids[i])) for i in rows)
+        return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
+
+
+def shard_for(queries: np.ndarray, ids: np.ndarray, postings: np.ndarray) -> Shard | WideShard:
+    """A shard whose sums hold the scores of the queries."""
+    largest = [int(max(m.max(initial=0), -m.min(initial=0))) for m in (queries, postings)]
+    narrow = len(postings) * largest[0] * largest[1] < 1 << 60
+    return Shard(ids, postings.astype(np.int64)) if narrow else WideShard(ids, postings)
+
+
+def _packed(rows: DataFrame, key: str, size: int, salt: int) -> tuple[DataFrame, int]:
+    """One row per block of about ``size`` vectors: its number, ids and components; and how many.
+
+    Vectors with large components come behind the others, in blocks of their own.
+    """
+    total = rows.agg(F.count("q").alias("narrow"), F.count("w").alias("wide")).first()
+    n, n_wide = max(1, -(-total.narrow // size)), -(-total.wide // size)
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        width = max(map(len, pdf["q"]))
-        matrix = np.zeros((width, len(pdf)), np.int32)
-        for at, vector in enumerate(pdf["q"]):
+        wide = pdf["q"].iloc[0] is None
+        vectors = pdf["w" if wide else "q"]
+        matrix = np.zeros((max(map(len, vectors)), len(pdf)), np.float64 if wide else np.int32)
+        for at, vector in enumerate(vectors):
             matrix[: len(vector), at] = vector
         return pd.DataFrame({
             key: [pdf[key].iloc[0]],
+            f"{key}_wide": [wide],
             f"{key}_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
             f"{key}_terms": [matrix.tobytes()],
         })
 
-    number = F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int").alias(key)
-    schema = f"{key} int, {key}_ids binary, {key}_terms binary"
-    return rows.select(number, "vec_id", "q").groupBy(key).applyInPandas(pack, schema)
+    code = F.xxhash64("vec_id", F.lit(salt))
+    number = F.when(F.col("w").isNull(), F.pmod(code, F.lit(n))).otherwise(F.lit(n) + F.pmod(code, F.lit(max(1, n_wide))))
+    schema = f"{key} int, {key}_wide boolean, {key}_ids binary, {key}_terms binary"
+    dealt = rows.select(number.cast("int").alias(key), "vec_id", "q", "w")
+    return dealt.groupBy(key).applyInPandas(pack, schema), n + n_wide
 
 
-def _matrix(ids: bytes, terms: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(ids: bytes, terms: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray]:
     own = np.frombuffer(ids, np.int64)
-    return own, np.frombuffer(terms, np.int32).reshape(-1, len(own)).astype(np.int64)
+    return own, np.frombuffer(terms, np.float64 if wide else np.int32).reshape(-1, len(own))
 
 
 def top_k(
@@ -115,33 +159,41 @@ def top_k(
     vector that is null or holds a null or non-finite component take no part, repeated
     rows count once, missing components of shorter vectors count as 0. Fewer than ``k``
     rows are returned where there are fewer candidates; an empty table gives none. Other
-    columns are left out.
+    columns are left out. Scores are exact decimals; one of more than ``DIGITS`` digits, or
+    a component that no float holds, is an error.
 
     Every block of queries meets every shard once; blocks and shards are bounded.
     """
     rows = picked(df, vec_id=id_column, vector=vector_column)
-    rows = rows.select(F.col("vec_id").cast("bigint"), quantised(F.col("vector")).alias("q"))
-    rows = rows.where("vec_id IS NOT NULL AND q IS NOT NULL").dropDuplicates(["vec_id", "q"])
+    rows = rows.select(F.col("vec_id").cast("bigint"), quantised(F.col("vector")).alias("whole"))
+    narrow = F.forall("whole", lambda x: F.abs(x) <= NARROW)
+    rows = rows.where("vec_id IS NOT NULL AND whole IS NOT NULL").select(
+        "vec_id",
+        F.when(narrow, F.col("whole").cast("array<int>")).alias("q"),
+        F.when(~narrow, F.col("whole")).alias("w"),
+    )
+    rows = rows.dropDuplicates(["vec_id", "q", "w"])
     queries = rows.where(F.col("vec_id") % every == 0)
-    shards = _packed(rows, "shard", SHARD_ROWS, 1)
-    blocks = _packed(queries, "block", QUERY_ROWS, 2)
-    n_shards = max(1, -(-rows.count() // SHARD_ROWS))
+    shards, n_shards = _packed(rows, "shard", SHARD_ROWS, 1)
+    blocks, _ = _packed(queries, "block", QUERY_ROWS, 2)
     sent = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     met = sent.join(shards, F.col("to") == F.col("shard")).repartition("shard", "block")
 
     def search(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in stream:
             for pair in pdf.itertuples():
-                shard = Shard(*_matrix(pair.shard_ids, pair.shard_terms))
-                ids, queries = _matrix(pair.block_ids, pair.block_terms)
+                ids, queries = _matrix(pair.block_ids, pair.block_terms, pair.block_wide)
+                shard = shard_for(queries, *_matrix(pair.shard_ids, pair.shard_terms, pair.shard_wide))
                 found = [
-                    (int(own), other, score)
+                    (int(own), other, Decimal(score))
                     for own, query in zip(ids, queries.T)
                     for score, other in shard.best(int(own), np.ascontiguousarray(query), k)
                 ]
+                if any(abs(score) >= 10**DIGITS for _, _, score in found):
+                    raise ValueError(f"a score has more than {DIGITS} digits")
                 yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    found = met.mapInPandas(search, "query_id bigint, vec_id bigint, score bigint")
+    found = met.mapInPandas(search, f"query_id bigint, vec_id bigint, score decimal({DIGITS},0)")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -70,7 +70,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maxscore.top_k(table(spark, sf_dir, "embeddings"))
+    # As in the SQL, a score that no long holds is an error.
+    found = maxscore.top_k(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("score", F.col("score").cast("bigint"))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,25 @@ def test_top_k_is_exact(spark, monkeypatch):
     assert maxscore.top_k(vectors(spark, [])).count() == 0
 
 
+def test_top_k_does_not_clip(spark, monkeypatch):
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 20)
+    rng = np.random.default_rng(14)
+    scale = [1.0, 1e5, 262_145.0, 3e6, 1e12, 1e16]
+    v = [(rng.normal(0, 1, 5) * scale[i % 6]).astype(np.float32).tolist() for i in range(120)]
+    # The largest floats have no term in common with a query, which would make scores too long.
+    v[0][0] = v[50][0] = 0.0
+    v[100] = [0.0, 1e16, 0.5, 262_145.0, -3e6]
+    rows = [(i, x, 0) for i, x in enumerate(v)] + [(201 + i, [3e38, 0.0, 1.0 + i, 0.0, -1.0], 0) for i in range(3)]
+    used = {i: [int(np.floor(256 * float(np.float32(x)))) for x in v] for i, v, _ in rows}
+    expected = []
+    for q in (0, 50, 100):
+        scores = sorted((-sum(a * b for a, b in zip(used[q], used[i])), i) for i in used if i != q)[:5]
+        expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, maxscore.top_k(vectors(spark, rows)).collect())) == sorted(expected)
+    with pytest.raises(Exception, match="more than 38 digits"):
+        maxscore.top_k(vectors(spark, [(0, [3e38], 0), (1, [3e38], 0)])).collect()
+
+
 def test_links_of_vectors(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(0, 1, (12, 8))
