@@ -28,6 +28,14 @@ ROUNDS = 8
 WALK = 40
 DIGITS = "0123456789"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyz"
+# Letters that one round of a network draws numbers for, twice.
+BLOCK = 64
+# First and last letter of stretches that hold letters only, outside ASCII.
+SCRIPTS = (
+    (0xDF, 0xF6), (0xF8, 0xFF), (0x100, 0x17F), (0x180, 0x24F), (0x3B1, 0x3C9), (0x430, 0x45F), (0x561, 0x586),
+    (0x5D0, 0x5EA), (0x620, 0x64A), (0x905, 0x939), (0xE01, 0xE30), (0x10D0, 0x10FA), (0x3041, 0x3096),
+    (0x30A1, 0x30FA), (0x4E00, 0x9FEF), (0xAC00, 0xD7A3),
+)
 FIRST_DAY, DAYS = "1900-01-01", 73_049
 SSN_AREAS = 898
 
@@ -67,7 +75,7 @@ def _each(value: Column, step) -> Column:
     return F.array_join(F.transform(places, step), "")
 
 
-def feistel(value: Column, key: str, tweak: str, alphabet: str = DIGITS) -> Column:
+def feistel(value: Column, key: str, tweak: str | Column, alphabet: str = DIGITS) -> Column:
     """A keyed permutation of the texts of one length over ``alphabet`` (up to 64 characters)."""
     half = F.floor(F.length(value) / 2).cast("int")
     state = F.struct(
@@ -170,18 +178,47 @@ def _phone(value: Column, key: str) -> Column:
 
 
 def _mail(value: Column, key: str) -> Column:
-    # The last label stays. Letters outside the alphabet become x before they are permuted.
-    lower = F.regexp_replace(F.lower(value), r"[^\x00-\x7F]", "x")
+    # The last label stays.
+    lower = F.lower(value)
     top = F.regexp_extract(lower, r"\.[^.]*$", 0)
     name = F.substring_index(lower, "@", 1)
     domain = F.substring(lower, F.length(name) + 1, F.length(lower) - F.length(name) - F.length(top))
-    kept = r"[^0-9a-z]"
+    return F.concat(_lettered(name, key, "mail"), _lettered(domain, key, "domain"), top)
+
 
-    def permuted(part: Column, tweak: str, longest: int) -> Column:
-        plain = F.substring(F.regexp_replace(part, kept, ""), 1, longest)
-        return _filled(part, feistel(plain, key, tweak, ALPHABET), kept)
+def _lettered(part: Column, key: str, tweak: str) -> Column:
+    """``part`` with its letters and digits permuted, those of ``ALPHABET`` apart from others.
 
-    return F.concat(permuted(name, "mail", 64), permuted(domain, "domain", 64), top)
+    Letters of ``SCRIPTS`` move within their own; the rest stay as they are.
+    """
+    kept = r"[^0-9a-z]"
+    far = F.regexp_replace(part, r"[\x00-\x7F]", "")
+    plain = F.regexp_replace(part, kept, "")
+    own = F.when(far == "", F.lit(tweak)).otherwise(F.concat(F.lit(f"{tweak}|"), far))
+
+    def block(i: Column) -> Column:
+        # A later block is keyed by those before it.
+        start = i * BLOCK
+        chained = F.when(i == 0, own).otherwise(F.concat(own, F.lit("|"), F.substring(plain, F.lit(1), start)))
+        return feistel(F.substring(plain, start + 1, F.lit(BLOCK)), key, chained, ALPHABET)
+
+    last = F.greatest(F.lit(0), F.ceil(F.length(plain) / BLOCK).cast("int") - 1)
+    permuted = F.array_join(F.transform(F.sequence(F.lit(0), last), block), "")
+    moved = F.when(far == "", part).otherwise(_each(part, lambda i: _moved(part, i, key, tweak)))
+    return _filled(moved, permuted, kept)
+
+
+def _moved(part: Column, i: Column, key: str, tweak: str) -> Column:
+    """The character at a place, shifted within its script by what stands before it outside ASCII."""
+    own, before = _at(part, i), F.regexp_replace(F.substring(part, F.lit(1), i - 1), r"[\x00-\x7F]", "")
+    seed = F.concat_ws("|", F.lit(key), F.lit(f"{tweak}-far"), i.cast("string"), before)
+    drawn = F.conv(F.substring(F.sha2(F.encode(seed, "utf-8"), 256), 1, 8), 16, 10).cast("bigint")
+    code, result = F.ascii(own), own
+    for first, last in SCRIPTS:
+        shifted = first + (code - first + drawn) % (last - first + 1)
+        character = F.decode(F.unhex(F.lpad(F.hex(shifted), 4, "0")), "UTF-16BE")
+        result = F.when(code.between(first, last), character).otherwise(result)
+    return result
 
 
 def _ssn(value: Column, key: str) -> Column:

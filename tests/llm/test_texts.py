@@ -166,6 +166,21 @@ def test_personal_data_keep_their_form_and_their_links(spark):
     assert pii.pseudonymised(df.limit(0), "k").count() == 0
 
 
+def test_long_and_foreign_mail_addresses_stay_different(spark):
+    label = "abcdefghij" * 6
+    mails = [f"a@{label}.{label}x.de", f"a@{label}.{label}y.de", f"a@{label}.{label}.z1.de", f"a@{label}.{label}.z2.de"]
+    mails += ["jürgen@a.de", "järgen@a.de", "jxrgen@a.de", "юрий@б.de", "юлий@б.de", "王@日本.de", "a@b.de", "é@b.de"]
+    got = pii.pseudonymised(spark.createDataFrame(list(enumerate(mails)), "doc_id long, text string"), "k").collect()
+    made = {mails[r.doc_id]: r.text for r in got}
+    assert all(r.found[0]["kind"] == "email" and r.found[0]["value"] == r.text for r in got)
+    assert len(set(made.values())) == len(mails)
+    form = lambda t: re.sub(r"[a-z0-9]", "0", re.sub(r"[^\x00-\x7F]", "é", t.rsplit(".", 1)[0]))
+    for mail, new in made.items():
+        assert form(mail) == form(new) and all(c.isalnum() for c in re.sub(r"[\x00-\x7F]", "", new))
+    domain = made["a@b.de"].split("@")[1].split(".")[0]
+    assert domain == feistel("b", "k", "domain", pii.ALPHABET)
+
+
 def test_dates_and_security_numbers_are_permuted(spark):
     days = spark.range(0, pii.DAYS, 97).select(F.date_format(pii._from_day(F.col("id")), "yyyy-MM-dd").alias("text"))
     got = pii.pseudonymised(days, "k").select("text", F.size("found").alias("n")).collect()
