@@ -146,8 +146,9 @@ def training_rows(
     documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     label_column: str = "toxic", sample: int = SAMPLE,
 ) -> DataFrame:
-    """The bounded sample as rows of ``terms`` (distinct, sorted, packed) and ``label``.
+    """The bounded sample as ``sample`` rows at most of ``terms`` (distinct, sorted, packed) and ``label``.
 
+    Each set of terms comes once, with its larger label, however many rows have it.
     Documents with several label rows take the larger label; null labels and ids are
     left out, as are ids of which crc32(id as text) is divisible by 5.
     """
@@ -167,8 +168,9 @@ def training_rows(
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), part.column(1)], names=["terms", "label"])
 
     # The sample is bounded, so it is sent to the documents.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
-    return rows.mapInArrow(run, "terms binary, label int")
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("text", "label").mapInArrow(run, "terms binary, label int")
+    merged = rows.groupBy("terms").agg(F.max("label").alias("label"))
+    return merged.orderBy(F.xxhash64("terms"), "terms").limit(sample)
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -182,10 +184,7 @@ def train(documents: DataFrame, labels: DataFrame, **names) -> Machine:
     come to the driver. Their order does not depend on how the tables are partitioned.
     """
     rows = training_rows(documents, labels, **names).toArrow()
-    merged: dict[bytes, int] = {}
-    for terms, label in zip(rows.column("terms").to_pylist(), rows.column("label").to_pylist()):
-        merged[terms] = max(label, merged.get(terms, 0))
-    ordered = sorted(merged.items())
+    ordered = sorted(zip(rows.column("terms").to_pylist(), rows.column("label").to_pylist()))
     return fit([np.frombuffer(t, np.int32) for t, _ in ordered], np.array([label for _, label in ordered]))
 
 

@@ -227,3 +227,13 @@ def test_training_without_labels(spark):
     none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     machine = toxicity.train(docs, none)
     assert not len(machine.terms) and toxicity.score(docs, machine).count() == 1
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(1, "one text")] * 500 + [(2, f"text {i}") for i in range(90)] + [(3, "one text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "doc_id long, toxic int")
+    used = labels.where(~toxicity.is_held_out(F.col("doc_id"))).count()
+    assert used == 3
+    rows = toxicity.training_rows(docs, labels).collect()
+    assert len(rows) == 91 and sum(r.label for r in rows) == 1
+    assert len(toxicity.training_rows(docs, labels, sample=20).collect()) <= 20
