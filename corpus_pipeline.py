@@ -6,12 +6,15 @@ folder of the tables, and returns documents; the last returns what their encodin
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keygroup.llm import mixing, neardup, pieces, pii, toxicity
 from keygroup.llm.common import table
 from keygroup.llm.registry import PII_KEY, pieces_path
+from keygroup.names import quoted
 from keygroup.workspace import materialise
 
 
@@ -21,22 +24,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, machine)
 
 
+def beside(docs: DataFrame, added: set[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What the operator makes of documents, with their columns, also those named like ``added`` ones."""
+    prefix = "_own"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    names = [f"{prefix}{i}" if c.lower() in added else c for i, c in enumerate(docs.columns)]
+    made = operator(docs.toDF(*names))
+    return made.select(*(F.col(quoted(name)).alias(c) for name, c in zip(names, docs.columns)))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
-    return neardup.near_duplicates(docs).where("kept").select(docs.columns)
+    return beside(docs, {"class_id", "kept"}, lambda df: neardup.near_duplicates(df).where("kept"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms in their texts and their lengths counted anew."""
-    changed = pii.pseudonymised(docs, PII_KEY)
     length = F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))
-    return changed.withColumn("n_chars", length).select(docs.columns)
+    return beside(docs, {"found"}, lambda df: pii.pseudonymised(df, PII_KEY).withColumn("n_chars", length))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    mixed = mixing.mix(docs).where("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    added = {"size", "source_size", "target", "copies", "copy"}
+    return beside(docs, added, lambda df: mixing.mix(df).where("copies > 0").withColumn("copy", copy))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

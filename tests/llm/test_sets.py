@@ -351,5 +351,20 @@ def test_pipeline(spark):
     assert sorted((r.doc_id, r.decoded_sha256) for r in last.collect()) == texts
 
 
+def test_stages_keep_columns_named_like_their_own(spark):
+    import corpus_pipeline
+
+    named = ["copy", "SIZE", "source_size", "target", "copies", "found", "Class_Id", "kept", "_own5"]
+    docs = spark.range(40).selectExpr(
+        "id AS doc_id", "'s' AS source", "concat('some text of ', id, ' at 10.0.0.', id) AS text", "1L AS n_chars",
+        *(f"concat('{name} ', id) AS {name}" for name in named),
+    )
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, name
+        rows = after.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in named), name
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in registry.queries()) == list(range(1, 11))
