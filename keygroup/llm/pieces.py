@@ -6,7 +6,8 @@ A pair of characters that no piece holds side by side can never be merged, so a
 text falls apart at such places, above all before each space; equal parts are
 encoded once per task. Every distinct word that a task meets is also encoded by the
 sentencepiece library, a batch at a time; where the two differ, the library's ids
-count, and ``n_corrected`` tells how many words of the document that touched.
+count, and ``n_corrected`` tells how many words of the document that touched. Ids are
+decoded by the library, a batch at a time.
 """
 
 from __future__ import annotations
@@ -206,6 +207,10 @@ class Encoder:
         ids = [np.frombuffer(b"".join([words[w] for w in text]), np.int32) for text in split]
         return ids, [sum(w in corrected for w in text) if corrected else 0 for text in split]
 
+    def decoded(self, ids: list[np.ndarray]) -> list[str]:
+        """The texts of a batch of ids, by the library."""
+        return self.pieces.library.decode([x.tolist() for x in ids], num_threads=1) if ids else []
+
 
 def _words(text: str) -> list[str]:
     if not text:
@@ -260,7 +265,7 @@ def encode(
                     [
                         part.column(0),
                         pa.ListArray.from_arrays(offsets, np.concatenate(ids)),
-                        pa.array([encoder.pieces.decode(x.tolist()) for x in ids], pa.string()),
+                        pa.array(encoder.decoded(ids), pa.string()),
                         pa.array(corrected, pa.int32()),
                     ],
                     names=["doc_id", "ids", "decoded", "n_corrected"],

@@ -47,6 +47,15 @@ def test_decoding_of_any_ids():
         assert known.decode(ids) == known.library.decode(ids), ids
 
 
+def test_texts_are_decoded_by_the_library(monkeypatch):
+    encoder = pieces.Encoder(MODEL)
+    monkeypatch.setattr(encoder.pieces, "decode", lambda ids: "wrong")
+    ids, _ = encoder.run([t for t in ODD])
+    ids = [np.append(x, np.int32(encoder.pieces.end_id)) for x in ids]
+    assert encoder.decoded(ids) == [encoder.pieces.library.decode(x.tolist()) for x in ids]
+    assert encoder.decoded([]) == []
+
+
 def test_token_counts_match_a_plain_segmentation(spark):
     scores, byte = tokencount.unigram_scores(MODEL)
     longest = max(map(len, scores))
