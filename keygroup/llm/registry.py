@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keygroup.llm import chat, hnsw, maxscore, mixing, neardup, pieces, pii, repeats, tokencount, toxicity
+from keygroup.llm import (
+    chat,
+    hnsw,
+    maxscore,
+    mixing,
+    neardup,
+    pieces,
+    pii,
+    repair,
+    repeats,
+    secrets,
+    spelling,
+    tokencount,
+    toxicity,
+)
 from keygroup.llm.common import table
 
 # The key of the registered query; real data need one that is kept secret.
@@ -84,6 +98,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), pieces_path())
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, with faults planted, repaired."""
+    hurt = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.digests(repair.repair(hurt, dropped="dropped"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
