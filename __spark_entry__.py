@@ -10,6 +10,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -483,6 +484,38 @@ def q_group_apply(spark, sf_dir):
     return groups.apply_groups(per_page, merge, schema)
 
 
+def q_cogroup_apply(spark, sf_dir):
+    """Every order's lines that cost a third of it, by a function that sees orders and lines apart."""
+
+    def dear_lines(key, orders, lines):
+        total = max((t for batch in orders for t in batch.column("o_totalprice").to_pylist()), default=None)
+        n_lines = n_dear = 0
+        for batch in lines:
+            n_lines += batch.num_rows
+            if total is not None:
+                n_dear += int((batch.column("l_extendedprice").to_numpy() * 3 > total).sum())
+        yield {"orderkey": [key[0]], "n_lines": [n_lines], "n_dear": [n_dear], "total": [total]}
+
+    groups = orders_and_lines(tables(spark, sf_dir), "o_totalprice", "l_extendedprice").read()
+    return groups.apply_sides(dear_lines, "orderkey bigint, n_lines bigint, n_dear bigint, total double")
+
+
+def q_cogroup_apply_hot(spark, sf_dir):
+    """Nations' customers held against the best supplier of the nation: few keys, streamed groups."""
+
+    def richer(key, suppliers, customers):
+        best = max((b for batch in suppliers for b in batch.column("s_acctbal").to_pylist()), default=None)
+        for batch in customers:
+            balance = batch.column("c_acctbal").to_numpy()
+            found = balance > best if best is not None else balance == balance
+            ids = batch.column("c_custkey").filter(pa.array(found))
+            yield {"nationkey": [key[0]] * len(ids), "c_custkey": ids}
+
+    suppliers, customers = QuerySpec("geo", "suppliers", ("s_acctbal",)), QuerySpec("geo", "customers", ("c_acctbal", "c_custkey"))
+    groups = job(tables(spark, sf_dir), suppliers, customers).read()
+    return groups.apply_sides(richer, "nationkey int, c_custkey bigint", batch_rows=1_000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
     own = {name: f for name, f in globals().items() if name.startswith("q_")}
@@ -700,6 +733,17 @@ def _own_sql() -> dict[str, str]:
                   UNION ALL
                   SELECT l_orderkey, 1, l_returnflag, l_partkey, l_linenumber FROM lineitem)
             GROUP BY orderkey""",
+        "q_cogroup_apply": """
+            SELECT orderkey, count(l_orderkey) AS n_lines,
+                   count(*) FILTER (l_extendedprice * 3 > o_totalprice) AS n_dear, max(o_totalprice) AS total
+            FROM (SELECT coalesce(o_orderkey, l_orderkey) AS orderkey, l_orderkey, l_extendedprice, o_totalprice
+                  FROM orders FULL JOIN lineitem ON o_orderkey = l_orderkey)
+            GROUP BY orderkey""",
+        "q_cogroup_apply_hot": """
+            SELECT c_nationkey AS nationkey, c_custkey FROM customer
+            LEFT JOIN (SELECT s_nationkey, max(s_acctbal) AS best FROM supplier GROUP BY s_nationkey)
+                   ON s_nationkey = c_nationkey
+            WHERE best IS NULL OR c_acctbal > best""",
         "q_group_apply": """
             SELECT conv_id, count(*) AS n_turns, CAST(sum(length(text)) AS BIGINT) AS n_chars,
                    count(*) FILTER (role <> previous) AS n_changes,

@@ -8,17 +8,22 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from keygroup.errors import JobError
 from keygroup.functions.token import XXHASH_64, Tokenizer, key_columns
 from keygroup.names import TOKEN, quoted
 from keygroup.operators.hot import HotKeys, find_hot_keys, number_rows
+from keygroup.operators.sides import merged_in_order, run_sides
 from keygroup.plans.shape import Shaped
 from keygroup.plans.spec import QuerySpec
 from keygroup.workspace import delete
 
 DEFAULT_PAGE_ROWS = 10_000
 MERGE_FAN_IN = 1_000
+# Rows of results that are merged at a time, and of a batch that a function sees.
+MERGE_ROWS = 100_000
+BATCH_ROWS = 10_000
 
 
 class KeyedGroups:
@@ -298,11 +303,13 @@ class KeyedGroups:
         """Call ``function`` per page and ``merge`` on the results of a group's pages.
 
         Both return frames of ``schema``, which holds the key columns. ``merge`` gets
-        the results of up to a thousand pages, in page order, then its own results,
-        until one is left; it must not depend on how they are batched. It gets the
-        result of a group of one page as well.
+        results of pages, in page order, and then its own results, until one is left; it
+        must not depend on how they are batched. A frame has about ``MERGE_ROWS`` rows
+        beside one result, however many rows a group's pages return. It gets the result
+        of a group of one page as well.
         """
         carried = self._carried(carry)
+        keys = list(self.keys)
 
         def whole(pdf):
             return merge(function(pdf))
@@ -316,9 +323,8 @@ class KeyedGroups:
         def on_page(pdf):
             return function(pdf).assign(_page=pdf["_page"].iloc[0])
 
-        def on_results(pdf):
-            in_order = pdf.sort_values("_page", kind="stable", ignore_index=True)
-            return merge(in_order.drop(columns="_page")).assign(_page=pdf["_page"].min())
+        def on_results(frames):
+            return merged_in_order(frames, merge, keys, MERGE_ROWS)
 
         merged = self._apply(self._hot_pages(carried), on_page, numbered, partitions=partitions)
         pages = -(-self.hot.largest // self._page_weight)
@@ -326,7 +332,10 @@ class KeyedGroups:
         while True:
             span *= MERGE_FAN_IN
             batch = F.expr(f"_page div {span}").alias("_batch")
-            merged = merged.groupBy(*self._key_names, batch).applyInPandas(on_results, numbered)
+            terms = [*self._key_names, "_batch"]
+            lying = merged.select("*", batch).repartition(*terms).sortWithinPartitions(*terms, "_page").drop("_batch")
+            # Neighbours of one key in a partition may be of two batches; joined at once, that saves a round.
+            merged = lying.mapInPandas(on_results, numbered)
             if span >= pages:
                 break
 
@@ -334,6 +343,57 @@ class KeyedGroups:
         small = self._apply(small, whole, schema, one_page=True, partitions=partitions)
         return small.unionByName(merged.drop("_page"))
 
+    def apply_sides(
+        self,
+        function: Callable,
+        schema: T.StructType | str,
+        paged: bool = False,
+        carry: Sequence[int | QuerySpec] = (),
+        batch_rows: int = BATCH_ROWS,
+        partitions: int | None = None,
+    ) -> DataFrame:
+        """Call ``function(key, *sides)`` once per group, the rows of every query apart.
+
+        ``key`` is a tuple of the key's values. A side is an iterator of Arrow batches with
+        the columns of one query, in its clustering order, of ``batch_rows`` rows at most;
+        it is empty where the query has no rows of the key. The function returns, or yields,
+        Arrow batches or tables, pandas frames, or dicts of lists, with the columns of ``schema``.
+
+        Rows are streamed: sides are read in the order of the queries, and a group of any
+        size takes the memory of a batch. A side may be left early or left out; one that a
+        later side has passed is gone. As a function may want to see all rows of a group, a
+        hot group is the work of one task. With ``paged``, the function is called per page,
+        and many tasks share a hot group; rows of ``carry`` come with every page.
+        """
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if batch_rows < 1:
+            raise ValueError(f"batch_rows must be positive, not {batch_rows}")
+        if carry and not paged:
+            raise JobError("rows are carried to pages; a whole group has them anyway")
+        if paged:
+            rows = self._paged(self._carried(carry))
+        else:
+            rows = self._shaped.rows.withColumn("_page", F.lit(0).cast("bigint"))
+        # Both zeros are one key, to the shuffle as well.
+        floating = [k for k in self._key_terms if isinstance(rows.schema[k].dataType, (T.FloatType, T.DoubleType))]
+        rows = rows.withColumns({k: F.when(F.col(k) == 0, F.lit(0).cast(rows.schema[k].dataType)).otherwise(F.col(k)) for k in floating})
+        arrow = to_arrow_schema(schema)
+
+        terms = [*self._key_terms, "_page"]
+        n_terms, n_sides = len(terms), len(self._shaped.payloads)
+
+        def run(stream):
+            # The page parts calls, but is no part of the key that the function sees.
+            return run_sides(stream, lambda key, *sides: function(key[:-1], *sides), n_terms, n_sides, arrow, batch_rows)
+
+        n = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (
+            rows.repartition(n, *terms)
+            .sortWithinPartitions(*terms, *self._shaped.sort_terms)
+            .select(*self._key_terms, "_page", "_q", *self._shaped.payloads)
+            .mapInArrow(run, schema)
+        )
+
     def _apply(
         self,
         paged: DataFrame,
