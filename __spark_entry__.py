@@ -21,7 +21,9 @@ from keygroup import (
     MultiQuery,
     QuerySpec,
     SlicedTable,
+    TokenFiles,
     TokenRanges,
+    balanced_ranges,
     iterate_slices,
     scan,
     slice_profile,
@@ -43,6 +45,10 @@ HOT_PAGE_ROWS = 5_000
 CARRY_PAGE_ROWS = 3
 TEXT_PAGE_ROWS, TEXT_PAGE_BYTES = 500, 1_000_000
 
+# Ranges of tokens with odd ends, a wide one, a narrow one and one of a single token among them.
+TOKEN_CUTS = [(10**17 + 7, 4 * 10**17), (4 * 10**17 + 1, 4 * 10**17 + 10**13), (0, 123_456_789_012_345_678), (5, 5)]
+BYTE_SLICES = 4
+
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
@@ -437,6 +443,35 @@ def q_slice_iterate(spark, sf_dir):
     return reduce(DataFrame.unionByName, [_sums(part, index) for index, (_, part) in parts])
 
 
+def q_token_ranges(spark, sf_dir):
+    """One aggregate per range of tokens that no layout foresaw, each reading the files of its range only."""
+    lines = KeyedTable.of(tables(spark, sf_dir).lookup("sales", "lines").df.select("orderkey", "l_partkey"), "orderkey")
+    files = TokenFiles.write(lines, new_path(spark, "token-files"), MD5_60, rows_per_file=20_000)
+    try:
+        done = [row for i, (_, part) in enumerate(files.iterate(TOKEN_CUTS)) for row in _sums(part.df, i).collect()]
+    finally:
+        files.delete()
+    return spark.createDataFrame(done, "slice int, n_rows bigint, sum_orderkey bigint, sum_partkey bigint")
+
+
+def q_slice_balanced(spark, sf_dir):
+    """Rows and keys of slices that weigh the same."""
+    lines = tables(spark, sf_dir).lookup("sales", "lines")
+    return balanced_ranges(lines, SLICES, tokenizer=MD5_60).profile(lines)
+
+
+def q_slice_balanced_bytes(spark, sf_dir):
+    """Tokens at the ends of slices with the same bytes of text, and what they hold."""
+    texts = tables(spark, sf_dir).lookup("docs", "documents")
+    texts = KeyedTable.of(texts.df, "doc_id")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    ranges = balanced_ranges(texts, BYTE_SLICES, size, 1.0, tokenizer=MD5_60)
+    return (
+        ranges.assign(with_token(texts, MD5_60)).groupBy("slice")
+        .agg(F.sum(size.cast("bigint")).alias("n_bytes"), F.count("*").alias("n_rows"))
+    )
+
+
 # -- user functions ---------------------------------------------------------------
 
 
@@ -564,6 +599,16 @@ _RANGES = f"""
 """
 
 
+def _balanced_sql(rows: str, n: int, bits: int) -> str:
+    """Stretches of the token space with the slice in which their middle falls by weight."""
+    return f"""
+            WITH stretches AS (
+                SELECT token >> {60 - bits} AS stretch, CAST(sum(w) AS BIGINT) AS w, count(*) AS n, count(DISTINCT k) AS keys
+                FROM ({rows}) GROUP BY stretch),
+            running AS (SELECT *, sum(w) OVER (ORDER BY stretch) AS upto, sum(w) OVER () AS total FROM stretches),
+            placed AS (SELECT *, least({n - 1}, (2 * upto - w) * {n} // (2 * total)) AS place FROM running)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The result of every query that SQL can express, as SQL over the same tables."""
     return _own_sql() | (llm.oracle_sql() if llm else {})
@@ -725,6 +770,25 @@ def _own_sql() -> dict[str, str]:
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
             FROM (SELECT CAST(unnest(range({SLICES})) AS INTEGER) AS s) LEFT JOIN lineitem ON {_slice_sql(line_token)} = s
             GROUP BY s""",
+        "q_token_ranges": f"""
+            SELECT i AS slice, count(l_orderkey) AS n_rows,
+                   CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
+            FROM (VALUES {", ".join(f"(CAST({i} AS INTEGER), {low}, {high})" for i, (low, high) in enumerate(TOKEN_CUTS))})
+                 AS cuts(i, low, high)
+            LEFT JOIN lineitem ON {line_token} BETWEEN low AND high
+            GROUP BY i""",
+        "q_slice_balanced": f"""
+            {_balanced_sql(f"SELECT {line_token} AS token, l_orderkey AS k, 1 AS w FROM lineitem", SLICES, 11)}
+            SELECT dense_rank() OVER (ORDER BY place) - 1 AS slice, CAST(sum(n) AS BIGINT) AS n_rows,
+                   CAST(sum(keys) AS BIGINT) AS n_keys
+            FROM placed GROUP BY place""",
+        "q_slice_balanced_bytes": f"""
+            {_balanced_sql(
+                f"SELECT {_token_sql('doc_id')} AS token, doc_id AS k, coalesce(strlen(text), 0) AS w FROM documents",
+                BYTE_SLICES, 5)}
+            SELECT dense_rank() OVER (ORDER BY place) - 1 AS slice, CAST(sum(w) AS BIGINT) AS n_bytes,
+                   CAST(sum(n) AS BIGINT) AS n_rows
+            FROM placed GROUP BY place""",
         "q_group_hof": f"""
             SELECT orderkey, CAST(count(*) FILTER (q = 1) AS BIGINT) AS n_lines, count(*) FILTER (flag = 'R') AS n_returned,
                    CAST(coalesce(sum(l_partkey), 0) AS BIGINT) AS sum_partkey, max(l_linenumber) AS max_linenumber

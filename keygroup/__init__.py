@@ -2,6 +2,7 @@
 
 from keygroup.errors import JobError, UnknownTableError
 from keygroup.functions.token import MD5_60, XXHASH_64, Tokenizer
+from keygroup.operators.balance import TokenWeights, balanced_ranges, balanced_slices
 from keygroup.operators.groups import KeyedGroups
 from keygroup.operators.slices import TokenRanges, iterate_slices, read_slice, slice_profile, with_token
 from keygroup.plans.job import MultiQuery
@@ -10,6 +11,7 @@ from keygroup.plans.spec import QuerySpec, WhereClause
 from keygroup.sources.clustered import write_clustered
 from keygroup.sources.sliced import SlicedTable
 from keygroup.sources.tables import Catalog, KeyedTable
+from keygroup.sources.token_files import TokenFiles
 from keygroup.workspace import drop_workspace, workspace_dir
 
 __all__ = [
@@ -22,10 +24,14 @@ __all__ = [
     "MultiQuery",
     "QuerySpec",
     "SlicedTable",
+    "TokenFiles",
     "TokenRanges",
+    "TokenWeights",
     "Tokenizer",
     "UnknownTableError",
     "WhereClause",
+    "balanced_ranges",
+    "balanced_slices",
     "drop_workspace",
     "iterate_slices",
     "read_slice",

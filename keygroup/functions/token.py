@@ -55,15 +55,28 @@ class Tokenizer:
         multiplied apart; everything stays in plain long arithmetic.
         """
         _check_count(n)
-        token = F.col(token) if isinstance(token, str) else token
-        if self.bits == 64:
-            offset = token.bitwiseXOR(F.lit(self.low))
-        else:
-            offset = F.shiftleft(token - F.lit(self.low) if self.low else token, 64 - self.bits)
+        offset = self._offset(token)
         upper = F.shiftrightunsigned(offset, 32) * F.lit(n).cast("bigint")
         lower = F.shiftrightunsigned(offset.bitwiseAND(F.lit(_LOW_32)) * F.lit(n).cast("bigint"), 32)
         return F.shiftright(upper + lower, 32).cast("int")
 
+    def prefix(self, token: str | Column, bits: int) -> Column:
+        """The first ``bits`` bits of the token's offset in the key space.
+
+        That is the index of one of ``2^bits`` equal slices; with 64 bits it is to be
+        read as unsigned.
+        """
+        if not 1 <= bits <= self.bits:
+            raise ValueError(f"a token of {self.name} has 1 to {self.bits} bits, not {bits}")
+        return F.shiftrightunsigned(self._offset(token), 64 - bits) if bits < 64 else self._offset(token)
+
+    def _offset(self, token: str | Column) -> Column:
+        """The distance from the lowest token, in the uppermost bits of an unsigned long."""
+        token = F.col(token) if isinstance(token, str) else token
+        if self.bits == 64:
+            return token.bitwiseXOR(F.lit(self.low))
+        return F.shiftleft(token - F.lit(self.low) if self.low else token, 64 - self.bits)
+
 
 def key_columns(names: Sequence[str], schema: T.StructType) -> list[Column]:
     """Key columns in a form of which equal keys have one text and one hash.
@@ -101,3 +114,11 @@ XXHASH_64 = Tokenizer("xxhash64", _xxhash, bits=64, low=-(1 << 63))
 
 MD5_60 = Tokenizer("md5_60", _md5_60, bits=60, low=0)
 """The first 60 bits of the key's MD5, for tokens that other engines must reproduce."""
+
+
+def named_tokenizer(name: str) -> Tokenizer:
+    """A tokenizer of this module, for layouts that are opened again."""
+    for one in (XXHASH_64, MD5_60):
+        if one.name == name:
+            return one
+    raise ValueError(f"a layout cannot be opened again with the tokenizer {name}")

@@ -153,6 +153,11 @@ def _part(
     return filtered(query, table, *row_id).select(*terms), [*order, "_h"]
 
 
+def row_size(schema: T.StructType) -> Column:
+    """Size of the values of a row, near enough to weigh rows by."""
+    return reduce(lambda a, b: a + b, [_bytes(F.col(quoted(f.name)), f.dataType) for f in schema.fields])
+
+
 def _bytes(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.StringType, T.BinaryType)):
         size = F.octet_length(column)

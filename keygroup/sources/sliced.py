@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keygroup.functions.token import MD5_60, XXHASH_64, Tokenizer, key_columns
+from keygroup.functions.token import XXHASH_64, Tokenizer, key_columns, named_tokenizer
 from keygroup.names import SLICE
 from keygroup.sources.tables import KeyedTable
 from keygroup.workspace import delete
 
-_TOKENIZERS = {t.name: t for t in (XXHASH_64, MD5_60)}
 # Spark's listing of a table passes over names that begin with an underscore.
 _NOTE = "_keygroup"
 
@@ -48,8 +47,7 @@ class SlicedTable:
         Rows are rebalanced by slice: small slices share a writer, and a slice
         swollen by a hot key is spread over several writers and files.
         """
-        if tokenizer.name not in _TOKENIZERS:
-            raise ValueError(f"a layout cannot be opened again with the tokenizer {tokenizer.name}")
+        named_tokenizer(tokenizer.name)
         spark = table.df.sparkSession
         token = tokenizer.column(*key_columns(table.partition_key, table.df.schema))
         sliced = table.rows.withColumn(SLICE, tokenizer.slice_of(token, n))
@@ -71,7 +69,7 @@ class SlicedTable:
         note = json.loads(spark.read.text(f"{path}/{_NOTE}", wholetext=True).first()[0])
         schema = T.StructType.fromJson(note.pop("schema"))
         names = {key: tuple(note.pop(key)) for key in ("partition_key", "clustering", "slices")}
-        tokenizer = _TOKENIZERS[note.pop("tokenizer")]
+        tokenizer = named_tokenizer(note.pop("tokenizer"))
         return cls(spark, path, schema, tokenizer=tokenizer, **names, **note)
 
     def read(self, first: int = 0, last: int | None = None) -> KeyedTable:
