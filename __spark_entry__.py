@@ -24,6 +24,7 @@ from keygroup import (
     TokenFiles,
     TokenRanges,
     balanced_ranges,
+    heavy_keys,
     iterate_slices,
     scan,
     slice_profile,
@@ -48,6 +49,8 @@ TEXT_PAGE_ROWS, TEXT_PAGE_BYTES = 500, 1_000_000
 # Ranges of tokens with odd ends, a wide one, a narrow one and one of a single token among them.
 TOKEN_CUTS = [(10**17 + 7, 4 * 10**17), (4 * 10**17 + 1, 4 * 10**17 + 10**13), (0, 123_456_789_012_345_678), (5, 5)]
 BYTE_SLICES = 4
+# Sum of line numbers above which a supplier is heavy.
+HEAVY_ROWS = 2_400
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
@@ -328,6 +331,12 @@ def q_pages_bytes(spark, sf_dir):
     )
 
 
+def q_heavy_keys(spark, sf_dir):
+    """Suppliers with many lines: candidates from bounded summaries, counted exactly."""
+    lines = KeyedTable.of(tables(spark, sf_dir).lookup("sales", "lines").df, "l_suppkey")
+    return heavy_keys(lines, HEAVY_ROWS, F.col("l_linenumber")).select("l_suppkey", "n_rows", "weight")
+
+
 # -- ordered and partitioned delivery ---------------------------------------------
 
 
@@ -770,6 +779,9 @@ def _own_sql() -> dict[str, str]:
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
             FROM (SELECT CAST(unnest(range({SLICES})) AS INTEGER) AS s) LEFT JOIN lineitem ON {_slice_sql(line_token)} = s
             GROUP BY s""",
+        "q_heavy_keys": f"""
+            SELECT l_suppkey, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS weight
+            FROM lineitem GROUP BY l_suppkey HAVING sum(l_linenumber) > {HEAVY_ROWS}""",
         "q_token_ranges": f"""
             SELECT i AS slice, count(l_orderkey) AS n_rows,
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey

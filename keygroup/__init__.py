@@ -4,6 +4,7 @@ from keygroup.errors import JobError, UnknownTableError
 from keygroup.functions.token import MD5_60, XXHASH_64, Tokenizer
 from keygroup.operators.balance import TokenWeights, balanced_ranges, balanced_slices
 from keygroup.operators.groups import KeyedGroups
+from keygroup.operators.hot import heavy_keys
 from keygroup.operators.slices import TokenRanges, iterate_slices, read_slice, slice_profile, with_token
 from keygroup.plans.job import MultiQuery
 from keygroup.plans.scan import scan
@@ -33,6 +34,7 @@ __all__ = [
     "balanced_ranges",
     "balanced_slices",
     "drop_workspace",
+    "heavy_keys",
     "iterate_slices",
     "read_slice",
     "scan",

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keygroup.names import quoted
+from keygroup.operators.heavy import heavy_values
+from keygroup.sources.tables import KeyedTable
 from keygroup.workspace import materialise, temporary
 
 # Largest key table, in bytes, that is shipped to every executor.
@@ -55,27 +58,52 @@ def find_hot_keys(
     """Sum up the weight of the rows per key, one each unless given; keep the keys
     above the limit.
 
-    Weights are first summed by a hash of the key, sixteen bytes per key however wide
-    it is. A hash weighs at least as much as each of its keys, so only the rows of the
-    few hashes above the limit are summed by key. Partial sums shrink before the
-    shuffle, so a hot key costs no more than any other. Unweighted, only the key
-    columns are read.
+    Each task summarises the hashes of its keys in a bounded number of counters, eight
+    bytes a row on their way there. Only the rows of the few hashes that may be above the
+    limit are summed by key, so what is shuffled does not grow with the number of keys.
+    Where the rows are so many that the summaries prove nothing for the limit, sums are
+    made per hash, sixteen bytes each; partial sums shrink before the shuffle, so a hot key
+    costs no more than any other. Unweighted, only the key columns are read.
     """
     number = F.count("*")
     total = number if weight is None else F.sum(weight)
     hashed = _hashed(keys)
-    heavy = rows.groupBy(hashed.alias("_kh")).agg(total.alias("_w")).where(F.col("_w") > limit).select("_kh")
-    # Kept between the count and its use, so that the rows are hashed once.
-    heavy.persist()
-    try:
-        n_heavy = heavy.count()
-        if not n_heavy:
-            return None
-        wanted = F.broadcast(heavy) if n_heavy * ROW_BYTES <= BROADCAST_BYTES else heavy
-        near = rows.join(wanted, hashed == F.col("_kh"), "left_semi")
-        return _exact(near, keys, limit, number, total, paths)
-    finally:
-        heavy.unpersist()
+    with heavy_values(rows, hashed, limit, weight) as found:
+        if found is None:
+            found = rows.groupBy(hashed.alias("value")).agg(total.alias("_w")).where(F.col("_w") > limit)
+        heavy = found.select(F.col("value").alias("_kh"))
+        # Kept between the count and its use, so that the rows are hashed once.
+        heavy.persist()
+        try:
+            n_heavy = heavy.count()
+            if not n_heavy:
+                return None
+            wanted = F.broadcast(heavy) if n_heavy * ROW_BYTES <= BROADCAST_BYTES else heavy
+            near = rows.join(wanted, hashed == F.col("_kh"), "left_semi")
+            return _exact(near, keys, limit, number, total, paths)
+        finally:
+            heavy.unpersist()
+
+
+def heavy_keys(table: KeyedTable, limit: int, weight: Column | None = None) -> DataFrame:
+    """The partition keys with more than ``limit`` rows, or weight, with ``n_rows`` and ``weight``.
+
+    Exact, and found as ``find_hot_keys`` does; null keys are a key, too.
+    """
+    if limit < 0:
+        raise ValueError(f"limit must not be negative, but is {limit}")
+    names = table.partition_key
+    inner = [f"_g{i}" for i in range(len(names))]
+    weighed = [] if weight is None else [weight.cast("bigint").alias("_weight")]
+    rows = table.rows.select(*(F.col(quoted(c)).alias(k) for c, k in zip(names, inner)), *weighed)
+    found = find_hot_keys(rows, inner, limit, None if weight is None else F.col("_weight"))
+    if found is None:
+        found_rows = rows.limit(0).select(*inner, F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_w"))
+    else:
+        found_rows = found.table
+    return found_rows.select(
+        *(F.col(k).alias(c) for c, k in zip(names, inner)), F.col("_n").alias("n_rows"), F.col("_w").alias("weight")
+    )
 
 
 def _hashed(keys: Sequence[str]) -> Column:
