@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from keygroup.llm.common import picked
 
 SPACE = "▁"
-# Distinct words that a task remembers; beyond it the memory starts anew.
-REMEMBERED = 250_000
+# Distinct words, and parts of words, of either generation that a worker remembers.
+REMEMBERED, REMEMBERED_PARTS = 300_000, 50_000
 _LONG = 64
 
 
@@ -162,39 +162,71 @@ def _marks(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
 
+class Memory:
+    """A bounded dictionary in two generations.
+
+    What is used goes into the young one. When that is full it becomes the old one, and
+    what was not used since the last time is forgotten; so frequent keys stay.
+    """
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.pop(key, None)
+            if found is not None:
+                self.young[key] = found
+        return found
+
+
 class Encoder:
     """Encodes many texts and remembers the words it has met."""
 
     def __init__(self, model_path: str):
         self.pieces = Pieces(model_path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = Memory(REMEMBERED)
+        self.parts = Memory(REMEMBERED_PARTS)
         self.corrected: set[str] = set()
 
     def learn(self, texts: list[list[str]]) -> None:
-        """Encode the words not met before, and check them against the library."""
-        words = self.words
-        if len(words) > REMEMBERED:
-            words.clear()
-            self.corrected.clear()
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        new = list({w for text in texts for w in text if w not in words})
+        """Encode the words not met before, and check them against the library.
+
+        Afterwards the young words hold every word of the texts.
+        """
+        self.words.age()
+        self.parts.age()
+        words = self.words.young
+        new = [w for w in set().union(*texts).difference(words) if self.words.get(w) is None]
         checked = self.pieces.library.encode(new, num_threads=1)
         for word, expected in zip(new, checked):
-            ids = b"".join(map(self._part, self.pieces.parts(SPACE + word.replace(" ", SPACE))))
+            parts = list(self.pieces.parts(SPACE + word.replace(" ", SPACE)))
+            ids = b"".join([self._part(part, len(parts) == 1) for part in parts])
             # The library takes an empty text for no word at all, not for a lone space.
             if word and ids != (right := array("i", expected).tobytes()):
                 ids = right
                 self.corrected.add(word)
+            else:
+                self.corrected.discard(word)
             words[word] = ids
 
-    def _part(self, part: str) -> bytes:
+    def _part(self, part: str, alone: bool) -> bytes:
         found = self.parts.get(part)
+        if found is None and not alone and part[0] == SPACE:
+            # The part may have been met as a word.
+            found = self.words.get(part[1:])
         if found is None:
             found = array("i", self.pieces.merge(part)).tobytes()
-            if len(part) <= _LONG:
-                self.parts[part] = found
+            # A word that is one part is remembered as a word.
+            if not alone and len(part) <= _LONG:
+                self.parts.young[part] = found
         return found
 
     def run(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
@@ -203,7 +235,7 @@ class Encoder:
         # reach over such words, so they stay joined to the word behind them.
         split = [_words(text) for text in texts]
         self.learn(split)
-        words, corrected = self.words, self.corrected
+        words, corrected = self.words.young, self.corrected
         ids = [np.frombuffer(b"".join([words[w] for w in text]), np.int32) for text in split]
         return ids, [sum(w in corrected for w in text) if corrected else 0 for text in split]
 
