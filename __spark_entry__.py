@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
+from itertools import islice
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keygroup import (
     MD5_60,
+    Backfill,
     Catalog,
     KeyedTable,
     MultiQuery,
@@ -24,8 +27,11 @@ from keygroup import (
     TokenFiles,
     TokenRanges,
     balanced_ranges,
+    declare_keys,
     heavy_keys,
     iterate_slices,
+    order_key,
+    read_slice,
     scan,
     slice_profile,
 )
@@ -363,6 +369,31 @@ def q_sorted_slices(spark, sf_dir):
     )
 
 
+def q_key_order(spark, sf_dir):
+    """Places of events in the order of a key of four types, by one term."""
+    events = tables(spark, sf_dir).lookup("web", "events").df
+    key = order_key(["event_type", "value", "ts", "event_id"], events.schema)
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(key))
+    return events.select("event_id", place.cast("bigint").alias("place"))
+
+
+def q_declared_keys(spark, sf_dir):
+    """A stored table whose keys another session finds in the catalog."""
+    name = f"keyed_{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_type", "event_id")
+    events.write.option("path", new_path(spark, "declared")).saveAsTable(name)
+    try:
+        declare_keys(spark, name, "user_id", ["event_type", "event_id"], unique=True)
+        other = spark.newSession()
+        groups = job(Catalog(other).add_table("web", "events", name), QuerySpec("web", "events")).group_by("event_type")
+        done = groups.read().fold(n_rows=n_rows()).groupBy("event_type").agg(
+            F.count("*").alias("n_groups"), F.sum("n_rows").alias("n_rows")
+        ).collect()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(done, "event_type string, n_groups bigint, n_rows bigint")
+
+
 def q_group_integrity(spark, sf_dir):
     """Groups, rows, and groups whose rows lie in more than one partition."""
     groups = orders_and_lines(tables(spark, sf_dir), "o_custkey", "l_partkey").read()
@@ -445,6 +476,25 @@ def _sums(lines, index):
     )
 
 
+def q_slice_resume(spark, sf_dir):
+    """The same aggregates from a run that stopped after some slices and was opened again."""
+    lines = KeyedTable.of(tables(spark, sf_dir).lookup("sales", "lines").df.select("orderkey", "l_partkey"), "orderkey")
+    slices = MD5_60.bounds(SLICES)
+    schema = "slice int, n_rows bigint, sum_orderkey bigint, sum_partkey bigint"
+    path = new_path(spark, "resume")
+
+    def work(index, low, high):
+        return _sums(read_slice(lines, low, high, MD5_60).drop("_token"), index)
+
+    run = Backfill.start(spark, path, slices, schema)
+    run.run(work, most=SLICES // 2 - 1)
+    again = Backfill.open(spark, path)
+    again.run(work)
+    done = again.read().drop("_slice").collect()
+    again.clear()
+    return spark.createDataFrame(done, schema)
+
+
 def q_slice_iterate(spark, sf_dir):
     """One aggregate per slice, each of them a scan of the table."""
     lines = tables(spark, sf_dir).lookup("sales", "lines")
@@ -560,6 +610,28 @@ def q_cogroup_apply_hot(spark, sf_dir):
     return groups.apply_sides(richer, "nationkey int, c_custkey bigint", batch_rows=1_000)
 
 
+def q_group_cursor(spark, sf_dir):
+    """Conversations met by a cursor, which is dropped on the way and goes on from its last position."""
+    groups = job(tables(spark, sf_dir), QuerySpec("chat", "conversations", ("turn", "role"))).read(CARRY_PAGE_ROWS)
+    met, position, order = [], None, 0
+    with groups:
+        cursor = groups.cursor(prefetch_rows=2_000)
+        for stop in (5, None):
+            for page in islice(cursor.pages(after=position), stop):
+                position = page.position
+                roles = [row["s0"]["role"] for row in page.rows]
+                met.append((page.key["conv_id"], page.number, len(roles), roles[0], roles[-1], order))
+                order += 1
+    found = spark.createDataFrame(met, "conv_id bigint, page bigint, n int, first string, last string, at int")
+    return found.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"),
+        F.min_by("first", "page").alias("first_role"),
+        F.max_by("last", "page").alias("last_role"),
+        # The pages of a group follow each other.
+        (F.max("at") - F.min("at") + 1 == F.count("*")).alias("together"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name."""
     own = {name: f for name, f in globals().items() if name.startswith("q_")}
@@ -774,6 +846,14 @@ def _own_sql() -> dict[str, str]:
             SELECT {_slice_sql(line_token)} AS slice, count(*) AS n_rows,
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
             FROM lineitem GROUP BY slice""",
+        "q_slice_resume": f"""
+            SELECT {_slice_sql(line_token)} AS slice, count(*) AS n_rows,
+                   CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
+            FROM lineitem GROUP BY slice""",
+        "q_group_cursor": """
+            SELECT conv_id, count(*) AS n_turns, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role,
+                   true AS together
+            FROM conversations GROUP BY conv_id""",
         "q_slice_iterate": f"""
             SELECT s AS slice, count(l_orderkey) AS n_rows,
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
@@ -782,6 +862,15 @@ def _own_sql() -> dict[str, str]:
         "q_heavy_keys": f"""
             SELECT l_suppkey, count(*) AS n_rows, CAST(sum(l_linenumber) AS BIGINT) AS weight
             FROM lineitem GROUP BY l_suppkey HAVING sum(l_linenumber) > {HEAVY_ROWS}""",
+        "q_key_order": """
+            SELECT event_id, row_number() OVER (
+                       PARTITION BY user_id
+                       ORDER BY event_type NULLS FIRST, value NULLS FIRST, ts NULLS FIRST, event_id NULLS FIRST) AS place
+            FROM events""",
+        "q_declared_keys": """
+            SELECT event_type, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_rows
+            FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type)
+            GROUP BY event_type""",
         "q_token_ranges": f"""
             SELECT i AS slice, count(l_orderkey) AS n_rows,
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey

@@ -6,9 +6,10 @@ import re
 
 TOKEN = "_token"
 SLICE = "_slice"
+SIZE = "_size"
 
 # Output columns of the grouped forms; a key column may not bear one of these names.
-_RESERVED = re.compile(r"_token|_slice|_page|_pos|_q|_batch|rows|(in_)?s\d+", re.IGNORECASE)
+_RESERVED = re.compile(r"_token|_slice|_size|_page|_pos|_q|_batch|rows|(in_)?s\d+", re.IGNORECASE)
 
 
 def is_reserved(name: str) -> bool:

@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from keygroup.errors import JobError
+from keygroup.functions.order import order_key
 from keygroup.functions.token import XXHASH_64, Tokenizer, key_columns
 from keygroup.names import TOKEN, quoted
+from keygroup.operators.cursor import PREFETCH_ROWS, GroupCursor, lay_out_pages
 from keygroup.operators.hot import HotKeys, find_hot_keys, number_rows
 from keygroup.operators.sides import merged_in_order, run_sides
 from keygroup.plans.shape import Shaped
 from keygroup.plans.spec import QuerySpec
-from keygroup.workspace import delete
+from keygroup.sources.token_files import TokenFiles
+from keygroup.workspace import delete, new_path
 
 DEFAULT_PAGE_ROWS = 10_000
 MERGE_FAN_IN = 1_000
@@ -138,12 +141,19 @@ class KeyedGroups:
         numbered = self._numbered(carried).drop("_pos")
         if not carried:
             return numbered
-        keys = self._key_terms
-        # A group of carried rows alone has a page as well.
+        keys, rows = self._key_terms, self._shaped.rows.where(F.col("_q").isin(*carried))
+        if self._row_weight is None:
+            # The pages of a group follow from the number of its rows; a group of carried
+            # rows alone has one as well.
+            own = F.col("_n") - F.count("*").over(Window.partitionBy(*keys))
+            last = F.greatest(F.ceil(own / F.lit(self._page_weight)).cast("bigint"), F.lit(1).cast("bigint")) - 1
+            paged = self.hot.with_numbers(rows).withColumn("_last", last)
+            paged = paged.withColumn("_page", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last"))))
+            return numbered.unionByName(paged.select(*numbered.columns))
         pages = numbered.select(*keys, "_page").unionByName(self.hot.table.select(*keys, _first_page())).distinct()
         named = pages.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_page")
         same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-        single = self.hot.matches(self._shaped.rows, "left_semi").where(F.col("_q").isin(*carried))
+        single = self.hot.matches(rows, "left_semi")
         return numbered.unionByName(single.join(named, same).select(*numbered.columns))
 
     def _carried(self, carry: Sequence[int | QuerySpec]) -> tuple[int, ...]:
@@ -252,19 +262,28 @@ class KeyedGroups:
         small = self._small_groups.withColumn("_pos", position).select(*columns)
         return small if self.hot is None else small.unionByName(self._numbered().select(*columns))
 
-    def sorted_slices(self, n: int, tokenizer: Tokenizer = XXHASH_64) -> DataFrame:
+    def sorted_slices(
+        self, n: int, tokenizer: Tokenizer = XXHASH_64, style: str | None = None, uuids: Sequence[str] = ()
+    ) -> DataFrame:
         """Rows in exactly ``n`` partitions, each ordered by token, key and group order.
 
+        With a ``style``, keys are compared as ``order_key`` does, by one term; ``uuids`` are
+        key columns that hold UUIDs as texts.
+
         Partition ``i`` is token slice ``i``; page ``p`` of a hot group goes ``p``
         partitions further, round and round. A page is never split.
         """
         key = self._key_terms[: self._shaped.n_partition_key]
         token = tokenizer.column(*key_columns(key, self._shaped.rows.schema))
         target = F.pmod(tokenizer.slice_of(TOKEN, n).cast("bigint") + F.col("_page"), F.lit(n)).cast("int")
+        terms = self._key_terms
+        if style is not None:
+            terms_of = dict(zip(self.keys, self._key_terms))
+            terms = [order_key(terms, self._shaped.rows.schema, style, [terms_of[name] for name in uuids])]
         return (
             self._paged().withColumn(TOKEN, token)
             .repartitionById(n, target)
-            .sortWithinPartitions(TOKEN, *self._key_terms, "_page", *self._shaped.sort_terms)
+            .sortWithinPartitions(TOKEN, *terms, "_page", *self._shaped.sort_terms)
             .select(TOKEN, *self._key_columns, "_page", "_q", *self._shaped.payloads)
         )
 
@@ -275,6 +294,27 @@ class KeyedGroups:
             .select(*self._key_columns, "_page", "_q", *self._shaped.payloads)
         )
 
+    def lay_out(
+        self, path: str, cogrouped: bool = False, carry: Sequence[int | QuerySpec] = (), **options
+    ) -> TokenFiles:
+        """Write the pages, ``merged`` or ``cogrouped``, to files sorted by token, key and page.
+
+        They outlive this session; ``options`` are those of ``TokenFiles.write``, whose
+        ``rows_per_file`` counts pages here.
+        """
+        pages = self.cogrouped(carry) if cogrouped else self.merged(carry)
+        return lay_out_pages(pages, self.keys, self._shaped.n_partition_key, path, **options)
+
+    def cursor(self, prefetch_rows: int = PREFETCH_ROWS, **options) -> GroupCursor:
+        """A cursor over the pages with their keys, laid out in the workspace for it first.
+
+        To go on in another session, keep what ``lay_out`` writes and a position, and open
+        a ``GroupCursor`` over ``TokenFiles.open``.
+        """
+        path = new_path(self._shaped.rows.sparkSession, "pages")
+        self._paths.append(path)
+        return GroupCursor(self.lay_out(path, **options), prefetch_rows)
+
     # -- user functions ---------------------------------------------------------
 
     def apply_pages(

@@ -51,6 +51,13 @@ class HotKeys:
             table = F.broadcast(table)
         return rows.join(table, _same_key(self.keys), kind)
 
+    def with_numbers(self, rows: DataFrame) -> DataFrame:
+        """Rows of hot groups, with ``_n``, the number of rows of their group."""
+        table = _aside(self.table, self.keys, "_n")
+        if self.key_bytes <= BROADCAST_BYTES:
+            table = F.broadcast(table)
+        return rows.join(table, _same_key(self.keys)).select(*rows.columns, "_n")
+
 
 def find_hot_keys(
     rows: DataFrame, keys: list[str], limit: int, weight: Column | None = None, paths: list[str] | None = None

@@ -34,6 +34,8 @@ _CONDITION = (
     r"|(?:\bnot\s+)?\bin\s*\(\s*\?(?:\s*,\s*\?)*\s*\)"
     r"|(?:\bnot\s+)?\bbetween\s+\?\s+and\s+\?)"
 )
+# What stands before the first parameter of a list.
+_IN = re.compile(r"\bin\s*\(\s*$", re.IGNORECASE)
 _PLAIN = re.compile(rf"\s*{_CONDITION}(?:\s+and\s+{_CONDITION})*\s*", re.IGNORECASE)
 
 
@@ -50,10 +52,13 @@ def _analysed(where: WhereClause, df: DataFrame) -> list[T.DataType | None]:
     spark = df.sparkSession
     empty = spark.createDataFrame([], df.schema)
     candidates = list(dict.fromkeys([f.dataType for f in df.schema.fields] + list(_BASIC)))
+    # One column stands for all the parameters of a list, between which there are only commas.
+    groups = _lists(where)
     text = where.predicate
-    marks = [f"__parameter_{i}" for i in range(len(where.placeholders))]
-    for at, mark in reversed(list(zip(where.placeholders, marks))):
-        text = f"{text[:at]}{mark}{text[at + 1:]}"
+    marks = [f"__parameter_{i}" for i in range(len(groups))]
+    for group, mark in reversed(list(zip(groups, marks))):
+        first, last = where.placeholders[group.start], where.placeholders[group.stop - 1]
+        text = f"{text[:first]}{mark}{text[last + 1:]}"
     text = text.replace("{", "{{").replace("}", "}}")
 
     def casts(types: list[T.DataType]) -> int | None:
@@ -72,25 +77,40 @@ def _analysed(where: WhereClause, df: DataFrame) -> list[T.DataType | None]:
             for node, child in zip(condition, condition[1:])
         )
 
-    # Each parameter is varied with the others held; they are told by their arguments first.
-    types = [next((t for t in candidates if accepts(t, v)), T.StringType()) for v in where.args]
+    # Each is varied with the others held; they are told by their arguments first.
+    values = [[where.args[i] for i in group] for group in groups]
+    types = [next((t for t in candidates if all(accepts(t, v) for v in own)), T.StringType()) for own in values]
     result: list[T.DataType | None] = []
-    for i, value in enumerate(where.args):
+    for i, own in enumerate(values):
         counts = {}
         for candidate in candidates:
             n = casts([*types[:i], candidate, *types[i + 1 :]])
             if n is not None:
                 counts[candidate] = n
-        if not counts:
-            result.append(T.StringType() if not accepts(T.StringType(), value) else None)
-            continue
-        least = [t for t, n in counts.items() if n == min(counts.values())]
-        fitting = [t for t in least if accepts(t, value)]
-        types[i] = (fitting or least)[0]
-        result.append(None if len(least) == len(counts) > 1 else types[i])
+        if counts:
+            least = [t for t, n in counts.items() if n == min(counts.values())]
+            types[i] = next((t for t in least if all(accepts(t, v) for v in own)), least[0])
+            found = None if len(least) == len(counts) > 1 else types[i]
+        else:
+            found = None if all(accepts(T.StringType(), v) for v in own) else T.StringType()
+        result += [found] * len(own)
     return result
 
 
+def _lists(where: WhereClause) -> list[range]:
+    """Numbers of the parameters, those of one IN list together."""
+    groups: list[range] = []
+    last = None
+    for i, at in enumerate(where.placeholders):
+        between = "" if last is None else where.predicate[last + 1 : at]
+        if groups and between.strip() == "," and _IN.search(where.predicate[: where.placeholders[groups[-1].start]]):
+            groups[-1] = range(groups[-1].start, i + 1)
+        else:
+            groups.append(range(i, i + 1))
+        last = at
+    return groups
+
+
 def check_types(name: str, where: WhereClause, df: DataFrame) -> None:
     """Every argument is a value of its parameter's type, without coercion."""
     for at, (dtype, value) in enumerate(zip(placeholder_types(where, df), where.args)):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keygroup.names import quoted
-from keygroup.sources.tables import KeyedTable
+from keygroup.sources.tables import KeyedTable, declare_keys
 
 
 def write_clustered(table: KeyedTable, name: str, buckets: int, path: str | None = None) -> KeyedTable:
@@ -22,11 +22,7 @@ def write_clustered(table: KeyedTable, name: str, buckets: int, path: str | None
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
-    return KeyedTable.stored(
-        table.df.sparkSession,
-        name,
-        partition_key=table.partition_key,
-        clustering=table.clustering,
-        unique=table.unique,
-        require_keys=table.require_keys,
+    # The keys go into the catalog, so that other sessions need only the name.
+    return declare_keys(
+        table.df.sparkSession, name, table.partition_key, table.clustering, table.unique, table.require_keys
     )

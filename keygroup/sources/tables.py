@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import cached_property, reduce
@@ -67,10 +68,13 @@ class KeyedTable:
 
     @classmethod
     def stored(cls, spark: SparkSession, relation: str, **keys: Any) -> KeyedTable:
-        """Declare the keys of a table or view that the session knows by name.
+        """A table or view that the session knows by name, with its keys.
 
+        Keys that are not given are those that ``declare_keys`` has put into the catalog.
         If the table is bucketed by its partition key, groups may be read in place.
         """
+        if not keys.get("partition_key"):
+            keys = {**declared_keys(spark, relation, keys.get("rename")), **keys}
         named = cls.of(spark.table(relation), **keys)
         described = [tuple(r)[:2] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {relation}").collect()]
         heads = [i for i, (name, _) in enumerate(described) if name.startswith("# Detailed")]
@@ -151,7 +155,7 @@ class Catalog:
         return self._add_later(keyspace, table, load)
 
     def add_table(self, keyspace: str, table: str, relation: str, **keys: Any) -> Catalog:
-        """Register a table or view that the session knows by name."""
+        """Register a table or view that the session knows by name; without keys, by its declared ones."""
         return self._add_later(keyspace, table, lambda: KeyedTable.stored(self.spark, relation, **keys))
 
     def _add_later(self, keyspace: str, table: str, load: Callable[[], KeyedTable]) -> Catalog:
@@ -173,5 +177,41 @@ class Catalog:
         return found
 
 
+# The property of a table under which its keys are kept.
+_PROPERTY = "keygroup.keys"
+
+
+def declare_keys(
+    spark: SparkSession,
+    relation: str,
+    partition_key: str | Sequence[str],
+    clustering: str | Sequence[str] = (),
+    unique: bool = False,
+    require_keys: bool = False,
+) -> KeyedTable:
+    """Keep the keys of a stored table in the catalog, as a property of the table.
+
+    They are checked against its columns here, and again whenever the table is opened.
+    """
+    keys = dict(
+        partition_key=_names(partition_key), clustering=_names(clustering), unique=unique, require_keys=require_keys
+    )
+    KeyedTable.of(spark.table(relation), **keys)
+    text = json.dumps(keys).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {relation} SET TBLPROPERTIES ('{_PROPERTY}' = '{text}')")
+    return KeyedTable.stored(spark, relation)
+
+
+def declared_keys(spark: SparkSession, relation: str, rename: Mapping[str, str] | None = None) -> dict[str, Any]:
+    """The keys that the catalog holds for a table, under their new names; an error if there are none."""
+    found = dict(tuple(row)[:2] for row in spark.sql(f"SHOW TBLPROPERTIES {relation}").collect())
+    if _PROPERTY not in found:
+        raise JobError(f"no keys are declared for {relation}; name them or use declare_keys")
+    keys = json.loads(found[_PROPERTY])
+    for kind in ("partition_key", "clustering"):
+        keys[kind] = tuple((rename or {}).get(c, c) for c in keys[kind])
+    return keys
+
+
 def _names(value: str | Sequence[str]) -> tuple[str, ...]:
     return (value,) if isinstance(value, str) else tuple(value)

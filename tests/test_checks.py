@@ -211,6 +211,19 @@ def test_every_placeholder_has_a_type(typed, clause, right, wrong):
     refused(catalog, spec("typed", where=WhereClause(clause, (wrong,))), match="cannot bind")
 
 
+def test_a_long_list_is_analysed_as_one_parameter(typed, monkeypatch):
+    catalog, _ = typed
+    analysed = []
+    sql = type(catalog.spark).sql
+    monkeypatch.setattr(type(catalog.spark), "sql", lambda self, *a, **k: analysed.append(a) or sql(self, *a, **k))
+    marks = ", ".join("?" * 200)
+    clause = f"abs(l) IN ({marks}) AND abs(l) IN(?,?) AND coalesce(?, ?) = l"
+    found = scan(catalog, spec("typed", "k", where=WhereClause(clause, (*range(-198, 2), 1, 2, 2, 3))), tokenizer=None)
+    assert found.columns == ["k"] and len(analysed) < 200
+    wrong = WhereClause(f"abs(l) IN ({marks})", (*range(199), "x"))
+    refused(catalog, spec("typed", where=wrong), match="parameter 200")
+
+
 def test_parameters_of_other_forms_find_their_rows(typed):
     catalog, values = typed
     where = WhereClause("? = l AND f + 0 <= ? AND tn >= ? /* late */ AND (t LIKE ?) -- end", (2, 0.5, values["tn"], "a%"))
