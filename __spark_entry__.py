@@ -23,6 +23,7 @@ from keygroup import (
     KeyedTable,
     MultiQuery,
     QuerySpec,
+    SliceProfile,
     SlicedTable,
     TokenFiles,
     TokenRanges,
@@ -55,6 +56,8 @@ TEXT_PAGE_ROWS, TEXT_PAGE_BYTES = 500, 1_000_000
 # Ranges of tokens with odd ends, a wide one, a narrow one and one of a single token among them.
 TOKEN_CUTS = [(10**17 + 7, 4 * 10**17), (4 * 10**17 + 1, 4 * 10**17 + 10**13), (0, 123_456_789_012_345_678), (5, 5)]
 BYTE_SLICES = 4
+# Enough to sample every key of a slice, so that the figures are exact.
+SAMPLED_KEYS = 1_000_000
 # Sum of line numbers above which a supplier is heavy.
 HEAVY_ROWS = 2_400
 
@@ -455,6 +458,16 @@ def q_slice_profile(spark, sf_dir):
     return slice_profile(tables(spark, sf_dir).lookup("sales", "lines"), SLICES, MD5_60)
 
 
+def q_slice_profile_sums(spark, sf_dir):
+    """Rows, keys and the median group of every slice, added up from summaries of two halves of the lines."""
+    lines = tables(spark, sf_dir).lookup("sales", "lines")
+    halves = (
+        SliceProfile.of(KeyedTable.of(lines.df.where(half), "orderkey"), SLICES, MD5_60, SAMPLED_KEYS)
+        for half in ("l_linenumber % 2 = 0", "l_linenumber % 2 = 1")
+    )
+    return next(halves).merge(*halves).report().select("slice", "n_rows", "n_keys", "size_50")
+
+
 def q_slice_backfill(spark, sf_dir):
     """One aggregate per slice, each reading the files of its slice only."""
     lines = KeyedTable.of(tables(spark, sf_dir).lookup("sales", "lines").df.select("orderkey", "l_partkey"), "orderkey")
@@ -842,6 +855,11 @@ def _own_sql() -> dict[str, str]:
                    max(n) AS largest_group
             FROM (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY k)
             GROUP BY slice""",
+        "q_slice_profile_sums": f"""
+            SELECT {_slice_sql(_token_sql('k'))} AS slice, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,
+                   list_sort(list(n))[CAST(ceil(count(*) / 2) AS BIGINT)] AS size_50
+            FROM (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY k)
+            GROUP BY slice""",
         "q_slice_backfill": f"""
             SELECT {_slice_sql(line_token)} AS slice, count(*) AS n_rows,
                    CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey, CAST(sum(l_partkey) AS BIGINT) AS sum_partkey
