@@ -24,8 +24,8 @@ from keygroup.llm.common import others
 from keygroup.names import quoted
 
 ROUNDS = 8
-# Tries until a permuted value is valid again; one try in four, at worst, is not enough.
-WALK = 40
+# Tries until a permuted value is valid again; one try in two, at worst, is not enough.
+WALK = 400
 DIGITS = "0123456789"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyz"
 # Letters that one round of a network draws numbers for, twice.
@@ -75,8 +75,9 @@ def _each(value: Column, step) -> Column:
     return F.array_join(F.transform(places, step), "")
 
 
-def feistel(value: Column, key: str, tweak: str | Column, alphabet: str = DIGITS) -> Column:
+def feistel(value: Column, key: str, tweak: str | Column, alphabet: str | Column = DIGITS) -> Column:
     """A keyed permutation of the texts of one length over ``alphabet`` (up to 64 characters)."""
+    letters = F.lit(alphabet) if isinstance(alphabet, str) else alphabet
     half = F.floor(F.length(value) / 2).cast("int")
     state = F.struct(
         F.substring(value, F.lit(1), half).alias("a"),
@@ -85,10 +86,11 @@ def feistel(value: Column, key: str, tweak: str | Column, alphabet: str = DIGITS
 
     def turn(s: Column, i: Column) -> Column:
         seed = F.concat_ws("|", F.lit(key), F.lit(tweak), F.length(value).cast("string"), i.cast("string"), s["b"])
+
         def shifted(noise: Column, j: Column) -> Column:
             drawn = F.conv(F.substring(noise, 2 * j - 1, F.lit(2)), 16, 10).cast("int")
-            old = F.position(_at(s["a"], j), F.lit(alphabet)) - 1
-            return _at(F.lit(alphabet), (old + drawn) % len(alphabet) + 1)
+            old = F.position(_at(s["a"], j), letters) - 1
+            return _at(letters, (old + drawn) % F.length(letters) + 1)
 
         noise = F.sha2(F.encode(seed, "utf-8"), 256)
         added = _let(noise, lambda n: _each(s["a"], lambda j: shifted(n, j)))
@@ -109,17 +111,40 @@ def _filled(form: Column, characters: Column, kept: str = r"[^0-9]") -> Column:
     return _let(characters, lambda new: _each(form, lambda i: place(new, i)))
 
 
-def _walked(number: Column, width: int, key: str, tweak: str, valid: Callable[[Column], Column]) -> Column:
-    """A permutation of the ``valid`` numbers, which have ``width`` digits at most."""
-    start = F.struct(F.lpad(number.cast("string"), width, "0").alias("d"), F.lit(False).alias("done"))
+def _job(body: Column, tweak: str | Column, alphabet: str = DIGITS, rule: str | Column = "") -> Column:
+    """A text to be permuted, under its tweak, until the result is valid by the rule."""
+    return F.struct(
+        body.alias("body"), F.lit(tweak).alias("tweak"), F.lit(alphabet).alias("alphabet"), F.lit(rule).alias("rule")
+    )
+
+
+def _permuted(job: Column, key: str) -> Column:
+    """The permuted text of a job: the one place where the network stands in a plan.
+
+    Where only some texts are valid, the network goes on from its result until it is,
+    which is a permutation of the valid ones. Should ``WALK`` tries not do, that is an error.
+    """
+
+    def valid(d: Column) -> Column:
+        n = d.cast("bigint")
+        return (
+            F.when(job["rule"] == "ssn", n < SSN_AREAS * 99 * 9999)
+            .when(job["rule"] == "date", n < DAYS)
+            # The result keeps its day above 12, lest it be the same as the result of another date.
+            .when(job["rule"] == "months first", (n < DAYS) & (F.day(_from_day(n)) > 12))
+            .otherwise(F.lit(True))
+        )
 
     def step(s: Column, _: Column) -> Column:
         further = _let(
-            feistel(s["d"], key, tweak), lambda d: F.struct(d.alias("d"), valid(d.cast("bigint")).alias("done"))
+            feistel(s["d"], key, job["tweak"], job["alphabet"]), lambda d: F.struct(d.alias("d"), valid(d).alias("done"))
         )
         return F.when(s["done"], s).otherwise(further)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, step, lambda s: s["d"].cast("bigint"))
+    tries = F.sequence(F.lit(1), F.when(job["rule"] == "", 1).otherwise(WALK))
+    start = F.struct(job["body"].alias("d"), F.lit(False).alias("done"))
+    failed = F.raise_error(F.lit("no valid pseudonym was found"))
+    return F.aggregate(tries, start, step, lambda s: F.when(s["done"], s["d"]).otherwise(failed))
 
 
 # -- kinds ------------------------------------------------------------------------
@@ -136,15 +161,14 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
-def _card(value: Column, key: str) -> Column:
+def _card_body(value: Column) -> Column:
     digits = _digits(value)
+    return F.substring(digits, F.lit(1), F.length(digits) - 1)
 
-    def checked(body: Column) -> Column:
-        check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-        return F.concat(body, check.cast("string"))
 
-    body = feistel(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    return _filled(value, _let(body, checked))
+def _card(value: Column, moved: Column) -> Column:
+    check = (10 - luhn_sum(F.concat(moved, F.lit("0"))) % 10) % 10
+    return _filled(value, F.concat(moved, check.cast("string")))
 
 
 def iban_rest(value: Column) -> Column:
@@ -158,60 +182,93 @@ def iban_rest(value: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
 
 
-def _iban(value: Column, key: str) -> Column:
+def _account(value: Column) -> Column:
     plain = F.regexp_replace(value, " ", "")
-    account = F.substring(plain, F.lit(5), F.length(plain))
-    account = _filled(account, feistel(_digits(account), key, "iban"))
-    country = F.substring(plain, 1, 2)
+    return F.substring(plain, F.lit(5), F.length(plain))
+
+
+def _iban(value: Column, moved: Column) -> Column:
+    country = F.substring(value, 1, 2)
 
     def checked(a: Column) -> Column:
         check = F.lpad((98 - iban_rest(F.concat(country, F.lit("00"), a))).cast("string"), 2, "0")
         return F.concat(country, check, a)
 
-    return _filled(value, _let(account, checked), " ")
+    return _filled(value, _let(_filled(_account(value), moved), checked), " ")
 
 
-def _phone(value: Column, key: str) -> Column:
-    country = F.regexp_extract(value, r"^\+\d{1,3}", 0)
-    rest = F.substring(value, F.length(country) + 1, F.length(value))
-    return F.concat(country, _filled(rest, feistel(_digits(rest), key, "phone")))
+def _country(value: Column) -> Column:
+    return F.regexp_extract(value, r"^\+\d{1,3}", 0)
 
 
-def _mail(value: Column, key: str) -> Column:
-    # The last label stays.
+def _behind_country(value: Column) -> Column:
+    return F.substring(value, F.length(_country(value)) + 1, F.length(value))
+
+
+def _phone(value: Column, moved: Column) -> Column:
+    return F.concat(_country(value), _filled(_behind_country(value), moved))
+
+
+_KEPT = r"[^0-9a-z]"
+
+
+def _mail_parts(value: Column) -> Column:
+    """Name and domain of an address, without its last label, which stays."""
     lower = F.lower(value)
     top = F.regexp_extract(lower, r"\.[^.]*$", 0)
     name = F.substring_index(lower, "@", 1)
     domain = F.substring(lower, F.length(name) + 1, F.length(lower) - F.length(name) - F.length(top))
-    return F.concat(_lettered(name, key, "mail"), _lettered(domain, key, "domain"), top)
+    return F.array(
+        F.struct(name.alias("text"), F.lit("mail").alias("tweak")), F.struct(domain.alias("text"), F.lit("domain").alias("tweak"))
+    )
 
 
-def _lettered(part: Column, key: str, tweak: str) -> Column:
-    """``part`` with its letters and digits permuted, those of ``ALPHABET`` apart from others.
+def _n_blocks(part: Column) -> Column:
+    plain = F.regexp_replace(part["text"], _KEPT, "")
+    return F.greatest(F.lit(1), F.ceil(F.length(plain) / BLOCK).cast("int"))
 
-    Letters of ``SCRIPTS`` move within their own; the rest stay as they are.
-    """
-    kept = r"[^0-9a-z]"
-    far = F.regexp_replace(part, r"[\x00-\x7F]", "")
-    plain = F.regexp_replace(part, kept, "")
-    own = F.when(far == "", F.lit(tweak)).otherwise(F.concat(F.lit(f"{tweak}|"), far))
 
-    def block(i: Column) -> Column:
-        # A later block is keyed by those before it.
-        start = i * BLOCK
-        chained = F.when(i == 0, own).otherwise(F.concat(own, F.lit("|"), F.substring(plain, F.lit(1), start)))
-        return feistel(F.substring(plain, start + 1, F.lit(BLOCK)), key, chained, ALPHABET)
+def _mail_jobs(value: Column) -> Column:
+    """Letters and digits of either part, in blocks; a later block is keyed by those before it."""
+
+    def blocks(part: Column) -> Column:
+        far = F.regexp_replace(part["text"], r"[\x00-\x7F]", "")
+        own = F.when(far == "", part["tweak"]).otherwise(F.concat(part["tweak"], F.lit("|"), far))
+
+        def block(plain: Column, i: Column) -> Column:
+            chained = F.when(i == 0, own).otherwise(F.concat(own, F.lit("|"), F.substring(plain, F.lit(1), i * BLOCK)))
+            return _job(F.substring(plain, i * BLOCK + 1, F.lit(BLOCK)), chained, ALPHABET)
 
-    last = F.greatest(F.lit(0), F.ceil(F.length(plain) / BLOCK).cast("int") - 1)
-    permuted = F.array_join(F.transform(F.sequence(F.lit(0), last), block), "")
-    moved = F.when(far == "", part).otherwise(_each(part, lambda i: _moved(part, i, key, tweak)))
-    return _filled(moved, permuted, kept)
+        plain = F.regexp_replace(part["text"], _KEPT, "")
+        places = F.sequence(F.lit(0), _n_blocks(part) - 1)
+        return _let(plain, lambda p: F.transform(places, lambda i: block(p, i)))
 
+    return F.flatten(F.transform(_mail_parts(value), blocks))
 
-def _moved(part: Column, i: Column, key: str, tweak: str) -> Column:
+
+def _mail(value: Column, moved: Column, key: str) -> Column:
+    """The address from its permuted blocks. Letters of ``SCRIPTS`` move within their own; the rest stay."""
+
+    def rebuilt(parts: Column) -> Column:
+        first = _n_blocks(parts[0])
+
+        def part(p: Column, i: Column) -> Column:
+            own = F.when(i == 0, F.slice(moved, 1, first)).otherwise(F.slice(moved, first + 1, F.size(moved)))
+            shifted = F.when(p["text"].rlike(r"^[\x00-\x7F]*$"), p["text"]).otherwise(
+                _each(p["text"], lambda j: _moved(p["text"], j, key, p["tweak"]))
+            )
+            return _filled(shifted, F.array_join(own, ""), _KEPT)
+
+        return F.array_join(F.transform(parts, part), "")
+
+    top = F.regexp_extract(F.lower(value), r"\.[^.]*$", 0)
+    return F.concat(_let(_mail_parts(value), rebuilt), top)
+
+
+def _moved(part: Column, i: Column, key: str, tweak: Column) -> Column:
     """The character at a place, shifted within its script by what stands before it outside ASCII."""
     own, before = _at(part, i), F.regexp_replace(F.substring(part, F.lit(1), i - 1), r"[\x00-\x7F]", "")
-    seed = F.concat_ws("|", F.lit(key), F.lit(f"{tweak}-far"), i.cast("string"), before)
+    seed = F.concat_ws("|", F.lit(key), F.concat(tweak, F.lit("-far")), i.cast("string"), before)
     drawn = F.conv(F.substring(F.sha2(F.encode(seed, "utf-8"), 256), 1, 8), 16, 10).cast("bigint")
     code, result = F.ascii(own), own
     for first, last in SCRIPTS:
@@ -221,19 +278,22 @@ def _moved(part: Column, i: Column, key: str, tweak: str) -> Column:
     return result
 
 
-def _ssn(value: Column, key: str) -> Column:
+def _ssn_number(value: Column) -> Column:
     digits = _digits(value)
     area = F.substring(digits, 1, 3).cast("bigint")
     index = area - F.when(area > 666, 2).otherwise(1)
     index = (index * 99 + F.substring(digits, 4, 2).cast("bigint") - 1) * 9999 + F.substring(digits, 6, 4).cast("bigint") - 1
+    return F.lpad(index.cast("string"), 9, "0")
+
 
+def _ssn(moved: Column) -> Column:
     def written(n: Column) -> Column:
         area = F.floor(n / (99 * 9999)).cast("bigint")
         area = area + F.when(area >= 665, 2).otherwise(1)
         group, serial = F.floor(n / 9999).cast("bigint") % 99 + 1, n % 9999 + 1
         return F.format_string("%03d-%02d-%04d", area, group, serial)
 
-    return _let(_walked(index, 9, key, "ssn", lambda n: n < SSN_AREAS * 99 * 9999), written)
+    return _let(moved.cast("bigint"), written)
 
 
 def _date_form(value: Column) -> Column:
@@ -244,7 +304,7 @@ def _date_form(value: Column) -> Column:
     )
 
 
-def _day(value: Column, form: str) -> Column:
+def _day(value: Column, form: str | Column) -> Column:
     return F.datediff(F.try_to_timestamp(value, F.lit(form)).cast("date"), F.lit(FIRST_DAY).cast("date"))
 
 
@@ -252,28 +312,26 @@ def _from_day(day: Column) -> Column:
     return F.date_add(F.lit(FIRST_DAY).cast("date"), day.cast("int"))
 
 
-def _date(value: Column, key: str) -> Column:
-    form = _date_form(value)
-    result = F.lit(None).cast("string")
-    for one in ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "dd.MM.yyyy"):
-        # Months stand first only where the day cannot be a month; the result keeps to that,
-        # lest it be the same as the result of another date.
-        def valid(n: Column, months_first: bool = one.startswith("MM")) -> Column:
-            return (n < DAYS) & ((F.day(_from_day(n)) > 12) if months_first else F.lit(True))
+def _date_job(value: Column) -> Column:
+    def job(form: Column) -> Column:
+        rule = F.when(form.startswith("MM"), "months first").otherwise("date")
+        return _job(F.lpad(_day(value, form).cast("string"), 5, "0"), F.substring(form, 1, 2), DIGITS, rule)
 
-        moved = _from_day(_walked(_day(value, one), 5, key, one[:2], valid))
-        result = F.when(form == one, F.date_format(moved, one)).otherwise(result)
-    return result
+    return _let(_date_form(value), job)
 
 
-def _ip(value: Column, key: str) -> Column:
-    hexadecimal = F.array_join(F.transform(F.split(value, r"\."), lambda o: F.lpad(F.hex(o.cast("bigint")), 2, "0")), "")
+def _date(value: Column, moved: Column) -> Column:
+    return F.call_function("date_format", _from_day(moved.cast("bigint")), _date_form(value))
 
-    def written(moved: Column) -> Column:
-        octet = lambda i: F.conv(F.substring(moved, 2 * i + 1, F.lit(2)), 16, 10)
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), octet), ".")
 
-    return _let(feistel(F.lower(hexadecimal), key, "ip", ALPHABET[:16]), written)
+def _ip_body(value: Column) -> Column:
+    octets = F.transform(F.split(value, r"\."), lambda o: F.lpad(F.hex(o.cast("bigint")), 2, "0"))
+    return F.lower(F.array_join(octets, ""))
+
+
+def _ip(moved: Column) -> Column:
+    octet = lambda i: F.conv(F.substring(moved, 2 * i + 1, F.lit(2)), 16, 10)
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), octet), ".")
 
 
 def kind_of(value: Column) -> Column:
@@ -294,11 +352,34 @@ def kind_of(value: Column) -> Column:
 
 
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
-    makers = dict(email=_mail, iban=_iban, ssn=_ssn, date=_date, phone=_phone, card=_card, ip=_ip)
-    result = value
-    for name, make in makers.items():
-        result = F.when(kind == name, make(value, key)).otherwise(result)
-    return result
+    """The pseudonym of a match of ``kind``; the match itself where that is null.
+
+    What is to be permuted is laid out first, for whatever kind, then permuted, and then
+    the value is written anew in its form.
+    """
+    jobs = (
+        F.when(kind == "email", _mail_jobs(value))
+        .when(kind == "iban", F.array(_job(_digits(_account(value)), "iban")))
+        .when(kind == "ssn", F.array(_job(_ssn_number(value), "ssn", rule="ssn")))
+        .when(kind == "date", F.array(_date_job(value)))
+        .when(kind == "phone", F.array(_job(_digits(_behind_country(value)), "phone")))
+        .when(kind == "card", F.array(_job(_card_body(value), "card")))
+        .when(kind == "ip", F.array(_job(_ip_body(value), "ip", ALPHABET[:16])))
+    )
+
+    def written(moved: Column) -> Column:
+        one = moved[0]
+        return (
+            F.when(kind == "email", _mail(value, moved, key))
+            .when(kind == "iban", _iban(value, one))
+            .when(kind == "ssn", _ssn(one))
+            .when(kind == "date", _date(value, one))
+            .when(kind == "phone", _phone(value, one))
+            .when(kind == "card", _card(value, one))
+            .when(kind == "ip", _ip(one))
+        )
+
+    return F.when(kind.isNull(), value).otherwise(_let(F.transform(jobs, lambda job: _permuted(job, key)), written))
 
 
 ADDED = ("text", "found")
