@@ -82,13 +82,17 @@ def logistic(margin: np.ndarray) -> np.ndarray:
 def _selected(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Terms that tell the labels apart, the strongest first cut at ``MAX_TERMS``."""
     n1, n0 = max(1, labels.sum()), max(1, (1 - labels).sum())
-    # Counted some documents at a time, so that no long list of all terms is made.
-    in1, in0 = np.zeros(1 << TERM_BITS), np.zeros(1 << TERM_BITS)
-    for counts, own in ((in1, np.flatnonzero(labels == 1)), (in0, np.flatnonzero(labels == 0))):
-        for at in range(0, len(own), 500):
-            counts += np.bincount(np.concatenate([documents[i] for i in own[at : at + 500]]), minlength=len(counts))
-    found = np.flatnonzero(in1 + in0)
-    in1, in0 = in1[found], in0[found]
+    # Term and label in one number, sorted in place: four bytes an occurrence, and nothing
+    # the size of all possible terms.
+    both = np.concatenate([np.zeros(0, np.int32), *documents])
+    both *= 2
+    both += np.repeat(labels.astype(np.int32), [len(d) for d in documents])
+    both.sort()
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[: len(both)])
+    pairs, times = both[first], np.diff(np.append(first, len(both))).astype(float)
+    del both, first
+    found, place = np.unique(pairs >> 1, return_inverse=True)
+    in1, in0 = (np.bincount(place, np.where((pairs & 1) == one, times, 0), len(found)) for one in (1, 0))
     share = (in1 + in0) / (n1 + n0)
 
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
@@ -185,6 +189,7 @@ def train(documents: DataFrame, labels: DataFrame, **names) -> Machine:
     """
     rows = training_rows(documents, labels, **names).toArrow()
     ordered = sorted(zip(rows.column("terms").to_pylist(), rows.column("label").to_pylist()))
+    del rows
     return fit([np.frombuffer(t, np.int32) for t, _ in ordered], np.array([label for _, label in ordered]))
 
 
@@ -194,7 +199,8 @@ class Scorer:
     def __init__(self, machine: Machine):
         self.machine = machine
         self.place = {int(t): i for i, t in enumerate(machine.terms)}
-        self.known: dict[str, list[int]] = {}
+        # Most words have no known term, and share the one empty tuple.
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         known, place = self.known, self.place
@@ -207,7 +213,7 @@ class Scorer:
             for word in words(text):
                 places = known.get(word)
                 if places is None:
-                    places = known[word] = [place[t] for t in terms_of(word) if t in place]
+                    places = known[word] = tuple([place[t] for t in terms_of(word) if t in place])
                 if places:
                     found.update(places)
             index += sorted(found)
@@ -218,13 +224,13 @@ class Scorer:
 def without_toxic(df: DataFrame, machine: Machine, text_column: str = "text") -> DataFrame:
     """The rows whose texts score below 0.5, with all columns; null and empty texts score the bias."""
 
-    def run(stream: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("double")
+    def scored(stream: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(machine)
         for texts in stream:
             parts = [scorer(texts.iloc[at : at + 512].tolist()) for at in range(0, len(texts), 512)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-    scored = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
     return df.where(scored(F.col(quoted(text_column))) < 0.5)
 
 
