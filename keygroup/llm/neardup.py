@@ -47,7 +47,7 @@ CHUNK = 2_048
 NODE_BUCKETS = 1 << 20
 # Bytes of text in one block of a large part; a task gets two blocks.
 BLOCK_BYTES = 4_000_000
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _WORD = re.compile(r"\w+")
 _TABLE = 1 << 12
 
@@ -415,7 +415,9 @@ def near_duplicates(
     bands = banded(signed)
 
     parts = components(materialise(closest(bands), "near-pairs"), "near-parts")
-    links = searched(parts, texts, idf, least)
+    links = materialise(searched(parts, texts, idf, least), "near-links")
+    # The links are written, so the weights are of no more use.
+    idf.destroy()
     labels = components(links, "near-links")
 
     rows = df.select(
