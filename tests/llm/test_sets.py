@@ -367,4 +367,4 @@ def test_stages_keep_columns_named_like_their_own(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in registry.queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in registry.queries()) == list(range(1, 14))
