@@ -1,9 +1,11 @@
 """Token counts of a unigram model, with work shared between words that begin alike.
 
 A word's best segmentation maximises the sum of its pieces' scores; ties go to fewer
-pieces. The best score of a prefix does not depend on what follows, so distinct words
-are put in a trie, here walked in sorted order: each node, a prefix, gets its forward
-score and count once, from its ancestors, and a terminal keeps the count of its word.
+pieces. The best score of a prefix does not depend on what follows, so a task keeps the
+distinct words it meets in a trie: each node, a prefix, gets its forward score and its
+count once, from its ancestors, and the node of a word holds the count of the word. The
+trie is cut at short beginnings into subtrees; when it is full, those go that were not
+met for the longest time.
 """
 
 from __future__ import annotations
@@ -18,8 +20,12 @@ from pyspark.sql import DataFrame
 from keygroup.llm.common import picked
 
 SPACE = "▁"
-# Distinct words whose counts a task remembers; beyond it the memory starts anew.
-REMEMBERED = 500_000
+# Nodes of a task's trie; the subtrees left after a clearance have half as many.
+NODES = 1_000_000
+# Characters, the mark among them, that the words of a subtree share.
+TOP = 4
+# Longer words are counted along a window that is as long as the longest piece.
+LONGEST_WORD = 200
 
 
 def unigram_scores(model_path: str) -> tuple[dict[str, float], float]:
@@ -35,40 +41,93 @@ def unigram_scores(model_path: str) -> tuple[dict[str, float], float]:
     return pieces, -math.log(len(ids) + 2) - 1
 
 
-class WordCounts:
-    """Counts of pieces in words."""
+class Trie:
+    """Counts of pieces in words; remembers prefixes, in a bounded number of nodes.
 
-    def __init__(self, pieces: dict[str, float], byte_score: float):
+    A node is found by its prefix, and holds its forward score and count. So a word met
+    before takes one step, and a new one the steps back to its longest known prefix and
+    those ahead of it.
+    """
+
+    def __init__(self, pieces: dict[str, float], byte_score: float, nodes: int = 0):
         self.pieces, self.byte_score = pieces, byte_score
+        self.nodes = nodes or NODES
         self.longest = max(map(len, pieces), default=1)
         # Lengths of the pieces that end in a character, to try no others.
         lengths: dict[str, set[int]] = {}
         for piece in pieces:
             lengths.setdefault(piece[-1], set()).add(len(piece))
         self.lengths = {last: sorted(found) for last, found in lengths.items()}
+        # Subtrees by their beginning, and the round in which each was last met.
+        self.tops: dict[str, dict[str, tuple[float, int]]] = {}
+        self.met: dict[str, int] = {}
+        self.size = self.round = 0
+
+    def counts(self, words: Iterable[str]) -> dict[str, int]:
+        """Pieces of every word; all words are met before anything is forgotten."""
+        self.round += 1
+        tops, met, found = self.tops, self.met, {}
+        for word in words:
+            top = word[:TOP]
+            tree = tops.get(top)
+            if tree is None:
+                tree = tops[top] = {"": (0.0, 0)}
+                self.size += 1
+            met[top] = self.round
+            node = tree.get(word)
+            if node is not None:
+                found[word] = node[1]
+            else:
+                found[word] = self._grown(tree, word) if len(word) <= LONGEST_WORD else self.passed(word)
+        if self.size > self.nodes:
+            for top in sorted(met, key=met.__getitem__):
+                if self.size <= self.nodes // 2:
+                    break
+                self.size -= len(tops.pop(top))
+                del met[top]
+        return found
 
-    def count(self, words: Iterable[str]) -> dict[str, int]:
-        """Terminal counts of the trie of ``words``."""
-        score_of = self.pieces.get
-        found: dict[str, int] = {}
-        previous = ""
-        # Forward score and count of every prefix on the path to the current node.
-        scores, counts = [0.0], [0]
-        for word in sorted(words):
-            shared = 0
-            for a, b in zip(previous, word):
-                if a != b:
+    def _grown(self, tree: dict[str, tuple[float, int]], word: str) -> int:
+        """The count of a word that is no node yet, after adding the nodes that lead to it."""
+        score_of, lengths_of, byte_score = self.pieces.get, self.lengths.get, self.byte_score
+        known = len(word) - 1
+        while word[:known] not in tree:
+            known -= 1
+        best, fewest = tree[word[:known]]
+        for end in range(known + 1, len(word) + 1):
+            last = word[end - 1]
+            width = 1 if last < "\x80" else len(last.encode())
+            best, fewest = best + width * byte_score, fewest + width
+            for length in lengths_of(last, ()):
+                if length > end:
                     break
-                shared += 1
-            del scores[shared + 1 :], counts[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                last = word[end - 1]
+                score = score_of(word[end - length : end])
+                if score is not None:
+                    before, n = tree[word[: end - length]]
+                    score += before
+                    n += 1
+                    if score > best or (score == best and n < fewest):
+                        best, fewest = score, n
+            tree[word[:end]] = best, fewest
+        self.size += len(word) - known
+        return fewest
+
+    def passed(self, word: str) -> int:
+        """The count of a word of any length, a stretch at a time from the prefixes before it."""
+        scores, counts = [0.0], [0]
+        for start in range(0, len(word), LONGEST_WORD):
+            # Prefixes that no piece reaches back to are let go.
+            kept = min(len(scores), self.longest)
+            scores, counts = scores[-kept:], counts[-kept:]
+            text = word[start - kept + 1 : start + LONGEST_WORD]
+            for end in range(kept, len(text) + 1):
+                last = text[end - 1]
                 width = len(last.encode())
                 best, fewest = scores[end - 1] + width * self.byte_score, counts[end - 1] + width
                 for length in self.lengths.get(last, ()):
                     if length > end:
                         break
-                    score = score_of(word[end - length : end])
+                    score = self.pieces.get(text[end - length : end])
                     if score is not None:
                         score += scores[end - length]
                         n = counts[end - length] + 1
@@ -76,9 +135,7 @@ class WordCounts:
                             best, fewest = score, n
                 scores.append(best)
                 counts.append(fewest)
-            found[word] = counts[len(word)]
-            previous = word
-        return found
+        return counts[-1]
 
 
 def token_counts(
@@ -94,18 +151,14 @@ def token_counts(
     key = rows.schema["doc_id"].dataType.simpleString()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = WordCounts(*unigram_scores(model_path))
-        known: dict[str, int] = {}
+        trie = Trie(*unigram_scores(model_path))
         for whole in stream:
             for at in range(0, whole.num_rows, 512):
                 part = whole.slice(at, 512)
                 texts = [(t or "").split() for t in part.column(1).to_pylist()]
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = {word for text in texts for word in text if word not in known}
-                counts = counter.count([SPACE + word for word in new])
-                for word in new:
-                    known[word] = counts[SPACE + word]
+                words = set().union(*texts)
+                counts = trie.counts([SPACE + word for word in words])
+                known = {word: counts[SPACE + word] for word in words}
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

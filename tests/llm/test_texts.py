@@ -80,6 +80,20 @@ def test_token_counts_match_a_plain_segmentation(spark):
         assert (row.n_words, row.n_distinct) == (len(words), len(set(words)))
 
 
+def test_a_trie_forgets_and_counts_alike(monkeypatch):
+    rng = random.Random(12)
+    scores = tokencount.unigram_scores(MODEL)
+    words = ["▁" + "".join(rng.choice(["the", "in", "g", "é", "日", "x", "tion"]) for _ in range(rng.randrange(1, 9))) for _ in range(900)]
+    words += ["▁" + "abthe" * k for k in (39, 40, 41, 80, 81, 400)]
+    whole, small = tokencount.Trie(*scores), tokencount.Trie(*scores, nodes=500)
+    expected = whole.counts(words)
+    for at in range(0, len(words), 50):
+        assert small.counts(words[at : at + 50]) == {w: expected[w] for w in words[at : at + 50]}
+        assert small.size <= 500 and small.size == sum(map(len, small.tops.values()))
+    # Words of any length, along a window: what the trie would say.
+    assert all(whole.passed(w) == expected[w] for w in words) and max(map(len, words)) > tokencount.LONGEST_WORD
+
+
 # -- templates and chat -------------------------------------------------------------
 
 
