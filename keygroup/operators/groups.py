@@ -23,6 +23,8 @@ from keygroup.sources.token_files import TokenFiles
 from keygroup.workspace import delete, new_path
 
 DEFAULT_PAGE_ROWS = 10_000
+# Rows of a group that a task puts in order by itself, however small the pages are.
+TASK_ROWS = 10_000
 MERGE_FAN_IN = 1_000
 # Rows of results that are merged at a time, and of a batch that a function sees.
 MERGE_ROWS = 100_000
@@ -42,7 +44,9 @@ class KeyedGroups:
 
     The first form asked for counts rows, over the key columns alone, to learn whether
     any group needs several pages; the answer is kept for the rest. Where declared
-    primary keys bound the groups, nothing is counted.
+    primary keys bound the groups, nothing is counted. With pages smaller than ``TASK_ROWS``,
+    only the groups above that are looked for: the others, however many span several pages,
+    are cut into them by the task that has their key, in one shuffle.
 
     A function or expression over lists sees one page. What it needs beside every page,
     such as the header of many lines, is named by ``carry``: queries that have at most one
@@ -101,11 +105,36 @@ class KeyedGroups:
     @cached_property
     def hot(self) -> HotKeys | None:
         """Keys whose groups span several pages, or None."""
-        bounded = self._row_weight is None and all(self._shaped.single)
-        if bounded and len(self._shaped.single) <= self.page_rows:
+        if self._bounded:
             return None
         return find_hot_keys(self._shaped.rows, self._key_terms, self._page_weight, self._row_weight, self._paths)
 
+    @property
+    def _bounded(self) -> bool:
+        """Whether declared keys allow no group more rows than a page."""
+        return self._row_weight is None and all(self._shaped.single) and len(self._shaped.single) <= self.page_rows
+
+    @cached_property
+    def _large(self) -> HotKeys | None:
+        """Keys whose groups are cut into pages by several tasks, or None."""
+        if not self._cut:
+            return self.hot
+        return find_hot_keys(self._shaped.rows, self._key_terms, TASK_ROWS, None, self._paths)
+
+    @cached_property
+    def _cut(self) -> bool:
+        """Whether all other groups are cut into pages by the task that has their key.
+
+        Pages bounded by bytes are not: their groups may be few rows and yet too much for a task.
+        """
+        small_pages = self._row_weight is None and self.page_rows < TASK_ROWS
+        return small_pages and not self._bounded and not self._in_place
+
+    @property
+    def _several(self) -> bool:
+        """Whether groups may have several pages."""
+        return self._cut or self._large is not None
+
     @property
     def _in_place(self) -> bool:
         """Whether the rows of each group already lie together in a bucket.
@@ -117,27 +146,45 @@ class KeyedGroups:
 
     @property
     def _small_groups(self) -> DataFrame:
-        """Rows of the groups of one page."""
-        if self.hot is not None:
-            return self.hot.matches(self._shaped.rows, "left_anti")
+        """Rows of the groups that are not large."""
+        if self._large is not None:
+            return self._large.matches(self._shaped.rows, "left_anti")
         return self._shaped.in_place if self._in_place else self._shaped.rows
 
+    def _small_pages(self, carried: tuple[int, ...]) -> DataFrame:
+        """Rows of the groups that are not large with ``_page``, each carried row once per page."""
+        rows = self._small_groups
+        if not self._cut:
+            return rows.select("*", _first_page())
+        # One order serves both windows; the rows move to the tasks of their keys once.
+        group = Window.partitionBy(*self._key_terms).orderBy(*self._shaped.sort_terms)
+        own = ~F.col("_q").isin(*carried) if carried else F.lit(True)
+        before = F.count(F.when(own, True)).over(group.rowsBetween(Window.unboundedPreceding, -1))
+        paged = rows.withColumn("_page", F.floor(before / F.lit(self.page_rows)).cast("bigint"))
+        if not carried:
+            return paged
+        whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        zero = F.lit(0).cast("bigint")
+        last = F.coalesce(F.max(F.when(own, F.col("_page"))).over(whole), zero)
+        pages = F.when(own, F.array("_page")).otherwise(F.sequence(zero, F.col("_last")))
+        return paged.withColumn("_last", last).withColumn("_page", F.explode(pages)).drop("_last")
+
     def _numbered(self, carried: tuple[int, ...] = ()) -> DataFrame:
-        """Rows of the hot groups with ``_pos`` and ``_page``; carried queries have none."""
+        """Rows of the large groups with ``_pos`` and ``_page``; carried queries have none."""
         if carried not in self._numbered_without:
             shaped = self._shaped
             identified = None if shaped.unique else shaped.identified()
             distinct = [] if shaped.unique else None if identified is None else ["_rid"]
-            rows = self.hot.matches(shaped.rows if identified is None else identified, "left_semi")
+            rows = self._large.matches(shaped.rows if identified is None else identified, "left_semi")
             if carried:
                 rows = rows.where(~F.col("_q").isin(*carried))
-            placed = number_rows(rows, shaped.sort_terms, self.hot, distinct, self._row_weight, self._paths)
+            placed = number_rows(rows, shaped.sort_terms, self._large, distinct, self._row_weight, self._paths)
             paged = placed.withColumn("_page", F.expr(f"_before div {self._page_weight}")).drop("_before")
             self._numbered_without[carried] = paged
         return self._numbered_without[carried]
 
     def _hot_pages(self, carried: tuple[int, ...]) -> DataFrame:
-        """Rows of the hot groups with ``_page``, each carried row once per page."""
+        """Rows of the large groups with ``_page``, each carried row once per page."""
         numbered = self._numbered(carried).drop("_pos")
         if not carried:
             return numbered
@@ -147,13 +194,13 @@ class KeyedGroups:
             # rows alone has one as well.
             own = F.col("_n") - F.count("*").over(Window.partitionBy(*keys))
             last = F.greatest(F.ceil(own / F.lit(self._page_weight)).cast("bigint"), F.lit(1).cast("bigint")) - 1
-            paged = self.hot.with_numbers(rows).withColumn("_last", last)
+            paged = self._large.with_numbers(rows).withColumn("_last", last)
             paged = paged.withColumn("_page", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last"))))
             return numbered.unionByName(paged.select(*numbered.columns))
-        pages = numbered.select(*keys, "_page").unionByName(self.hot.table.select(*keys, _first_page())).distinct()
+        pages = numbered.select(*keys, "_page").unionByName(self._large.table.select(*keys, _first_page())).distinct()
         named = pages.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "_page")
         same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-        single = self.hot.matches(rows, "left_semi")
+        single = self._large.matches(rows, "left_semi")
         return numbered.unionByName(single.join(named, same).select(*numbered.columns))
 
     def _carried(self, carry: Sequence[int | QuerySpec]) -> tuple[int, ...]:
@@ -173,13 +220,12 @@ class KeyedGroups:
 
     def _paged(self, carried: tuple[int, ...] = ()) -> DataFrame:
         """All rows with ``_page``."""
-        if self.hot is None:
-            return self._small_groups.select("*", _first_page())
-        return self._small_groups.select("*", _first_page()).unionByName(self._hot_pages(carried))
+        small = self._small_pages(carried)
+        return small if self._large is None else small.unionByName(self._hot_pages(carried))
 
     @property
     def _page_terms(self) -> list[str]:
-        return self._key_terms if self.hot is None else [*self._key_terms, "_page"]
+        return [*self._key_terms, "_page"] if self._several else self._key_terms
 
     def presence(self) -> DataFrame:
         """One row per group: the key, and per query whether it has rows there.
@@ -225,15 +271,17 @@ class KeyedGroups:
     def _collect(self, carry: Sequence[int | QuerySpec], **lists: Column) -> DataFrame:
         # Lists do not shrink before the shuffle, so rows move first and are
         # collected once, instead of being collected on both sides of it. Rows that
-        # lie in buckets of their key need not move at all.
+        # lie in buckets of their key need not move at all, nor those that were cut into
+        # pages where their key is.
         carried = self._carried(carry)
         terms = self._page_terms
-        page = _first_page() if self.hot is None else F.col("_page")
-        rows = self._paged(carried)
-        if not self._in_place:
-            rows = rows.repartition(*terms)
-        groups = rows.groupBy(*terms).agg(*(c.alias(n) for n, c in lists.items()))
-        return groups.select(*self._key_columns, page, *lists)
+        page = F.col("_page") if self._several else _first_page()
+        rows = self._small_pages(carried)
+        parts = [rows if self._in_place or self._cut else rows.repartition(*self._key_terms)]
+        if self._large is not None:
+            parts.append(self._hot_pages(carried).repartition(*terms))
+        groups = [part.groupBy(*terms).agg(*(c.alias(n) for n, c in lists.items())) for part in parts]
+        return reduce(DataFrame.unionByName, groups).select(*self._key_columns, page, *lists)
 
     def fold(
         self,
@@ -260,7 +308,7 @@ class KeyedGroups:
         columns = [*self._key_columns, "_pos", "_q", *self._shaped.payloads]
         position = F.row_number().over(window).cast("bigint")
         small = self._small_groups.withColumn("_pos", position).select(*columns)
-        return small if self.hot is None else small.unionByName(self._numbered().select(*columns))
+        return small if self._large is None else small.unionByName(self._numbered().select(*columns))
 
     def sorted_slices(
         self, n: int, tokenizer: Tokenizer = XXHASH_64, style: str | None = None, uuids: Sequence[str] = ()
@@ -354,7 +402,7 @@ class KeyedGroups:
         def whole(pdf):
             return merge(function(pdf))
 
-        if self.hot is None:
+        if not self._several:
             return self._apply(self._paged(), whole, schema, partitions=partitions)
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         numbered = T.StructType([*schema.fields, T.StructField("_page", T.LongType())])
@@ -366,8 +414,11 @@ class KeyedGroups:
         def on_results(frames):
             return merged_in_order(frames, merge, keys, MERGE_ROWS)
 
-        merged = self._apply(self._hot_pages(carried), on_page, numbered, partitions=partitions)
-        pages = -(-self.hot.largest // self._page_weight)
+        # Small groups of several pages take the same way as large ones.
+        paged = self._paged(carried) if self._cut else self._hot_pages(carried)
+        merged = self._apply(paged, on_page, numbered, partitions=partitions)
+        largest = TASK_ROWS if self._large is None else self._large.largest
+        pages = -(-largest // self._page_weight)
         span = 1
         while True:
             span *= MERGE_FAN_IN
@@ -379,6 +430,8 @@ class KeyedGroups:
             if span >= pages:
                 break
 
+        if self._cut:
+            return merged.drop("_page")
         small = self._small_groups.select("*", _first_page())
         small = self._apply(small, whole, schema, one_page=True, partitions=partitions)
         return small.unionByName(merged.drop("_page"))
@@ -444,7 +497,7 @@ class KeyedGroups:
     ) -> DataFrame:
         # A constant page number would be dropped from the sort, and the rows would
         # be sorted once more without their order.
-        page = [] if one_page or self.hot is None else ["_page"]
+        page = [] if one_page or not self._several else ["_page"]
         terms = [*self._key_terms, *page]
         flat = [
             F.col(payload)[field.name].alias(f"{payload}_{field.name}")
