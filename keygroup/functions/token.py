@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from os.path import commonprefix
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,12 +22,17 @@ MAX_SLICES = (1 << 31) - 1
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """A token expression and the range of its values."""
+    """A token expression and the range of its values.
+
+    ``digits`` is a text that begins with the hexadecimal digits of the token, counted from
+    the lowest one, if there is one that costs less than the token itself.
+    """
 
     name: str
     expression: Callable[[Sequence[Column]], Column]
     bits: int
     low: int
+    digits: Callable[[Sequence[Column]], Column] | None = None
 
     @property
     def high(self) -> int:
@@ -41,6 +47,25 @@ class Tokenizer:
         # A null key has a token too, so that every row is in some slice.
         return F.coalesce(token, F.lit(self.low))
 
+    def within(self, low: int, high: int, *key: str | Column) -> Column:
+        """Whether the token of the key lies between ``low`` and ``high``, both included.
+
+        Where the token has digits, they are compared in its place, since their order is the same.
+        """
+        low, high = max(low, self.low), min(high, self.high)
+        if self.digits is None or low > high:
+            return self.column(*key).between(low, high)
+        digits = self.digits([F.col(k) if isinstance(k, str) else k for k in key])
+        first, last = (f"{token - self.low:0{self.bits // 4}x}" for token in (low, high))
+        shared = commonprefix([first, last])
+        if set(first[len(shared) :]) <= {"0"} and set(last[len(shared) :]) <= {"f"}:
+            inside = digits.startswith(shared)
+        else:
+            # Whatever follows the digits of the last token comes before this letter.
+            inside = digits.between(first, last + "g")
+        # A null key has the lowest token.
+        return F.coalesce(inside, F.lit(low == self.low))
+
     def bounds(self, n: int) -> list[tuple[int, int]]:
         """``n`` gap-free, disjoint slices, inclusive at both ends."""
         _check_count(n)
@@ -104,15 +129,19 @@ def _xxhash(key: Sequence[Column]) -> Column:
     return F.xxhash64(*key)
 
 
-def _md5_60(key: Sequence[Column]) -> Column:
+def _md5(key: Sequence[Column]) -> Column:
     text = F.concat_ws("\x1f", *[k.cast("string") for k in key]) if len(key) > 1 else key[0].cast("string")
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    return F.md5(text)
+
+
+def _md5_60(key: Sequence[Column]) -> Column:
+    return F.conv(F.substring(_md5(key), 1, 15), 16, 10).cast("bigint")
 
 
 XXHASH_64 = Tokenizer("xxhash64", _xxhash, bits=64, low=-(1 << 63))
 """The default: one built-in call over the whole signed 64-bit range."""
 
-MD5_60 = Tokenizer("md5_60", _md5_60, bits=60, low=0)
+MD5_60 = Tokenizer("md5_60", _md5_60, bits=60, low=0, digits=_md5)
 """The first 60 bits of the key's MD5, for tokens that other engines must reproduce."""
 
 

@@ -26,7 +26,8 @@ def with_token(table: KeyedTable, tokenizer: Tokenizer = XXHASH_64) -> DataFrame
 
 def read_slice(table: KeyedTable, low: int, high: int, tokenizer: Tokenizer = XXHASH_64) -> DataFrame:
     """Rows whose token lies in the slice, both ends included."""
-    return with_token(table, tokenizer).where(F.col(TOKEN).between(low, high))
+    key = key_columns(table.partition_key, table.df.schema)
+    return with_token(table, tokenizer).where(tokenizer.within(low, high, *key))
 
 
 def iterate_slices(

@@ -18,6 +18,8 @@ from keygroup.workspace import delete
 
 # Spark's listing of a table passes over names that begin with an underscore.
 _NOTE = "_keygroup"
+# So that the tasks that read a slice are as many as its rows ask for.
+ROWS_PER_FILE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,8 @@ class SlicedTable:
         spark = table.df.sparkSession
         token = tokenizer.column(*key_columns(table.partition_key, table.df.schema))
         sliced = table.rows.withColumn(SLICE, tokenizer.slice_of(token, n))
-        sliced.hint("rebalance", F.col(SLICE)).write.partitionBy(SLICE).parquet(path)
+        spread = sliced.hint("rebalance", F.col(SLICE))
+        spread.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(SLICE).parquet(path)
         schema = T.StructType([*table.df.schema.fields, T.StructField(SLICE, T.IntegerType())])
         # The folders tell which slices there are; no file has to be opened.
         present = spark.read.schema(schema).parquet(path).select(SLICE).distinct().collect()
