@@ -3,9 +3,8 @@
 A word's best segmentation maximises the sum of its pieces' scores; ties go to fewer
 pieces. The best score of a prefix does not depend on what follows, so a task keeps the
 distinct words it meets in a trie: each node, a prefix, gets its forward score and its
-count once, from its ancestors, and the node of a word holds the count of the word. The
-trie is cut at short beginnings into subtrees; when it is full, those go that were not
-met for the longest time.
+count once, from its ancestors, and the node of a word holds the count of the word. When
+the trie is full, the subtrees go that were not met for the longest time.
 """
 
 from __future__ import annotations
@@ -13,17 +12,23 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
 from keygroup.llm.common import picked
+from keygroup.llm.numbered import Numbered, alike_long, code_points, utf8_width
 
 SPACE = "▁"
-# Nodes of a task's trie; the subtrees left after a clearance have half as many.
+# Nodes of a task's trie; half as many are left after a clearance.
 NODES = 1_000_000
-# Characters, the mark among them, that the words of a subtree share.
+# Characters, the mark among them, that the nodes of a subtree share.
 TOP = 4
+# Words that go down the trie side by side, times their length.
+FRAME = 1_000_000
+# Bits of a character in the key of a node.
+_CHARACTER = 21
 # Longer words are counted along a window that is as long as the longest piece.
 LONGEST_WORD = 200
 
@@ -41,12 +46,29 @@ def unigram_scores(model_path: str) -> tuple[dict[str, float], float]:
     return pieces, -math.log(len(ids) + 2) - 1
 
 
+def _key(above: np.ndarray, points: np.ndarray) -> np.ndarray:
+    return above.astype(np.int64) << _CHARACTER | points
+
+
+def _below(tree: Numbered, above: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The nodes that one more character leads to, with those added, and where each of these is met first."""
+    keys = _key(above, points)
+    nodes = tree.find(keys)
+    missing = np.flatnonzero(nodes == 0)
+    if not len(missing):
+        return nodes, missing, missing
+    new, first, which = np.unique(keys[missing], return_index=True, return_inverse=True)
+    added = tree.add(new)
+    nodes[missing] = added[which]
+    return nodes, missing[first], added
+
+
 class Trie:
     """Counts of pieces in words; remembers prefixes, in a bounded number of nodes.
 
-    A node is found by its prefix, and holds its forward score and count. So a word met
-    before takes one step, and a new one the steps back to its longest known prefix and
-    those ahead of it.
+    A node is found by the one above it and its last character, and holds its forward
+    score and count. Words go down the trie side by side, a character a step; the nodes
+    that a step adds are scored together, along a trie of the pieces read backwards.
     """
 
     def __init__(self, pieces: dict[str, float], byte_score: float, nodes: int = 0):
@@ -58,59 +80,111 @@ class Trie:
         for piece in pieces:
             lengths.setdefault(piece[-1], set()).add(len(piece))
         self.lengths = {last: sorted(found) for last, found in lengths.items()}
-        # Subtrees by their beginning, and the round in which each was last met.
-        self.tops: dict[str, dict[str, tuple[float, int]]] = {}
-        self.met: dict[str, int] = {}
-        self.size = self.round = 0
+        self.endings = Numbered(len(pieces))
+        backwards = [piece[::-1] for piece in pieces]
+        points, sizes = code_points(backwards)
+        starts, at = np.cumsum(sizes) - sizes, np.zeros(len(backwards), np.int32)
+        for depth in range(self.longest if backwards else 0):
+            longer = np.flatnonzero(sizes > depth)
+            at[longer], _, _ = _below(self.endings, at[longer], points[starts[longer] + depth])
+        self.ending_score = np.full(self.endings.size + 1, -np.inf)
+        self.ending_score[at] = list(pieces.values())
+        # The root, node 0, is the empty prefix; no node is numbered before one above it.
+        self.tree = Numbered(min(self.nodes, 1 << 16))
+        self.score, self.count = np.zeros(1), np.zeros(1, np.int64)
+        # The round in which a node was last met, at least that of the nodes below it.
+        self.met = np.zeros(1, np.int64)
+        self.round = 0
+
+    @property
+    def size(self) -> int:
+        return self.tree.size
+
+    @property
+    def tops(self) -> dict[int, list[int]]:
+        """The nodes of every subtree, by its top; a node nearer to the root is a subtree by itself."""
+        top, depth, found = [0], [0], {}
+        for node, key in enumerate(self.tree.keys[1 : self.size + 1].tolist(), 1):
+            above = key >> _CHARACTER
+            depth.append(depth[above] + 1)
+            top.append(node if depth[node] <= TOP else top[above])
+            found.setdefault(top[node], []).append(node)
+        return found
 
     def counts(self, words: Iterable[str]) -> dict[str, int]:
-        """Pieces of every word; all words are met before anything is forgotten."""
-        self.round += 1
-        tops, met, found = self.tops, self.met, {}
-        for word in words:
-            top = word[:TOP]
-            tree = tops.get(top)
-            if tree is None:
-                tree = tops[top] = {"": (0.0, 0)}
-                self.size += 1
-            met[top] = self.round
-            node = tree.get(word)
-            if node is not None:
-                found[word] = node[1]
-            else:
-                found[word] = self._grown(tree, word) if len(word) <= LONGEST_WORD else self.passed(word)
-        if self.size > self.nodes:
-            for top in sorted(met, key=met.__getitem__):
-                if self.size <= self.nodes // 2:
-                    break
-                self.size -= len(tops.pop(top))
-                del met[top]
+        """Pieces of every word."""
+        words = list(words)
+        return dict(zip(words, self.counted(words).tolist()))
+
+    def counted(self, words: list[str]) -> np.ndarray:
+        """Pieces of every word, in order; a frame of words is met before anything is forgotten."""
+        found = np.zeros(len(words), np.int64)
+        if not words:
+            return found
+        points, lengths = code_points(words)
+        starts = np.cumsum(lengths) - lengths
+        long = lengths > LONGEST_WORD
+        for i in np.flatnonzero(long):
+            found[i] = self.passed(words[i])
+        short = np.flatnonzero(~long)
+        for frame in alike_long(lengths[short], FRAME):
+            frame = short[frame]
+            self.round += 1
+            ends = self._met(points, starts[frame], lengths[frame])
+            found[frame] = self.count[ends]
+            if self.size > self.nodes:
+                self._forget()
         return found
 
-    def _grown(self, tree: dict[str, tuple[float, int]], word: str) -> int:
-        """The count of a word that is no node yet, after adding the nodes that lead to it."""
-        score_of, lengths_of, byte_score = self.pieces.get, self.lengths.get, self.byte_score
-        known = len(word) - 1
-        while word[:known] not in tree:
-            known -= 1
-        best, fewest = tree[word[:known]]
-        for end in range(known + 1, len(word) + 1):
-            last = word[end - 1]
-            width = 1 if last < "\x80" else len(last.encode())
-            best, fewest = best + width * byte_score, fewest + width
-            for length in lengths_of(last, ()):
-                if length > end:
-                    break
-                score = score_of(word[end - length : end])
-                if score is not None:
-                    before, n = tree[word[: end - length]]
-                    score += before
-                    n += 1
-                    if score > best or (score == best and n < fewest):
-                        best, fewest = score, n
-            tree[word[:end]] = best, fewest
-        self.size += len(word) - known
-        return fewest
+    def _met(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The nodes of words of falling length, after adding those that are missing."""
+        path = np.zeros((int(lengths[0]) + 1, len(lengths)), np.int32)
+        for depth in range(1, len(path)):
+            n = int(np.count_nonzero(lengths >= depth))
+            nodes, first, added = _below(self.tree, path[depth - 1, :n], points[starts[:n] + depth - 1])
+            if len(added):
+                self._scored(path, points, starts[first] + depth - 1, depth, first)
+            path[depth, :n] = nodes
+        self.met[path] = self.round
+        return path[lengths, np.arange(len(lengths))]
+
+    def _scored(self, path: np.ndarray, points: np.ndarray, at: np.ndarray, depth: int, words: np.ndarray) -> None:
+        """Scores and counts of the newest nodes: the ends, at ``depth``, of beginnings of these words.
+
+        ``at`` has the places of their last characters.
+        """
+        above = path[depth - 1, words]
+        width = utf8_width(points[at])
+        best, fewest = self.score[above] + width * self.byte_score, self.count[above] + width
+        # Which of the nodes some piece may still reach back from, and how it ends.
+        left, ending = np.arange(len(words)), np.zeros(len(words), np.int32)
+        for length in range(1, min(depth, self.longest) + 1):
+            ending = self.endings.find(_key(ending, points[at]))
+            alive = np.flatnonzero(ending)
+            if not len(alive):
+                break
+            left, ending, at = left[alive], ending[alive], at[alive] - 1
+            before = path[depth - length, words[left]]
+            score, n = self.ending_score[ending] + self.score[before], self.count[before] + 1
+            better = (score > best[left]) | ((score == best[left]) & (n < fewest[left]))
+            best[left[better]], fewest[left[better]] = score[better], n[better]
+        end = self.size + 1
+        if end > len(self.score):
+            room = 2 * end
+            self.score, self.count, self.met = (np.resize(x, room) for x in (self.score, self.count, self.met))
+        self.score[end - len(words) : end], self.count[end - len(words) : end] = best, fewest
+
+    def _forget(self) -> None:
+        """Half of the nodes stay: those met last and, of one round, those nearer to the root."""
+        old = slice(1, self.size + 1)
+        # The nodes above one come before it in this order, so all of them stay with it.
+        kept = 1 + np.sort(np.argsort(-self.met[old], kind="stable")[: self.nodes // 2])
+        now = np.zeros(self.size + 1, np.int64)
+        now[kept] = np.arange(1, len(kept) + 1)
+        keys = self.tree.keys[kept]
+        self.tree.renew(_key(now[keys >> _CHARACTER], keys & ((1 << _CHARACTER) - 1)))
+        for values in (self.score, self.count, self.met):
+            values[1 : len(kept) + 1] = values[kept]
 
     def passed(self, word: str) -> int:
         """The count of a word of any length, a stretch at a time from the prefixes before it."""
@@ -156,9 +230,8 @@ def token_counts(
             for at in range(0, whole.num_rows, 512):
                 part = whole.slice(at, 512)
                 texts = [(t or "").split() for t in part.column(1).to_pylist()]
-                words = set().union(*texts)
-                counts = trie.counts([SPACE + word for word in words])
-                known = {word: counts[SPACE + word] for word in words}
+                words = list(set().union(*texts))
+                known = dict(zip(words, trie.counted([SPACE + word for word in words]).tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),

@@ -94,6 +94,33 @@ def test_a_trie_forgets_and_counts_alike(monkeypatch):
     assert all(whole.passed(w) == expected[w] for w in words) and max(map(len, words)) > tokencount.LONGEST_WORD
 
 
+def test_words_go_down_the_trie_side_by_side(monkeypatch):
+    scores = tokencount.unigram_scores(MODEL)
+    rng = random.Random(13)
+    words = ["▁" + "".join(rng.choice("aethn日é") for _ in range(11)) for _ in range(3000)] + ["▁", "", "▁a", "▁a"]
+    whole = tokencount.Trie(*scores)
+    expected = whole.counts(words)
+    assert expected == {w: whole.passed(w) if w else 0 for w in words}
+    # As many lookups for few words as for many.
+    asked = []
+    for some in (words[:30], words):
+        trie, calls = tokencount.Trie(*scores), []
+        monkeypatch.setattr(trie.tree, "find", lambda keys, find=trie.tree.find: calls.append(0) or find(keys))
+        assert trie.counts(some) == {w: expected[w] for w in some}
+        asked.append(len(calls))
+    assert asked == [12, 12]
+    # A frame of words at a time is all that the trie holds above its bound.
+    monkeypatch.setattr(tokencount, "FRAME", 600)
+    small, most = tokencount.Trie(*scores, nodes=1000), []
+    monkeypatch.setattr(small.tree, "add", lambda keys, add=small.tree.add: most.append(small.size + len(keys)) or add(keys))
+    assert small.counts(words) == expected and max(most) <= 1600 and small.size <= 1000
+    # What was met last stays, with all that leads to it.
+    small.counts(["▁kept"] * 40 + words[:40])
+    before = small.size
+    small.counts(["▁kept"])
+    assert small.size == before
+
+
 # -- templates and chat -------------------------------------------------------------
 
 
