@@ -32,7 +32,9 @@ class Numbered:
         self._place(np.arange(1, self.size + 1, dtype=np.int32))
 
     def _first(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * _ODD) >> np.uint64(64 - self._bits)).astype(np.int64)
+        mixed = keys.view(np.uint64) * _ODD
+        mixed >>= np.uint64(64 - self._bits)
+        return mixed.view(np.int64)
 
     def _place(self, numbers: np.ndarray) -> None:
         last, at = len(self._slots) - 1, self._first(self.keys[numbers])

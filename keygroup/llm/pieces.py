@@ -3,11 +3,11 @@
 A text is encoded by an agenda of adjacent symbol pairs: the pair whose piece has
 the best score is merged first, the leftmost of equals, until no pair is a piece.
 A pair of characters that no piece holds side by side can never be merged, so a
-text falls apart at such places, above all before each space; equal parts are
-encoded once per task. Every distinct word that a task meets is also encoded by the
-sentencepiece library, a batch at a time; where the two differ, the library's ids
-count, and ``n_corrected`` tells how many words of the document that touched. Ids are
-decoded by the library, a batch at a time.
+text falls apart at such places, above all before each space. Each part has an agenda
+of its own, and the parts of many words make their merges side by side. Every distinct
+word that a task meets is also encoded by the sentencepiece library, a batch at a time;
+where the two differ, the library's ids count, and ``n_corrected`` tells how many words
+of the document that touched. Ids are decoded by the library, a batch at a time.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import sys
 import types
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keygroup.llm.common import picked
+from keygroup.llm.numbered import Numbered, alike_long, code_points, utf8_width
 
 SPACE = "▁"
-# Distinct words, and parts of words, of either generation that a worker remembers.
-REMEMBERED, REMEMBERED_PARTS = 300_000, 50_000
+# Distinct words of either generation that a worker remembers.
+REMEMBERED = 300_000
+# Longer parts are merged one by one: every merge looks at a whole part here.
 _LONG = 64
+# Characters of words that are encoded at once, and of parts that are merged side by side.
+BLOCK, FRAME = 1_000_000, 250_000
+# In the agenda of many parts, the bits of a pair's cell, and what the pairs that are no piece are from.
+_CELL_BITS = 32
+_CELL, _NEVER = (1 << _CELL_BITS) - 1, 1 << 62
 
 
 class Pieces:
@@ -68,16 +76,46 @@ class Pieces:
         self.pairs = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         if any(pair[1] == SPACE and pair[0] != SPACE for pair in self.pairs):
             raise ValueError("pieces that go on behind a space are not supported")
+        self._number_pairs(size)
         self.opening = {i for piece, i in self.ids.items() if piece[0] == SPACE}
         codecs.register_error("one_mark_per_byte", _marks)
         probe = " a  b\t"
         if self.decode(self.encode(probe)) != probe or self.library.decode(self.library.encode(probe)) != probe:
             raise ValueError("only vocabularies that leave white space as it is are supported")
 
+    def _number_pairs(self, size: int) -> None:
+        """Symbols as numbers: of a piece its id, of another character its code point behind the ids."""
+        self.first_character = size
+        self.symbols = np.arange(size, size + sys.maxunicode + 1, dtype=np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.symbols[ord(piece)] = i
+        keys, joined = [], [0]
+        for piece, i in self.ids.items():
+            for at in range(1, len(piece)):
+                left, right = self._symbol(piece[:at]), self._symbol(piece[at:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    joined.append(i)
+        self.joins = Numbered(len(keys))
+        self.joins.add(np.array(keys, np.int64))
+        self.joined = np.array(joined, np.int32)
+        ranks = np.zeros(size, np.int64)
+        ranks[list(self.ids.values())] = [self.ranks[piece] for piece in self.ids]
+        self.join_agenda = ranks[self.joined] << _CELL_BITS
+        self.join_agenda[0] = _NEVER
+        self.neighbours = Numbered(len(self.pairs))
+        self.neighbours.add(np.array([ord(a) << 32 | ord(b) for a, b in self.pairs], np.int64))
+        self.byte_ids = np.array(self.bytes_id, np.int32)
+
+    def _symbol(self, text: str) -> int | None:
+        found = self.ids.get(text)
+        return self.first_character + ord(text) if found is None and len(text) == 1 else found
+
     # -- one part ---------------------------------------------------------------
 
-    def merge(self, part: str) -> list[int]:
-        """Ids of a text in which spaces are marked, by the agenda of pairs.
+    def agenda(self, part: str) -> list[str]:
+        """The symbols that a text falls into, each where it begins, and empty ones between.
 
         An entry of the agenda is one number: the rank of the pair's score, then its
         place. It is stale if the pair at that place now has another rank.
@@ -114,8 +152,12 @@ class Pieces:
                     found = rank(symbols[h] + merged)
                     if found is not None:
                         heapq.heappush(agenda, found * end + h)
+        return symbols
+
+    def merge(self, part: str) -> list[int]:
+        """Ids of a text in which spaces are marked, by the agenda of pairs."""
         ids = []
-        for symbol in symbols:
+        for symbol in self.agenda(part):
             if symbol:
                 found = self.ids.get(symbol)
                 if found is not None:
@@ -134,6 +176,68 @@ class Pieces:
         if start < len(marked):
             yield marked[start:]
 
+    # -- many words ---------------------------------------------------------------
+
+    def merge_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in which spaces are marked, one after another, and how many each has; no word is empty."""
+        points, lengths = code_points(words)
+        starts = np.cumsum(lengths) - lengths
+        cut = np.ones(len(points), bool)
+        cut[1:] = self.neighbours.find(_pair(points[:-1], points[1:])) == 0
+        cut[starts] = True
+        begin = np.flatnonzero(cut)
+        size = np.diff(begin, append=len(points))
+        symbols = self.symbols[points]
+        for at, n in zip(begin[size > _LONG].tolist(), size[size > _LONG].tolist()):
+            part = points[at : at + n].tobytes().decode("utf-32-le")
+            symbols[at : at + n] = [self._symbol(x) if x else -1 for x in self.agenda(part)]
+        short = np.flatnonzero((size > 1) & (size <= _LONG))
+        for frame in alike_long(size[short], FRAME):
+            frame = short[frame]
+            self._side_by_side(symbols, begin[frame], size[frame])
+        alive = symbols >= 0
+        ids = symbols[alive]
+        spelled = ids >= self.first_character
+        width = np.where(spelled, utf8_width(ids - self.first_character), 1)
+        taken = np.zeros(len(points), np.int64)
+        taken[alive] = width
+        characters = (ids[spelled] - self.first_character).astype(np.uint32).tobytes().decode("utf-32-le")
+        ids, spelled = np.repeat(ids, width), np.repeat(spelled, width)
+        ids[spelled] = self.byte_ids[np.frombuffer(characters.encode(), np.uint8)]
+        return ids, np.add.reduceat(taken, starts)
+
+    def _side_by_side(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Merge parts of falling size, a pair of each at a time; merged symbols stand where they begin, -1 after them.
+
+        Cells have a row for each place in a part and a column for each part. The last
+        row, which also counts as the one before the first, lies outside of every part.
+        An entry of the agenda is the rank of a pair's score, then the pair's cell.
+        """
+        n, rows = len(begin), int(size[0]) + 1
+        row = np.arange(rows)[:, None]
+        inside = (row < size).ravel()
+        places = (begin + row).ravel()[inside]
+        held = np.full(rows * n, -1)
+        held[inside] = symbols[places]
+        cells = np.arange(rows * n)
+        after, before = cells + n, cells - n
+        before[:n] += rows * n
+        found = self.joins.find(_pair(held, np.roll(held, -n)))
+        joined, agenda = self.joined[found], self.join_agenda[found] | cells
+        while True:
+            first = agenda.reshape(rows, n).min(axis=0)
+            i = first[first < _NEVER] & _CELL
+            if not len(i):
+                break
+            j = after[i]
+            k, h, merged = after[j], before[i], joined[i]
+            held[i], held[j], agenda[j] = merged, -1, _NEVER
+            after[i], before[k] = k, i
+            found = self.joins.find(np.concatenate([_pair(merged, held[k]), _pair(held[h], merged)]))
+            changed = np.concatenate([i, h])
+            joined[changed], agenda[changed] = self.joined[found], self.join_agenda[found] | changed
+        symbols[places] = held[inside]
+
     # -- whole texts ------------------------------------------------------------
 
     def encode(self, text: str) -> list[int]:
@@ -158,6 +262,11 @@ class Pieces:
         return text[1:] if first in self.opening else text
 
 
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Keys of pairs; one with -1 on either side is negative, so that none is found."""
+    return np.left_shift(left, 32, dtype=np.int64) | right
+
+
 def _marks(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
@@ -193,7 +302,6 @@ class Encoder:
     def __init__(self, model_path: str):
         self.pieces = Pieces(model_path)
         self.words = Memory(REMEMBERED)
-        self.parts = Memory(REMEMBERED_PARTS)
         self.corrected: set[str] = set()
 
     def learn(self, texts: list[list[str]]) -> None:
@@ -202,32 +310,19 @@ class Encoder:
         Afterwards the young words hold every word of the texts.
         """
         self.words.age()
-        self.parts.age()
         words = self.words.young
         new = [w for w in set().union(*texts).difference(words) if self.words.get(w) is None]
-        checked = self.pieces.library.encode(new, num_threads=1)
-        for word, expected in zip(new, checked):
-            parts = list(self.pieces.parts(SPACE + word.replace(" ", SPACE)))
-            ids = b"".join([self._part(part, len(parts) == 1) for part in parts])
-            # The library takes an empty text for no word at all, not for a lone space.
-            if word and ids != (right := array("i", expected).tobytes()):
-                ids = right
-                self.corrected.add(word)
-            else:
-                self.corrected.discard(word)
-            words[word] = ids
-
-    def _part(self, part: str, alone: bool) -> bytes:
-        found = self.parts.get(part)
-        if found is None and not alone and part[0] == SPACE:
-            # The part may have been met as a word.
-            found = self.words.get(part[1:])
-        if found is None:
-            found = array("i", self.pieces.merge(part)).tobytes()
-            # A word that is one part is remembered as a word.
-            if not alone and len(part) <= _LONG:
-                self.parts.young[part] = found
-        return found
+        for block in _blocks(new):
+            ids, counts = self.pieces.merge_all([SPACE + word.replace(" ", SPACE) for word in block])
+            checked = self.pieces.library.encode(block, num_threads=1)
+            raw, ends = ids.tobytes(), np.cumsum(counts) * ids.itemsize
+            words.update(zip(block, [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]))
+            self.corrected.difference_update(block)
+            for i in _differing(ids, counts, checked):
+                # The library takes an empty text for no word at all, not for a lone space.
+                if block[i]:
+                    words[block[i]] = array("i", checked[i]).tobytes()
+                    self.corrected.add(block[i])
 
     def run(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
         """Ids of every text, and how many of its words were corrected."""
@@ -236,7 +331,7 @@ class Encoder:
         split = [_words(text) for text in texts]
         self.learn(split)
         words, corrected = self.words.young, self.corrected
-        ids = [np.frombuffer(b"".join([words[w] for w in text]), np.int32) for text in split]
+        ids = [np.frombuffer(b"".join(map(words.__getitem__, text)), np.int32) for text in split]
         return ids, [sum(w in corrected for w in text) if corrected else 0 for text in split]
 
     def decoded(self, ids: list[np.ndarray]) -> list[str]:
@@ -244,6 +339,28 @@ class Encoder:
         return self.pieces.library.decode([x.tolist() for x in ids], num_threads=1) if ids else []
 
 
+def _blocks(words: list[str]) -> Iterator[list[str]]:
+    """Words in order, so many at a time that their characters make a block; a longer word is one."""
+    start = total = 0
+    for at, word in enumerate(words):
+        total += len(word) + 1
+        if total > BLOCK and at > start:
+            yield words[start:at]
+            start, total = at, len(word) + 1
+    if start < len(words):
+        yield words[start:]
+
+
+def _differing(ids: np.ndarray, counts: np.ndarray, lists: list[list[int]]) -> list[int]:
+    """Which of the stretches of ``ids``, of so many each, differ from these lists."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    others = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+    alike = counts == sizes
+    differ = ids[np.repeat(alike, counts)] != others[np.repeat(alike, sizes)]
+    at_fault = np.repeat(np.flatnonzero(alike), counts[alike])[differ]
+    return sorted({*np.flatnonzero(~alike).tolist(), *at_fault.tolist()})
+
+
 def _words(text: str) -> list[str]:
     if not text:
         return []

@@ -56,6 +56,53 @@ def test_texts_are_decoded_by_the_library(monkeypatch):
     assert encoder.decoded([]) == []
 
 
+def test_words_are_merged_side_by_side(monkeypatch):
+    known = pieces.Pieces(MODEL)
+    rng = random.Random(14)
+    parts = ["a", "e", "th", "ing", "▁", "▁▁", "\n", "é", "日本", "ß", "0", "😀", "\x00", "==", "x" * 70, "ab" * 40]
+    words = ["▁" + "".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    words += ["▁", "▁" + "a" * 63, "▁" + "a" * 64, "a" * 64, "a" * 65, "▁" + "the" * 700, "\U0010ffff", "\x00"]
+    expected = [[i for part in known.parts(word) for i in known.merge(part)] for word in words]
+
+    def merged(some):
+        ids, counts = known.merge_all(some)
+        return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+    assert merged(words) == expected
+    monkeypatch.setattr(pieces, "FRAME", 200)
+    assert merged(words) == expected
+    monkeypatch.undo()
+    # As many steps for few words as for many, which are looked up together.
+    some = ["▁" + "".join(rng.choice("thesandi") for _ in range(9)) for _ in range(3000)]
+    asked = []
+    for count in (300, 3000):
+        calls = []
+        monkeypatch.setattr(known.joins, "find", lambda keys, find=pieces.Numbered.find: calls.append(0) or find(known.joins, keys))
+        known.merge_all(some[:count])
+        asked.append(len(calls))
+    assert max(asked) <= 10
+
+
+def test_words_that_the_library_encodes_otherwise(monkeypatch):
+    class Library:
+        def encode(self, words, num_threads):
+            return [[7, 8, 9] if w == "same" else [x + 1 for x in own[w]] if w == "other" else own[w] for w in words]
+
+    encoder = pieces.Encoder(MODEL)
+    monkeypatch.setattr(pieces, "BLOCK", 8)
+    own = {w: encoder.pieces.library.encode(w) for w in ("the", "same", "other", "日", "theotherword", "")}
+    monkeypatch.setattr(encoder.pieces, "library", Library())
+    ids, corrected = encoder.run(["the same", "the", "other 日 same", "theotherword", "", "the "])
+    assert corrected == [1, 0, 2, 0, 0, 0]
+    assert [x.tolist() for x in ids[:4]] == [
+        own["the"] + [7, 8, 9],
+        own["the"],
+        [x + 1 for x in own["other"]] + own["日"] + [7, 8, 9],
+        own["theotherword"],
+    ]
+    assert ids[4].tolist() == [] and ids[5].tolist() == [*own["the"], encoder.pieces.ids["▁"]]
+
+
 def test_token_counts_match_a_plain_segmentation(spark):
     scores, byte = tokencount.unigram_scores(MODEL)
     longest = max(map(len, scores))
