@@ -3,10 +3,11 @@
 Components are whole numbers, a dimension is a term, and a term's posting list in a
 shard holds each vector's component. A query's terms are split by score bounds: the
 terms whose bounds together stay below the k-th best score so far are non-essential.
-The postings of the essential terms are traversed; a vector that can still reach the
-k-th score is probed in the other terms, largest bound first, while it is competitive.
-Bounds are counted from each term's least possible contribution, so that negative
-weights and components fit in. The best of every shard are merged.
+The postings of the essential terms are traversed, for a block of queries at once; a
+vector that can still reach the k-th score is probed in the other terms, largest bound
+first, while it is competitive. Bounds are counted from each term's least possible
+contribution, so that negative weights and components fit in. A query takes its k-th
+best score along from shard to shard; the best of all tasks are merged.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +25,24 @@ from keygroup.llm.common import picked
 SHARD_ROWS = 8_192
 QUERY_ROWS = 512
 SEED_ROWS = 64
+# A task has one group of vectors, and all queries pass by. Groups have so many rows at
+# least; there are more than GROUPS only where each would have over GROUP_PARTS components.
+GROUP_ROWS = 1_024
+GROUPS = 64
+GROUP_PARTS = 1 << 24
+# Scores that are held at once, of some queries with all vectors of a shard.
+CELLS = 1 << 20
+# Where more of so many vectors stay alive after the essential terms, probing one by one
+# would take longer than to traverse all postings.
+SAMPLE_ROWS, DENSE = 256, 1 / 64
 # Vectors with a component beyond it are searched apart; their scores may not fit a long.
 NARROW = 1 << 26
 # Every float fits. Doubles beyond it are refused.
 LARGEST = 1 << 136
 # Scores have this many digits at most; others are refused.
 DIGITS = 38
+# Below every score of a ``Shard``.
+NONE = -(1 << 62)
 
 
 def quantised(vector: Column) -> Column:
@@ -46,48 +59,143 @@ def quantised(vector: Column) -> Column:
     return F.when(vector.isNotNull() & usable, F.transform(wide, lambda x: whole(x * 256)))
 
 
+class Best:
+    """The ``k`` best of every query of a block: score and id, ties to smaller ids."""
+
+    def __init__(self, own: np.ndarray, k: int):
+        self.own, self.k = own, k
+        self.scores, self.ids = np.full((len(own), k), NONE), np.zeros((len(own), k), np.int64)
+
+    def add(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores and ids by the numbers of their queries, which rise."""
+        met = np.unique(queries)
+        queries = np.concatenate([np.repeat(met, self.k), queries])
+        scores = np.concatenate([self.scores[met].ravel(), scores.astype(np.int64)])
+        ids = np.concatenate([self.ids[met].ravel(), ids])
+        order = np.lexsort((ids, -scores, queries))
+        queries = queries[order]
+        place = np.arange(len(queries)) - np.searchsorted(queries, queries)
+        best = place < self.k
+        self.scores[queries[best], place[best]] = scores[order[best]]
+        self.ids[queries[best], place[best]] = ids[order[best]]
+
+
 class Shard:
     """Posting lists of up to ``SHARD_ROWS`` vectors, by term."""
 
     def __init__(self, ids: np.ndarray, postings: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.postings = ids[order], np.ascontiguousarray(postings[:, order])
-        self.low, self.high = self.postings.min(axis=1), self.postings.max(axis=1)
-
-    def best(self, own: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """Up to ``k`` pairs of score and id, best first, ties to smaller ids."""
-        terms = min(len(query), len(self.postings))
-        query, postings = query[:terms], self.postings[:terms]
-        ends = np.stack([query * self.low[:terms], query * self.high[:terms]])
+        self.ids = ids[order]
+        self.low, self.high = postings.min(axis=1), postings.max(axis=1)
+        self.norm, self.largest = _norm(postings), _largest(postings)
+        exact = np.float32 if self.largest <= 1 << 24 else np.float64
+        self.postings = np.ascontiguousarray(postings[:, order], exact)
+        self.sample = np.ascontiguousarray(self.postings[:, :: max(1, len(ids) // SAMPLE_ROWS)])
+
+    def kind(self, queries: np.ndarray) -> type | None:
+        """A type that holds all sums exactly, the smallest; none if a long does not."""
+        # No sum of some of a score's products is larger than the product of the norms.
+        norms, largest = self.norm * _norm(queries) * 1.001, self.largest * _largest(queries)
+        if norms < 1 << 24:
+            return np.float32
+        if norms < 1 << 53 and 4 * len(self.postings) * largest < 1 << 53:
+            return np.float64
+        return np.int64 if len(self.postings) * largest < 1 << 60 else None
+
+    def search(self, best: Best, queries: np.ndarray, kind: type) -> None:
+        """Adds what is among the best; ``queries`` by term, sums in ``kind``."""
+        terms = min(len(queries), len(self.postings))
+        queries, postings = queries[:terms], self.postings[:terms].astype(kind, copy=False)
+        step = max(1, CELLS // max(1, len(self.ids)))
+        for at in range(0, len(best.own), step):
+            self._some(best, slice(at, at + step), queries[:, at : at + step], postings)
+
+    def _some(self, best: Best, some: slice, queries: np.ndarray, postings: np.ndarray) -> None:
+        kind, wide = postings.dtype, np.int64 if postings.dtype == np.int64 else np.float64
+        own, terms, k = best.own[some], len(queries), best.k
+        queries = queries.astype(wide)
+        ends = np.stack([queries * self.low[:terms, None], queries * self.high[:terms, None]])
         least, bound = ends.min(axis=0), np.abs(ends[1] - ends[0])
-        base = int(least.sum())
-        order = np.argsort(bound, kind="stable")
-        rest = np.concatenate([[0], np.cumsum(bound[order])])
-
-        rows = np.flatnonzero(self.ids != own)
-        seed = rows[:SEED_ROWS]
-        scores = query @ postings[:, seed] - base
-        threshold = int(np.sort(scores)[-k]) if len(seed) >= k else 0
+        base = least.sum(axis=0)
+        order = np.argsort(bound, axis=0, kind="stable")
+        rest = np.concatenate([np.zeros((1, len(own)), wide), np.cumsum(np.take_along_axis(bound, order, 0), axis=0)])
+
+        threshold = best.scores[some, -1].astype(wide)
+        seed = (queries.T.astype(kind) @ postings[:, :SEED_ROWS]).astype(wide)
+        seed[self.ids[:SEED_ROWS] == own[:, None]] = NONE
+        if seed.shape[1] >= k:
+            threshold = np.maximum(threshold, np.partition(seed, -k, axis=1)[:, -k])
+        # From here on, of what lies above the least contributions.
+        needed = threshold - base
 
         # rest[n] bounds what the n smallest terms can add together.
-        n = int(np.searchsorted(rest, threshold, side="left")) - 1 if threshold > 0 else 0
-        n = max(0, min(n, terms))
-        partial = np.zeros(len(rows), np.int64)
-        for term in order[n:]:
-            partial += query[term] * postings[term, rows] - least[term]
-        alive = partial + rest[n] >= threshold
-        rows, partial = rows[alive], partial[alive]
-        for at in range(n - 1, -1, -1):
-            term = order[at]
-            partial += query[term] * postings[term, rows] - least[term]
-            if len(rows) > k:
-                # The k-th best partial score is a lower bound of the k-th best score.
-                threshold = max(threshold, int(np.partition(partial, -k)[-k]))
-                alive = partial + rest[at] >= threshold
-                if not alive.all():
-                    rows, partial = rows[alive], partial[alive]
-        top = np.lexsort((self.ids[rows], -partial))[:k]
-        return [(int(partial[i]) + base, int(self.ids[rows[i]])) for i in top]
+        n = np.maximum((rest < needed).sum(axis=0) - 1, 0)
+        rank = np.argsort(order, axis=0)
+        everyone = np.arange(len(own))
+
+        def essential() -> tuple[np.ndarray, np.ndarray]:
+            """The weights of the essential terms, and what a vector needs in them."""
+            used = rank >= n
+            return np.where(used, queries, 0).astype(kind), needed - rest[n, everyone] + np.where(used, least, 0).sum(axis=0)
+
+        weights, cut = essential()
+        alive = (weights.T @ self.sample[:terms].astype(kind) >= cut[:, None]).mean(axis=1)
+        n = np.where(alive > DENSE, 0, n)
+        weights, cut = essential()
+        reached = rest[-1] >= needed
+        for these in (np.flatnonzero(reached & (n == 0)), np.flatnonzero(reached & (n > 0))):
+            if not len(these):
+                continue
+            # Postings of terms that are essential for none of the queries are not traversed.
+            used = (rank[:, these] >= n[these]).any(axis=1)
+            sums = weights[:, these][used].T @ (postings if used.all() else postings[used])
+            query, row = np.nonzero(sums >= _rounded_down(cut[these], kind)[:, None])
+            sums, query = sums[query, row].astype(wide), these[query]
+            other = self.ids[row] != own[query]
+            sums, query, row = sums[other], query[other], row[other]
+
+            # What terms that are still to be traversed contribute at least.
+            left = np.where(rank < n, least, 0).sum(axis=0)
+            for at in range(int(n[query].max(initial=0)) - 1, -1, -1):
+                probed, term = n > at, order[at]
+                left = np.where(probed, left - least[term, everyone], left)
+                mine = np.flatnonzero(probed[query])
+                asked = query[mine]
+                sums[mine] += queries[term[asked], asked] * postings[term[asked], row[mine]].astype(wide)
+                alive = ~probed[query] | (sums + left[query] + rest[at, query] >= threshold[query])
+                sums, query, row = sums[alive], query[alive], row[alive]
+
+            kept = _first(query, sums, 16 * k, k)
+            best.add(query[kept] + some.start, sums[kept], self.ids[row[kept]])
+
+
+def _first(query: np.ndarray, sums: np.ndarray, many: int, k: int) -> np.ndarray:
+    """Indexes of the candidates but, of queries with ``many``, only the best ``k``; the first of equals."""
+    starts = np.flatnonzero(np.diff(query, prepend=-1))
+    kept = np.ones(len(query), bool)
+    for start, end in zip(starts, np.append(starts[1:], len(query))):
+        if end - start > many:
+            own = sums[start:end]
+            least = np.partition(own, -k)[-k]
+            above = own > least
+            equal = np.flatnonzero(own == least)[: k - int(above.sum())]
+            above[equal] = True
+            kept[start:end] = above
+    return np.flatnonzero(kept)
+
+
+def _rounded_down(values: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """Values of a type that ``kind`` may not hold, as the next below that it does."""
+    near = values.astype(kind)
+    return np.where(near > values, np.nextafter(near, kind.type(-np.inf)), near) if near.dtype != values.dtype else near
+
+
+def _norm(postings: np.ndarray) -> float:
+    return float(np.sqrt(np.square(postings, dtype=np.float64).sum(axis=0).max(initial=0)))
+
+
+def _largest(postings: np.ndarray) -> int:
+    return int(max(postings.max(initial=0), -postings.min(initial=0)))
 
 
 class WideShard:
@@ -110,44 +218,69 @@ class WideShard:
         return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
 
 
-def shard_for(queries: np.ndarray, ids: np.ndarray, postings: np.ndarray) -> Shard | WideShard:
-    """A shard whose sums hold the scores of the queries."""
-    largest = [int(max(m.max(initial=0), -m.min(initial=0))) for m in (queries, postings)]
-    narrow = len(postings) * largest[0] * largest[1] < 1 << 60
-    return Shard(ids, postings.astype(np.int64)) if narrow else WideShard(ids, postings)
-
-
-def _packed(rows: DataFrame, key: str, size: int, salt: int) -> tuple[DataFrame, int]:
-    """One row per block of about ``size`` vectors: its number, ids and components; and how many.
-
-    Vectors with large components come behind the others, in blocks of their own.
-    """
-    total = rows.agg(F.count("q").alias("narrow"), F.count("w").alias("wide")).first()
-    n, n_wide = max(1, -(-total.narrow // size)), -(-total.wide // size)
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf["q"].iloc[0] is None
-        vectors = pdf["w" if wide else "q"]
-        matrix = np.zeros((max(map(len, vectors)), len(pdf)), np.float64 if wide else np.int32)
-        for at, vector in enumerate(vectors):
-            matrix[: len(vector), at] = vector
-        return pd.DataFrame({
-            key: [pdf[key].iloc[0]],
-            f"{key}_wide": [wide],
-            f"{key}_ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()],
-            f"{key}_terms": [matrix.tobytes()],
-        })
-
-    code = F.xxhash64("vec_id", F.lit(salt))
-    number = F.when(F.col("w").isNull(), F.pmod(code, F.lit(n))).otherwise(F.lit(n) + F.pmod(code, F.lit(max(1, n_wide))))
-    schema = f"{key} int, {key}_wide boolean, {key}_ids binary, {key}_terms binary"
-    dealt = rows.select(number.cast("int").alias(key), "vec_id", "q", "w")
-    return dealt.groupBy(key).applyInPandas(pack, schema), n + n_wide
-
-
-def _matrix(ids: bytes, terms: bytes, wide: bool) -> tuple[np.ndarray, np.ndarray]:
-    own = np.frombuffer(ids, np.int64)
-    return own, np.frombuffer(terms, np.float64 if wide else np.int32).reshape(-1, len(own))
+class Group:
+    """The shards of a task, as its rows come."""
+
+    def __init__(self, size: int):
+        self.size, self.shards = size, []
+        self.held = {"q": [], "w": []}
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        for name in self.held:
+            own = rows.filter(rows[name].is_valid())
+            while own.num_rows:
+                room = self.size - sum(part.num_rows for part in self.held[name])
+                self.held[name].append(own.slice(0, room))
+                own = own.slice(room)
+                if own.num_rows:
+                    self._close(name)
+
+    def _close(self, name: str) -> None:
+        if self.held[name]:
+            rows = pa.Table.from_batches(self.held[name]).combine_chunks().to_batches()[0]
+            made = Shard if name == "q" else WideShard
+            self.shards.append(made(rows["vec_id"].to_numpy(), _matrix(rows[name])))
+            self.held[name] = []
+
+    def all(self) -> list[Shard | WideShard]:
+        for name in self.held:
+            self._close(name)
+        return self.shards
+
+
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    """Components by term; those that shorter vectors lack are 0."""
+    lengths = vectors.value_lengths().to_numpy()
+    values = vectors.flatten().to_numpy()
+    terms = int(lengths.max(initial=0))
+    if (lengths == terms).all():
+        return values.reshape(len(lengths), terms).T
+    matrix = np.zeros((terms, len(lengths)), values.dtype)
+    starts = np.cumsum(lengths) - lengths
+    matrix[np.arange(len(values)) - np.repeat(starts, lengths), np.repeat(np.arange(len(lengths)), lengths)] = values
+    return matrix
+
+
+def _found(shards: list[Shard | WideShard], own: np.ndarray, queries: np.ndarray, k: int) -> Iterator[list]:
+    """Columns ``query_id, vec_id, score`` of a block: the best of all shards, or those of shards whose scores no long holds."""
+    best = Best(own, k)
+    for shard in shards:
+        kind = shard.kind(queries) if isinstance(shard, Shard) and queries.dtype == np.int32 else None
+        if kind:
+            shard.search(best, queries, kind)
+            continue
+        wide = shard if isinstance(shard, WideShard) else WideShard(shard.ids, shard.postings)
+        found = [
+            (int(one), other, Decimal(score))
+            for one, query in zip(own, queries.T)
+            for score, other in wide.best(int(one), np.ascontiguousarray(query), k)
+        ]
+        if any(abs(score) >= 10**DIGITS for _, _, score in found):
+            raise ValueError(f"a score has more than {DIGITS} digits")
+        if found:
+            yield list(zip(*found))
+    there = best.scores > NONE
+    yield [np.repeat(own, there.sum(axis=1)), best.ids[there], pa.array(best.scores[there]).cast(pa.decimal128(DIGITS, 0))]
 
 
 def top_k(
@@ -162,9 +295,13 @@ def top_k(
     columns are left out. Scores are exact decimals; one of more than ``DIGITS`` digits, or
     a component that no float holds, is an error.
 
-    Every block of queries meets every shard once; blocks and shards are bounded.
+    Vectors are dealt into groups, a task each, which turns its group into shards; the
+    queries are copied to every group and pass by in blocks. Groups, shards and blocks are
+    bounded, and a vector that is no query is sent once.
     """
     rows = picked(df, vec_id=id_column, vector=vector_column)
+    there = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector")).alias("parts")).first()
+    n = max(1, min(GROUPS, -(-there.rows // GROUP_ROWS)), -(-(there.parts or 0) // GROUP_PARTS))
     rows = rows.select(F.col("vec_id").cast("bigint"), quantised(F.col("vector")).alias("whole"))
     narrow = F.forall("whole", lambda x: F.abs(x) <= NARROW)
     rows = rows.where("vec_id IS NOT NULL AND whole IS NOT NULL").select(
@@ -173,27 +310,38 @@ def top_k(
         F.when(~narrow, F.col("whole")).alias("w"),
     )
     rows = rows.dropDuplicates(["vec_id", "q", "w"])
-    queries = rows.where(F.col("vec_id") % every == 0)
-    shards, n_shards = _packed(rows, "shard", SHARD_ROWS, 1)
-    blocks, _ = _packed(queries, "block", QUERY_ROWS, 2)
-    sent = blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
-    met = sent.join(shards, F.col("to") == F.col("shard")).repartition("shard", "block")
-
-    def search(stream: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in stream:
-            for pair in pdf.itertuples():
-                ids, queries = _matrix(pair.block_ids, pair.block_terms, pair.block_wide)
-                shard = shard_for(queries, *_matrix(pair.shard_ids, pair.shard_terms, pair.shard_wide))
-                found = [
-                    (int(own), other, Decimal(score))
-                    for own, query in zip(ids, queries.T)
-                    for score, other in shard.best(int(own), np.ascontiguousarray(query), k)
-                ]
-                if any(abs(score) >= 10**DIGITS for _, _, score in found):
-                    raise ValueError(f"a score has more than {DIGITS} digits")
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    found = met.mapInPandas(search, f"query_id bigint, vec_id bigint, score decimal({DIGITS},0)")
+
+    def to(group: Column, query: bool) -> Column:
+        return F.struct(group.cast("int").alias("group"), F.lit(query).alias("query"))
+
+    one = F.array(to(F.pmod(F.xxhash64("vec_id", "q", "w"), F.lit(n)), False))
+    each = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda group: to(group, True))
+    places = F.when(F.col("vec_id") % every == 0, F.concat(one, each)).otherwise(one)
+    dealt = rows.select(F.explode(places).alias("to"), "vec_id", "q", "w").select("to.*", "vec_id", "q", "w")
+    ordered = dealt.repartitionById(n, "group").sortWithinPartitions("group", "query")
+    shard_rows, query_rows = SHARD_ROWS, QUERY_ROWS
+
+    def search(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, number = Group(shard_rows), -1
+        for batch in stream:
+            places = 2 * batch["group"].to_numpy().astype(np.int64) + batch["query"].to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(np.diff(places, prepend=-1))
+            for start, end in zip(starts, np.append(starts[1:], len(places))):
+                if number != places[start] // 2:
+                    group, number = Group(shard_rows), places[start] // 2
+                part = batch.slice(start, end - start)
+                if not places[start] % 2:
+                    group.add(part)
+                    continue
+                for name in ("q", "w"):
+                    queries = part.filter(part[name].is_valid())
+                    for at in range(0, queries.num_rows, query_rows):
+                        block = queries.slice(at, query_rows)
+                        for found in _found(group.all(), block["vec_id"].to_numpy(), _matrix(block[name]), k):
+                            arrays = [pa.array(c, kind) for c, kind in zip(found, (pa.int64(), pa.int64(), pa.decimal128(DIGITS, 0)))]
+                            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
+
+    found = ordered.mapInArrow(search, f"query_id bigint, vec_id bigint, score decimal({DIGITS},0)")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

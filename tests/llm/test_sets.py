@@ -124,6 +124,51 @@ def test_top_k_does_not_clip(spark, monkeypatch):
         maxscore.top_k(vectors(spark, [(0, [3e38], 0), (1, [3e38], 0)])).collect()
 
 
+def test_top_k_sends_no_blocks_to_the_driver(spark, monkeypatch):
+    # Spark takes a binary column for a hundred bytes, and so broadcast blocks of any size.
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 16)
+    monkeypatch.setattr(maxscore, "QUERY_ROWS", 2)
+    monkeypatch.setattr(maxscore, "GROUP_ROWS", 50, raising=False)
+    rng = np.random.default_rng(6)
+    x = np.where(rng.random((430, 9)) < 0.4, rng.gamma(0.3, 2, (430, 9)), 0).astype(np.float32)
+    rows = [(i, x[i].tolist(), 0) for i in range(400)] + [(399, x[i].tolist(), 0) for i in range(400, 410)]
+    rows += rows[:50] + [(1_000 + i, x[100].tolist(), 0) for i in range(60)]
+    found = maxscore.top_k(vectors(spark, rows), every=10)
+    plan = found._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Join" not in plan and "Broadcast" not in plan
+    whole = {(i, tuple(int(np.floor(256 * c)) for c in v)) for i, v, _ in rows}
+    expected = []
+    for q in {i for i, _ in whole if i % 10 == 0}:
+        own = next(v for i, v in whole if i == q)
+        scores = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in whole if i != q)[:5]
+        expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    empty = [(50, 1, 51, 0), (50, 2, 52, 0)]
+    assert sorted(map(tuple, maxscore.top_k(vectors(spark, [(50, [], 0), (51, [], 0), (52, [], 0)])).collect())) == empty
+
+
+@pytest.mark.parametrize("scale", [40, 5_000, 20_000_000, 60_000_000])
+@pytest.mark.parametrize("dense", [0.05, 0.3, 1.0])
+def test_shards_find_the_best_scores(scale, dense):
+    rng = np.random.default_rng(7)
+    shape = (40, 900)
+    signs = 1 if dense == 0.3 else rng.choice([1, -1], shape)
+    postings = (np.where(rng.random(shape) < dense, rng.pareto(1.2, shape), 0).clip(0, 9) / 9 * scale * signs).astype(np.int32)
+    postings[:, 300:420] = postings[:, [7]]
+    ids = rng.permutation(880)[np.arange(900) % 880]
+    own, queries = ids[::45], postings[:33, ::45]
+    best, kinds = maxscore.Best(own, 4), set()
+    for at in range(0, 900, 250):
+        shard = maxscore.Shard(ids[at : at + 250], postings[:, at : at + 250])
+        kinds.add(kind := shard.kind(queries))
+        shard.search(best, queries, kind)
+    assert kinds == {np.float32 if scale == 40 else np.float64 if scale == 5_000 else np.int64}
+    scores = queries.T.astype(object) @ postings[:33].astype(object)
+    for n, one in enumerate(own):
+        expected = sorted((-s, i) for s, i in zip(scores[n], ids) if i != one)[:4]
+        assert list(zip(-best.scores[n], best.ids[n])) == expected
+
+
 def test_links_of_vectors(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(0, 1, (12, 8))
